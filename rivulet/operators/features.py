@@ -120,7 +120,8 @@ def kernel_columns(df: DataFrame, features: Sequence[str], basis: np.ndarray,
     for j, b in enumerate(basis):
         d2 = None
         for f, bv in zip(features, b, strict=True):
-            t = (F.col(f) - F.lit(float(bv))) ** 2
+            diff = F.col(f) - F.lit(float(bv))
+            t = diff * diff
             d2 = t if d2 is None else d2 + t
         cols[f"{prefix}{j}"] = F.exp(F.lit(-float(gamma)) * d2)
     return df.withColumns(cols)

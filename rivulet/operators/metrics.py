@@ -18,31 +18,32 @@ EPS = 2.220446049250313e-16  # float64 machine epsilon (probability clip)
 
 
 def confusion_counts(df: DataFrame, true: str, pred: str) -> DataFrame:
-    return df.groupBy(F.col(true).alias("true"), F.col(pred).alias("pred")).agg(
+    return df.groupBy(F.col(true).alias("true_label"), F.col(pred).alias("pred_label")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence) -> DataFrame:
-    """Long ``(true, pred, n)`` over the full label cross product, zeros filled.
+    """Long ``(true_label, pred_label, n)`` over the full label cross product, zeros filled.
 
     ``labels`` is the (small, fixed-order) label domain; the k*k cell grid is
     built from it on the driver and joined with the aggregated counts.
     """
     spark = df.sparkSession
     counts = confusion_counts(df, true, pred)
-    dtype = dict(counts.dtypes)["true"]
+    dtype = dict(counts.dtypes)["true_label"]
     cells = spark.createDataFrame([(t, p) for t in labels for p in labels],
-                                  f"true {dtype}, pred {dtype}")
-    return (F.broadcast(cells).join(counts, ["true", "pred"], "left")
-            .select("true", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+                                  f"true_label {dtype}, pred_label {dtype}")
+    return (F.broadcast(cells).join(counts, ["true_label", "pred_label"], "left")
+            .select("true_label", "pred_label", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
 def per_class_stats(matrix: DataFrame) -> DataFrame:
     """Per class: support (row sum), predicted count (column sum), true positives."""
     contrib = matrix.select(F.explode(F.array(
-        F.struct(F.col("true").alias("cls"), F.col("n").alias("sup"), F.lit(0).cast("long").alias("prd"),
-                 F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(F.lit(0)).cast("long").alias("tp")),
-        F.struct(F.col("pred").alias("cls"), F.lit(0).cast("long").alias("sup"), F.col("n").alias("prd"),
+        F.struct(F.col("true_label").alias("cls"), F.col("n").alias("sup"), F.lit(0).cast("long").alias("prd"),
+                 F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(F.lit(0))
+                 .cast("long").alias("tp")),
+        F.struct(F.col("pred_label").alias("cls"), F.lit(0).cast("long").alias("sup"), F.col("n").alias("prd"),
                  F.lit(0).cast("long").alias("tp")),
     )).alias("c")).select("c.*")
     return contrib.groupBy("cls").agg(F.sum("sup").alias("support"), F.sum("prd").alias("predicted"),
@@ -109,7 +110,7 @@ def roc_auc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataF
               .withColumn("_neg_below", F.col("_off") + F.coalesce(F.sum("neg").over(inner), F.lit(0))))
     credit = F.col("pos") * (F.col("_neg_below") + F.col("neg") / 2.0)
     return ranked.agg(F.sum(credit).alias("_c"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
-        F.try_divide(F.col("_c"), F.col("_p") * F.col("_n")).alias("auc"))
+        F.try_divide(F.col("_c"), F.col("_p").cast("double") * F.col("_n").cast("double")).alias("auc"))
 
 
 def regression_metrics(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -1,3 +1,4 @@
 """Imports every catalog module so that their queries register."""
 
 from . import catalog_clean  # noqa: F401
+from . import catalog_model  # noqa: F401
