@@ -88,8 +88,9 @@ def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = 20,
     stop = default_stop_words() if stop_words is None else stop_words
     segs = segments or {1: "Positive_Drivers", 0: "Negative_Drivers"}
     seg_col = F.create_map(*[x for k, v in segs.items() for x in (F.lit(k), F.lit(v))])[F.col(label)]
-    grams = uni_and_bigrams(drop_stop_words(tokens(text), stop))
-    exploded = df.select(seg_col.alias("Segment"), F.explode(grams).alias("Phrase"))
+    # materialise the filtered tokens once: the bigram lambda reads them per index
+    toks = df.select(seg_col.alias("Segment"), drop_stop_words(tokens(text), stop).alias("_t"))
+    exploded = toks.select("Segment", F.explode(uni_and_bigrams(F.col("_t"))).alias("Phrase"))
     counts = (exploded.where(F.col("Segment").isNotNull())
               .groupBy("Segment", "Phrase").agg(F.count(F.lit(1)).alias("Frequency")))
     rank = F.row_number().over(Window.partitionBy("Segment")

@@ -2,3 +2,4 @@
 
 from . import catalog_clean  # noqa: F401
 from . import catalog_model  # noqa: F401
+from . import catalog_text  # noqa: F401
