@@ -125,7 +125,8 @@ def poisson_weight(key: str | F.Column, seed: int) -> F.Column:
 
 
 def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n_members: int = 7,
-                 weight_col: str | None = None, seed: int = 42, alpha: float = ALPHA) -> list[dict]:
+                 weight_col: str | None = None, seed: int = 42, alpha: float = ALPHA,
+                 max_iter: int = 100) -> list[dict]:
     """``n_members`` logistic fits that differ by a Poisson(1) bootstrap weight.
 
     (A convex solver on identical data would return identical members; the
@@ -141,7 +142,7 @@ def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n
             if weight_col:
                 w = w * F.col(weight_col)
             b = base.withColumn("_bw", w).where(F.col("_bw") > 0)
-            members.append(fit_logistic(b, features, label, "_bw", alpha=alpha))
+            members.append(fit_logistic(b, features, label, "_bw", alpha=alpha, max_iter=max_iter))
         return members
     finally:
         base.unpersist()

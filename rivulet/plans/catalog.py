@@ -5,3 +5,4 @@ from . import catalog_model  # noqa: F401
 from . import catalog_text  # noqa: F401
 from . import catalog_io  # noqa: F401
 from . import catalog_stream  # noqa: F401
+from . import catalog_learn  # noqa: F401
