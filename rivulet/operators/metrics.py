@@ -100,8 +100,9 @@ def roc_auc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataF
     cuts = by_score.agg(F.percentile_approx("s", probs, 10_000).alias("q")).collect()[0]["q"] or []
     splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
     if len(splits) < 3:
-        splits = [float("-inf"), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="_b").transform(by_score)
+        bucketed = by_score.withColumn("_b", F.lit(0.0))
+    else:
+        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="_b").transform(by_score)
     totals = bucketed.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))

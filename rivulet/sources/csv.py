@@ -123,9 +123,10 @@ def write_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None,
     ``order_by`` range-partitions first, so part files (in name order) hold
     the rows in key order.  Refuses to overwrite the path it is reading.
     """
-    inputs = set(df.inputFiles()) if mode == "overwrite" else set()
-    if any(f.startswith(path.rstrip("/") + "/") or f == path for f in inputs):
-        raise ValueError(f"refusing to overwrite input {path}")
+    if mode == "overwrite":
+        target = _bare(path).rstrip("/")
+        if any(_bare(f) == target or _bare(f).startswith(target + "/") for f in df.inputFiles()):
+            raise ValueError(f"refusing to overwrite input {path}")
     out = format_floats(df, float_format) if float_format else df
     if order_by:
         out = out.orderBy(*order_by)
@@ -151,5 +152,12 @@ def write_csv_with_preamble(df: DataFrame, path: str, preamble: str) -> str:
     return path
 
 
+def _bare(uri: str) -> str:
+    """Path part of a URI, so ``file:///x`` and ``/x`` compare equal."""
+    from urllib.parse import urlparse
+    u = urlparse(uri)
+    return (u.netloc + u.path) if u.scheme not in ("", "file") else ("/" + u.path.lstrip("/"))
+
+
 def _quote(s: str) -> str:
     return '"' + s.replace('"', '""') + '"' if any(ch in s for ch in ',"\n') else s
