@@ -41,6 +41,11 @@ def hex_mod(hex_col: Column, m: int, n_digits: int) -> Column:
     """
     if not 0 < m < 2**31:
         raise ValueError("modulus must be in (0, 2**31)")
+    if m & (m - 1) == 0:
+        # power of two: only the trailing ceil(log16 m) hex digits matter
+        d = max(1, (m.bit_length() - 1 + 3) // 4)
+        tail = F.conv(F.substring(hex_col, n_digits - d + 1, d), 16, 10).cast("long")
+        return F.pmod(tail, F.lit(m))
     acc: Column = F.lit(0).cast("long")
     pos = 1
     while pos <= n_digits:
@@ -53,6 +58,9 @@ def hex_mod(hex_col: Column, m: int, n_digits: int) -> Column:
 
 def hex_mod_sql(hex_sql: str, m: int, n_digits: int) -> str:
     """DuckDB text of :func:`hex_mod` (used by the oracle queries)."""
+    if m & (m - 1) == 0:
+        d = max(1, (m.bit_length() - 1 + 3) // 4)
+        return f"(('0x' || substr({hex_sql}, {n_digits - d + 1}, {d}))::BIGINT % {m})"
     acc = "0::BIGINT"
     pos = 1
     while pos <= n_digits:

@@ -30,13 +30,28 @@ def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES)
     row's L2 norm.  The explode is local; the count is a partial aggregate on
     ``(key, bucket)`` and the norm a window over one document's buckets.
     """
-    exploded = df.select(key, F.explode(tokens(text)).alias("_tok"))
+    exploded = by_document(df, key).select(key, F.explode(tokens(text)).alias("_tok"))
     counts = (exploded.groupBy(key, bucket_of(F.col("_tok"), n_features).alias("bucket"))
               .agg(F.count(F.lit(1)).alias("_c")))
     norm = F.sqrt(F.sum(F.col("_c") * F.col("_c")).over(Window.partitionBy(key)))
     return counts.select(key, "bucket", (F.col("_c") / norm).alias("value"))
 
 
+def by_document(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition raw documents by key before tokenising.
+
+    One shuffle of the raw text (smaller than the token stream); afterwards the
+    per-(doc, bucket) count, the per-doc norm window and per-doc sums all find
+    their input already clustered, so they add no exchange.  Documents are
+    bounded in size, so a key is never hot.  The partition count is explicit
+    (at least ``spark.sql.shuffle.partitions``) because the heavy work comes
+    *after* the shuffle and must not be coalesced away.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    return df.repartition(n, key)
+
+
 def hashed_vector_ml(df: DataFrame, text: str, out_col: str = "features",
                      n_features: int = N_FEATURES) -> DataFrame:
     """Spark ML form of the same map (murmur3 buckets): tokenizer -> HashingTF -> L2."""
