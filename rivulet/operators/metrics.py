@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,33 +84,50 @@ def binary_metrics(df: DataFrame, true: str, pred: str) -> DataFrame:
                       prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, n_partitions: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) as one row ``auc``; null if one class.
 
     AUC = sum over positives of (negatives scored lower + half the tied
-    negatives) / (P * N).  Rows are first aggregated by distinct score; the
-    prefix sum of negatives over the score order is computed in two passes
-    (range buckets from approximate quantiles -> bucket totals -> in-bucket
-    running sums), so no single task ever sees all distinct scores.
+    negatives) / (P * N).  Rows are first aggregated by distinct score (a
+    partial aggregate, so a score shared by a third of the rows is one row).
+    The distinct scores are then range-partitioned and sorted within
+    partitions; equal scores share a partition, so each partition computes
+    its own term over its sorted scores and reports ``(pid, term, P, N)``.
+    Every positive also beats all negatives of lower partitions, which a
+    window over one row per partition adds.  One sampling pass, one sorted
+    pass, and no task ever holds more than its range.
     """
+    spark = df.sparkSession
+    n = n_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = by_score.agg(F.percentile_approx("s", probs, 10_000).alias("q")).collect()[0]["q"] or []
-    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
-    if len(splits) < 3:
-        bucketed = by_score.withColumn("_b", F.lit(0.0))
-    else:
-        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="_b").transform(by_score)
-    totals = bucketed.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (bucketed.join(F.broadcast(offsets), "_b")
-              .withColumn("_neg_below", F.col("_off") + F.coalesce(F.sum("neg").over(inner), F.lit(0))))
-    credit = F.col("pos") * (F.col("_neg_below") + F.col("neg") / 2.0)
-    return ranked.agg(F.sum(credit).alias("_c"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
-        F.try_divide(F.col("_c"), F.col("_p").cast("double") * F.col("_n").cast("double")).alias("auc"))
+    ranged = (by_score.repartitionByRange(n, "s").sortWithinPartitions("s")
+              .withColumn("_pid", F.spark_partition_id()))
+
+    def local_terms(batches):
+        import numpy as np
+        import pandas as pd
+        pid, below, term, p_tot, n_tot = None, 0.0, 0.0, 0.0, 0.0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            pos = pdf["pos"].to_numpy(dtype=np.float64)
+            neg = pdf["neg"].to_numpy(dtype=np.float64)
+            neg_before = below + np.concatenate(([0.0], np.cumsum(neg)[:-1]))
+            term += float(np.sum(pos * (neg_before + neg / 2.0)))
+            below += float(neg.sum())
+            p_tot += float(pos.sum())
+            n_tot += float(neg.sum())
+        if pid is not None:
+            yield pd.DataFrame({"_pid": [pid], "_term": [term], "_p": [p_tot], "_n": [n_tot]})
+
+    parts = ranged.mapInPandas(local_terms, "_pid int, _term double, _p double, _n double")
+    lower = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cross = parts.withColumn("_nlow", F.coalesce(F.sum("_n").over(lower), F.lit(0.0)))
+    tot = cross.agg(F.sum(F.col("_term") + F.col("_p") * F.col("_nlow")).alias("_c"),
+                    F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+    return tot.select(F.try_divide(F.col("_c"), F.col("_p") * F.col("_n")).alias("auc"))
 
 
 def regression_metrics(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -66,7 +66,7 @@ def credit_flow_metrics(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     scored, _ = credit_flow(spark, sf_dir, **kw)
     scored = scored.withColumn("pred", L.decide("probability")).persist()
     wm = M.weighted_metrics_rows(scored, "label", "pred").collect()[0].asDict()
-    auc = M.roc_auc(scored, "label", "probability", n_buckets=16).collect()[0]["auc"]
+    auc = M.roc_auc(scored, "label", "probability").collect()[0]["auc"]
     n = scored.count()
     scored.unpersist()
     return spark.createDataFrame([(n, wm["accuracy"], wm["precision_weighted"], wm["recall_weighted"],
