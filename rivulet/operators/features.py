@@ -47,6 +47,26 @@ def standard_scale(df: DataFrame, moments: Mapping[str, tuple[float, float]],
                            for f, (m, s) in moments.items()})
 
 
+def cumulative_sums(df: DataFrame, order_col: str, cols: Sequence[str], block: int = 10_000) -> DataFrame:
+    """Inclusive running sums of ``cols`` in integer ``order_col`` order (e.g. chunk ids).
+
+    Two-level prefix sum: rows are grouped into blocks of ``block``
+    consecutive ids; block totals (one row per block) get their offsets from
+    a small window, and rows get running sums from a window partitioned by
+    block.  No task holds more than one block, whatever the row count.
+    """
+    blk = F.floor(F.col(order_col) / F.lit(block))
+    src = df.withColumn("_blk", blk)
+    totals = src.groupBy("_blk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_blk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                      for c in cols])
+    inner = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = src.join(offsets, "_blk").withColumns(
+        {c: F.col(f"_o_{c}") + F.sum(c).over(inner) for c in cols})
+    return out.drop("_blk", *[f"_o_{c}" for c in cols])
+
+
 def running_moments(df: DataFrame, features: Sequence[str], chunk_col: str) -> DataFrame:
     """Per chunk c: mean and population std over chunks ``0..c`` (first-epoch scaler).
 
@@ -57,10 +77,11 @@ def running_moments(df: DataFrame, features: Sequence[str], chunk_col: str) -> D
     for i, f in enumerate(features):
         aggs += [F.sum(f).alias(f"_s{i}"), F.sum(F.col(f) * F.col(f)).alias(f"_q{i}")]
     per_chunk = df.groupBy(chunk_col).agg(*aggs)
-    w = Window.orderBy(chunk_col).rowsBetween(Window.unboundedPreceding, 0)
-    cum = per_chunk.select(chunk_col, F.sum("_n").over(w).alias("_cn"),
-                           *[F.sum(f"_s{i}").over(w).alias(f"_cs{i}") for i in range(len(features))],
-                           *[F.sum(f"_q{i}").over(w).alias(f"_cq{i}") for i in range(len(features))])
+    sums = ["_n"] + [f"_s{i}" for i in range(len(features))] + [f"_q{i}" for i in range(len(features))]
+    cum = cumulative_sums(per_chunk, chunk_col, sums)
+    cum = cum.select(chunk_col, F.col("_n").alias("_cn"),
+                     *[F.col(f"_s{i}").alias(f"_cs{i}") for i in range(len(features))],
+                     *[F.col(f"_q{i}").alias(f"_cq{i}") for i in range(len(features))])
     cols = [chunk_col]
     for i, f in enumerate(features):
         mean = F.col(f"_cs{i}") / F.col("_cn")

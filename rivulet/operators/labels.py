@@ -45,11 +45,13 @@ def collect_classes(df: DataFrame, target: str) -> list:
 def weight_column(df: DataFrame, target: str, name: str = "class_weight") -> DataFrame:
     """Attach the balanced class weight to every row.
 
-    The weight table has one row per class (bounded by :data:`MAX_CLASSES`),
-    so it is broadcast; the big side never shuffles.
+    The weight table has one row per class; it is broadcast only after its
+    row count is checked against :data:`MAX_CLASSES` (a plain join otherwise),
+    so the big side does not shuffle.
     """
     w = class_weights(df, target).select(target, F.col("weight").alias(name))
-    return df.join(F.broadcast(w), target, "left")
+    n_classes = w.limit(MAX_CLASSES + 1).count()
+    return df.join(F.broadcast(w) if n_classes <= MAX_CLASSES else w, target, "left")
 
 
 def binarise(c: str | Column, threshold: float) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import safe_div
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon (probability clip)
+MAX_MATRIX_CLASSES = 1_000     # k*k grid cells are built on the driver and broadcast
 
 
 def confusion_counts(df: DataFrame, true: str, pred: str) -> DataFrame:
@@ -27,6 +28,8 @@ def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence) -> D
     ``labels`` is the (small, fixed-order) label domain; the k*k cell grid is
     built from it on the driver and joined with the aggregated counts.
     """
+    if len(labels) > MAX_MATRIX_CLASSES:
+        raise ValueError(f"confusion grid limited to {MAX_MATRIX_CLASSES} classes")
     spark = df.sparkSession
     counts = confusion_counts(df, true, pred)
     dtype = dict(counts.dtypes)["true_label"]
