@@ -22,18 +22,19 @@ def with_row_index(df: DataFrame, order_col: str, name: str = "row_index",
     """0-based position of every row in ``order_col`` order (ties by ``tiebreak``)."""
     n = df.count()
     n_buckets = int(min(max_buckets, max(1, math.ceil(n / rows_per_bucket))))
+    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
+    if n_buckets == 1:
+        # at most rows_per_bucket rows: one ordered window is bounded
+        w = Window.partitionBy(F.lit(0)).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
     src = df.withColumn("_ord", F.col(order_col).cast("double"))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = src.agg(F.percentile_approx("_ord", probs, 10_000).alias("q")).collect()[0]["q"]
-        splits = [float("-inf")] + sorted({float(c) for c in cuts}) + [float("inf")]
-        src = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bucket").transform(src)
-    else:
-        src = src.withColumn("_bucket", F.lit(0.0))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = src.agg(F.percentile_approx("_ord", probs, 10_000).alias("q")).collect()[0]["q"]
+    splits = [float("-inf")] + sorted({float(c) for c in cuts}) + [float("inf")]
+    src = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bucket").transform(src)
     sizes = src.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
-    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
     inner = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (src.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, (F.col("_off") + inner - 1).cast("long"))
