@@ -91,15 +91,22 @@ def linear_text_decision(bow: DataFrame, docs: DataFrame, key: str,
 
 def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = 20,
                    stop_words: Sequence[str] | None = None,
-                   segments: Mapping[int, str] | None = None) -> DataFrame:
+                   segments: Mapping[int, str] | None = None,
+                   max_texts: int | None = None, order_key: str | None = None) -> DataFrame:
     """Top phrases per label segment: ``(Segment, Phrase, Frequency)``.
 
     Lower-case word tokens, stop words removed, unigrams + bigrams of the
     remaining tokens, total count, top ``top_n`` per segment by frequency
     (ties by phrase).  The ``row_number() <= n`` filter is planned with a
     per-partition group limit ahead of the shuffle, so only ``n`` phrases per
-    segment and partition move.
+    segment and partition move.  No cap by default; ``max_texts`` keeps the
+    reference's bounded insight buffer as an option.
     """
+    if max_texts is not None:
+        # the reference's insight-buffer cap: the first max_texts texts in key order
+        if order_key is None:
+            raise ValueError("max_texts needs order_key")
+        df = df.orderBy(order_key).limit(int(max_texts))
     stop = default_stop_words() if stop_words is None else stop_words
     segs = segments or {1: "Positive_Drivers", 0: "Negative_Drivers"}
     seg_col = F.create_map(*[x for k, v in segs.items() for x in (F.lit(k), F.lit(v))])[F.col(label)]
