@@ -160,3 +160,22 @@ def test_pa_step_size(spark):
     got = [r[0] for r in df.select(LR.pa_step_size(F.col("y"), F.col("f"), F.col("sq"), 1.0)).collect()]
     assert got == [pytest.approx(0.8), pytest.approx(1.0), 0.0, 0.0]
     assert math.isclose(got[0], 0.8)
+
+
+def test_joint_newton_matches_spark_ml(spark):
+    df = _planted(spark).withColumn("w", F.lit(1.0) + (F.col("a") > 0).cast("double"))
+    newton = LR.fit_logistic(df, ["a", "b"], "y", "w", solver="newton")
+    lbfgs = LR.fit_logistic(df, ["a", "b"], "y", "w", solver="lbfgs")
+    assert all(abs(x - y) < 1e-4 for x, y in zip(newton["coef"], lbfgs["coef"]))
+    assert abs(newton["intercept"] - lbfgs["intercept"]) < 1e-4
+
+
+def test_joint_ovr_and_ensemble(spark):
+    df = _planted(spark).withColumn("cls", F.when(F.col("a") > 0.5, "hi").when(F.col("a") < -0.5, "lo")
+                                    .otherwise("mid")).withColumn("k", F.monotonically_increasing_id())
+    joint = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"], solver="newton")
+    sep = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"], solver="lbfgs")
+    for c in ("hi", "lo", "mid"):
+        assert all(abs(x - y) < 1e-3 for x, y in zip(joint[c]["coef"], sep[c]["coef"]))
+    members = LR.fit_ensemble(df, ["a", "b"], "y", "k", n_members=3)
+    assert len(members) == 3 and len({round(m["coef"][0], 6) for m in members}) == 3
