@@ -97,6 +97,9 @@ def scale_as_of_chunk(df: DataFrame, features: Sequence[str], chunk_col: str) ->
 
     The moments table has one row per chunk; the join is left to AQE, which
     broadcasts it when the chunk count is small and shuffles otherwise.
+    ``df`` is read twice (per-chunk sums, then the join back): when it is
+    expensive to recompute (e.g. freshly chunk-numbered), pass a materialised
+    frame (``session.materialize``).
     """
     mom = running_moments(df, features, chunk_col)
     out = df.join(mom, chunk_col)

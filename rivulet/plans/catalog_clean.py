@@ -344,7 +344,10 @@ FROM e JOIN mom ON e.chunk_id = mom.chunk_id
 def q_running_moments(spark, d):
     from ..operators.features import scale_as_of_chunk
     from ..operators.ordering import chunk_numbers
+    from ..session import materialize
     ev = chunk_numbers(load(spark, d, "events").select("event_id", "value"), "event_id", 1000,
                        rows_per_bucket=2_000)
+    # read twice below: cut the numbering lineage with a written table
+    ev = materialize(ev, "w4-chunks")
     out = scale_as_of_chunk(ev, ["value"], "chunk_id")
     return out.select("event_id", "chunk_id", r6("value_scaled").alias("value_scaled"))

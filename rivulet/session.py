@@ -57,3 +57,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/rivulet-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
+    folder and return the table read back.
+
+    One job computes the frame (an RDD checkpoint computes it twice unless it
+    is also cached), the copy is columnar, so later reads are pruned, and it
+    lives on shared storage, so losing an executor loses nothing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
