@@ -7,6 +7,7 @@ key holding a third of the table never lands in one task.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import bloom_geometry, hex_mod, key_text
 
+log = logging.getLogger("rivulet.audit")
+
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Normalise float NaN to SQL NULL (pandas treats both as missing)."""
@@ -92,13 +95,29 @@ def bloom_dedup(df: DataFrame, key: str, seq: str, n_items: int, p: float = 0.01
     return df.join(bloom_survivors(df, key, seq, n_items, p), [key, seq], "left_semi")
 
 
+def bloom_capacity(df: DataFrame, key: str, n_items: int) -> DataFrame:
+    """One row: approximate distinct keys vs the filter's design size.
+
+    A filter sized below the number of distinct keys saturates and starts
+    dropping good rows as false positives (the reference sized its filters
+    independently of the input).
+    """
+    return df.agg(F.approx_count_distinct(key).alias("distinct_keys")).withColumns(
+        {"n_items": F.lit(int(n_items)), "undersized": F.col("distinct_keys") > F.lit(int(n_items))})
+
+
 def audit(df: DataFrame, key: str, seq: str, mode: str = "exact",
-          n_items: int = 10_000_000, p: float = 0.01) -> DataFrame:
+          n_items: int = 10_000_000, p: float = 0.01, check_capacity: bool = True) -> DataFrame:
     """Null drop then first-seen dedup -- the epoch-0 audit, run once."""
     clean = drop_null_any(df)
     if mode == "exact":
         return first_seen_dedup(clean, key, seq)
     if mode == "bloom":
+        if check_capacity:
+            cap = bloom_capacity(clean, key, n_items).collect()[0]
+            if cap["undersized"]:
+                log.warning("Bloom filter sized for %d items sees ~%d distinct keys: expect false-positive drops",
+                            n_items, cap["distinct_keys"])
         return bloom_dedup(clean, key, seq, n_items, p)
     raise ValueError(f"unknown dedup mode {mode!r}")
 

@@ -76,6 +76,12 @@ def credit_flow_metrics(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return n.unionByName(weighted).unionByName(auc)
 
 
+def write_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """Report sinks: each report DataFrame to ``out_dir/<name>`` as CSV (overwrite)."""
+    from ..sources.csv import write_csv
+    return {name: write_csv(df, f"{out_dir.rstrip('/')}/{name}") for name, df in reports.items()}
+
+
 def text_flow(spark: SparkSession, sf_dir: str, epochs: int = 5) -> dict[str, DataFrame]:
     """Text sentiment: hashed bag of words -> Passive-Aggressive (incremental) ->
     audit report, metrics, priority alerts and phrase drivers."""

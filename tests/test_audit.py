@@ -95,3 +95,17 @@ def test_dedup_skew_plan_has_no_window(spark):
     df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("key"))
     plan = A.first_seen_dedup(df, "key", "seq")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_bloom_capacity_flags_undersized(spark):
+    df = spark.range(5000).withColumnRenamed("id", "key")
+    assert A.bloom_capacity(df, "key", 300).collect()[0]["undersized"]
+    assert not A.bloom_capacity(df, "key", 10_000_000).collect()[0]["undersized"]
+
+
+def test_text_reports_written(spark):
+    from rivulet.plans import flows
+    from rivulet.session import scratch_path
+    rep = flows.text_flow(spark, "/root/testdata/sf0.001", epochs=1)
+    paths = flows.write_reports({"drivers": rep["drivers"], "alerts": rep["alerts"]}, scratch_path(spark, "rep"))
+    assert spark.read.option("header", True).csv(paths["drivers"]).count() == rep["drivers"].count()
