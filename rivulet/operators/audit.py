@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.constants import BLOOM_N_ITEMS, BLOOM_P
 from ..functions.exprs import bloom_geometry, hex_mod, key_text
 
 log = logging.getLogger("rivulet.audit")
@@ -107,7 +108,7 @@ def bloom_capacity(df: DataFrame, key: str, n_items: int) -> DataFrame:
 
 
 def audit(df: DataFrame, key: str, seq: str, mode: str = "exact",
-          n_items: int = 10_000_000, p: float = 0.01, check_capacity: bool = True) -> DataFrame:
+          n_items: int = BLOOM_N_ITEMS, p: float = BLOOM_P, check_capacity: bool = True) -> DataFrame:
     """Null drop then first-seen dedup -- the epoch-0 audit, run once."""
     clean = drop_null_any(df)
     if mode == "exact":
@@ -123,7 +124,7 @@ def audit(df: DataFrame, key: str, seq: str, mode: str = "exact",
 
 
 def audit_summary(df: DataFrame, key: str, seq: str, mode: str = "exact",
-                  n_items: int = 10_000_000, p: float = 0.01) -> DataFrame:
+                  n_items: int = BLOOM_N_ITEMS, p: float = BLOOM_P) -> DataFrame:
     """One row: total, null rows, duplicates dropped, total dropped, retention %."""
     base = nan_to_null(df)
     any_null = F.lit(False)

@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.constants import SURROGATE_COLUMN
+
 # pandas-style dtype names accepted in contracts -> Spark SQL types
 _DTYPE_ALIASES = {
     "int64": "bigint", "int32": "int", "int": "bigint", "long": "bigint",
@@ -49,7 +51,7 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*new)
 
 
-def drop_surrogate(df: DataFrame, name: str = "Serial No.") -> DataFrame:
+def drop_surrogate(df: DataFrame, name: str = SURROGATE_COLUMN) -> DataFrame:
     """Drop a surrogate row-number column if present (no-op otherwise)."""
     return df.drop(name) if name in df.columns else df
 

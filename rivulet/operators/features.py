@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.constants import N_COMPONENTS, RBF_GAMMA, SEED
 from ..functions.exprs import order_hash
 
 MAX_COMPONENTS = 20_000  # kernel basis size bound (rows collected to the driver)
@@ -110,8 +111,8 @@ def scale_as_of_chunk(df: DataFrame, features: Sequence[str], chunk_col: str) ->
 
 # --- Nystroem RBF kernel map -------------------------------------------------
 
-def select_basis(df: DataFrame, key: str, features: Sequence[str], n_components: int,
-                 seed: int = 42) -> np.ndarray:
+def select_basis(df: DataFrame, key: str, features: Sequence[str], n_components: int = N_COMPONENTS,
+                 seed: int = SEED) -> np.ndarray:
     """The ``n_components`` rows with the smallest seeded key hash, as a matrix.
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each partition
@@ -151,7 +152,7 @@ def kernel_columns(df: DataFrame, features: Sequence[str], basis: np.ndarray,
     return df.withColumns(cols)
 
 
-def nystroem_map(df: DataFrame, features: Sequence[str], basis: np.ndarray, gamma: float,
+def nystroem_map(df: DataFrame, features: Sequence[str], basis: np.ndarray, gamma: float = RBF_GAMMA,
                  out_col: str = "phi") -> DataFrame:
     """``phi(x) = K(x, B) N^T`` on Arrow batches (dense matmul needs NumPy).
 

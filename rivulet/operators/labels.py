@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.constants import DECISION_CUT, SEED, TEST_RATIO
 from ..functions.exprs import col_of, order_hash, unit_hash
 
 MAX_CLASSES = 10_000  # a label domain is collected to the driver only below this
@@ -59,12 +60,12 @@ def binarise(c: str | Column, threshold: float) -> Column:
     return (col_of(c) > F.lit(threshold)).cast("int")
 
 
-def decide(p: str | Column, cut: float = 0.5) -> Column:
+def decide(p: str | Column, cut: float = DECISION_CUT) -> Column:
     """Probability decision, non-strict ``>=``."""
     return (col_of(p) >= F.lit(cut)).cast("int")
 
 
-def holdout_flag(key: str | Column, ratio: float, seed: int = 42) -> Column:
+def holdout_flag(key: str | Column, ratio: float, seed: int = SEED) -> Column:
     """Stateless holdout: a row is test iff its seeded key hash is below ``ratio``.
 
     Depends on the key only, so it is the same under any partitioning, on
@@ -73,13 +74,13 @@ def holdout_flag(key: str | Column, ratio: float, seed: int = 42) -> Column:
     return unit_hash(key, seed) < F.lit(float(ratio))
 
 
-def holdout_hash(df: DataFrame, key: str, ratio: float = 0.2, seed: int = 42,
+def holdout_hash(df: DataFrame, key: str, ratio: float = TEST_RATIO, seed: int = SEED,
                  name: str = "is_test") -> DataFrame:
     return df.withColumn(name, holdout_flag(key, ratio, seed))
 
 
-def holdout_per_chunk(df: DataFrame, key: str, chunk_col: str, ratio: float = 0.2,
-                      seed: int = 42, name: str = "is_test") -> DataFrame:
+def holdout_per_chunk(df: DataFrame, key: str, chunk_col: str, ratio: float = TEST_RATIO,
+                      seed: int = SEED, name: str = "is_test") -> DataFrame:
     """Exact-count split per chunk: ``ceil(ratio * n_chunk)`` test rows each.
 
     The test rows of a chunk are those with the smallest seeded key hash.

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import linear, sigmoid, unit_hash
 
-ALPHA = 1e-4  # default L2 strength of the reference learners
+from ..functions.constants import ALPHA, N_MEMBERS, PA_C, SEED
 
 
 # --------------------------------------------------------------- exact pieces
@@ -214,8 +214,8 @@ def poisson_weight(key: str | F.Column, seed: int) -> F.Column:
     return expr.otherwise(F.lit(12.0))
 
 
-def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n_members: int = 7,
-                 weight_col: str | None = None, seed: int = 42, alpha: float = ALPHA,
+def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n_members: int = N_MEMBERS,
+                 weight_col: str | None = None, seed: int = SEED, alpha: float = ALPHA,
                  max_iter: int = 100) -> list[dict]:
     """``n_members`` logistic fits that differ by a Poisson(1) bootstrap weight.
 
@@ -322,7 +322,7 @@ def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log
 
 
 def fit_passive_aggressive(bow: DataFrame, labels: DataFrame, key: str, label: str, epochs: int = 5,
-                           c: float = 1.0) -> DataFrame:
+                           c: float = PA_C) -> DataFrame:
     """PA-I (hinge) over sparse hashed features with parameter mixing per epoch.
 
     ``bow`` is the long ``(key, bucket, value)`` bag of words, ``labels`` maps

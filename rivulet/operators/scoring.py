@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.constants import OUT_PROBABILITY_OF_DEFAULT, OUT_PREDICTED_ADMIT
 from ..functions.exprs import linear, sigmoid
 from . import contract as C
 
@@ -28,7 +29,7 @@ def soft_vote(members: Sequence[Column]) -> Column:
     return total / F.lit(float(len(members)))
 
 
-def score_binary(df: DataFrame, members: Sequence[Mapping], out_col: str = "probability_of_default",
+def score_binary(df: DataFrame, members: Sequence[Mapping], out_col: str = OUT_PROBABILITY_OF_DEFAULT,
                  scaler: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
     """Scaled features -> mean member probability (single model = one member)."""
     src = df
@@ -67,7 +68,7 @@ def ovr_probabilities(df: DataFrame, classes: Sequence, models: Mapping, prob_pr
               .withColumn(conf_col, best)
 
 
-def score_regression(df: DataFrame, model: Mapping, out_col: str = "predicted") -> DataFrame:
+def score_regression(df: DataFrame, model: Mapping, out_col: str = OUT_PREDICTED_ADMIT) -> DataFrame:
     """Linear prediction, unclipped."""
     return df.withColumn(out_col, linear(model["features"], model["coef"], model["intercept"]))
 

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.constants import N_HASH_FEATURES, SEGMENT_NEGATIVE, SEGMENT_POSITIVE, TOP_ALERTS, TOP_PHRASES
 from ..functions.exprs import hex_mod
 from ..functions.text import default_stop_words, drop_stop_words, tokens, uni_and_bigrams
 
-N_FEATURES = 2**20
+N_FEATURES = N_HASH_FEATURES
 
 
 def bucket_of(token, n_features: int = N_FEATURES):
@@ -89,7 +90,7 @@ def linear_text_decision(bow: DataFrame, docs: DataFrame, key: str,
             .drop("_dot"))
 
 
-def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = 20,
+def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = TOP_PHRASES,
                    stop_words: Sequence[str] | None = None,
                    segments: Mapping[int, str] | None = None,
                    max_texts: int | None = None, order_key: str | None = None) -> DataFrame:
@@ -108,7 +109,7 @@ def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = 20,
             raise ValueError("max_texts needs order_key")
         df = df.orderBy(order_key).limit(int(max_texts))
     stop = default_stop_words() if stop_words is None else stop_words
-    segs = segments or {1: "Positive_Drivers", 0: "Negative_Drivers"}
+    segs = segments or {1: SEGMENT_POSITIVE, 0: SEGMENT_NEGATIVE}
     seg_col = F.create_map(*[x for k, v in segs.items() for x in (F.lit(k), F.lit(v))])[F.col(label)]
     # materialise the filtered tokens once: the bigram lambda reads them per index
     toks = df.select(seg_col.alias("Segment"), drop_stop_words(tokens(text), stop).alias("_t"))
@@ -120,6 +121,6 @@ def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = 20,
     return counts.withColumn("_r", rank).where(F.col("_r") <= top_n).drop("_r")
 
 
-def priority_alerts(scored: DataFrame, pred: str, conf: str, key: str, n: int = 200) -> DataFrame:
+def priority_alerts(scored: DataFrame, pred: str, conf: str, key: str, n: int = TOP_ALERTS) -> DataFrame:
     """Predicted negatives with the highest confidence (TakeOrderedAndProject)."""
     return scored.where(F.col(pred) == 0).orderBy(F.desc(conf), F.asc(key)).limit(int(n))

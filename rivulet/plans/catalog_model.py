@@ -176,7 +176,7 @@ FROM z
 def q_score_binary(spark, d):
     mom = FE.collect_moments(FE.feature_moments(train_rows(spark, d), BINARY_FEATURES))
     li = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *BINARY_FEATURES)
-    out = S.score_binary(li, scaled_members(), scaler=mom)
+    out = S.score_binary(li, scaled_members(), out_col="probability_of_default", scaler=mom)
     return out.select("l_orderkey", "l_linenumber", r6("probability_of_default").alias("probability_of_default"),
                       L.decide("probability_of_default").alias("predicted_default"))
 
@@ -233,7 +233,8 @@ def q_score_quarantine(spark, d):
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
         F.nullif(F.col("l_discount"), F.lit(0.0)).alias("l_discount"), "l_tax")
     out = S.score_with_quarantine(
-        li, BINARY_FEATURES, lambda df: S.score_binary(df, binary_members()), ["probability_of_default"])
+        li, BINARY_FEATURES, lambda df: S.score_binary(df, binary_members(), out_col="probability_of_default"),
+        ["probability_of_default"])
     return out.select("l_orderkey", "l_linenumber", F.col(C.ROUTE_COL).alias("route"),
                       F.array_join(C.REASONS_COL, ";").alias("reason"),
                       r6("probability_of_default").alias("probability_of_default"))

@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-VALID = "VALID"
-CORRUPT = "CORRUPT (0 Bytes)"
+from ..functions.constants import STATUS_CORRUPT as CORRUPT
+from ..functions.constants import STATUS_VALID as VALID
+
 LISTING_SCHEMA = "root string, path string, size_bytes long"
 
 
