@@ -1,7 +1,7 @@
 """File inventory, integrity status, manifests and missing assets.
 
-The listing itself is distributed: each directory root is a row and is
-walked inside ``mapInPandas`` on an executor (``os`` for mounted shared
+The listing itself is distributed: each root's sub-directories become rows
+walked inside ``mapInPandas`` on executors (``os`` for mounted shared
 storage, ``pyarrow.fs`` for URIs).  ``binaryFile`` is not used because it
 skips zero-byte files -- exactly the files the integrity check must flag.
 Everything after the listing is plain DataFrame work.
@@ -20,33 +20,69 @@ from ..functions.constants import STATUS_VALID as VALID
 LISTING_SCHEMA = "root string, path string, size_bytes long"
 
 
-def _walk(root: str):
-    import os
+def _fs(root: str):
+    """(filesystem or None for local, base path) of a root URI or path."""
     if "://" in root and not root.startswith("file://"):
         from pyarrow import fs as pafs
-        fsys, base = pafs.FileSystem.from_uri(root)
-        for info in fsys.get_file_info(pafs.FileSelector(base, recursive=True)):
+        return pafs.FileSystem.from_uri(root)
+    return None, (root[len("file://"):] if root.startswith("file://") else root)
+
+
+def _walk(root: str, sub: str = "", recursive: bool = True):
+    """Yield (path relative to root, size) under ``root/sub``."""
+    import os
+    fsys, base = _fs(root)
+    start = os.path.join(base, sub) if sub else base
+    if fsys is not None:
+        from pyarrow import fs as pafs
+        for info in fsys.get_file_info(pafs.FileSelector(start, recursive=recursive)):
             if info.type == pafs.FileType.File:
                 yield os.path.relpath(info.path, base), int(info.size)
         return
-    base = root[len("file://"):] if root.startswith("file://") else root
-    for dirpath, _dirs, files in os.walk(base):
+    if not recursive:
+        for e in os.scandir(start):
+            if e.is_file():
+                yield os.path.relpath(e.path, base), e.stat().st_size
+        return
+    for dirpath, _dirs, files in os.walk(start):
         for f in files:
             full = os.path.join(dirpath, f)
             yield os.path.relpath(full, base), os.path.getsize(full)
 
 
+def _units(root: str) -> list[tuple[str, str, bool]]:
+    """Work units of a root: its top-level files (one unit) + one unit per
+    immediate sub-directory, walked recursively.  Only the top level is
+    listed on the driver."""
+    import os
+    fsys, base = _fs(root)
+    if fsys is not None:
+        from pyarrow import fs as pafs
+        subs = [os.path.relpath(i.path, base) for i in fsys.get_file_info(pafs.FileSelector(base))
+                if i.type == pafs.FileType.Directory]
+    else:
+        subs = [e.name for e in os.scandir(base) if e.is_dir()]
+    return [(root, "", False)] + [(root, d, True) for d in sorted(subs)]
+
+
 def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
-    """``(root, path, size_bytes)`` for every file under each root, recursively."""
-    roots_df = spark.createDataFrame([(r,) for r in roots], "root string").repartition(max(1, len(roots)))
+    """``(root, path, size_bytes)`` for every file under each root, recursively.
+
+    Each root is split into its top-level files and its sub-directories; every
+    unit is a row walked by an executor, so a wide tree lists in parallel.
+    """
+    units = [u for r in roots for u in _units(r)]
+    units_df = spark.createDataFrame(units, "root string, sub string, recursive boolean").repartition(
+        max(1, min(len(units), spark.sparkContext.defaultParallelism * 4)))
 
     def walk(batches):
         import pandas as pd
         for pdf in batches:
-            rows = [(r, p, s) for r in pdf["root"] for p, s in _walk(r)]
+            rows = [(r, p, s) for r, sub, rec in zip(pdf["root"], pdf["sub"], pdf["recursive"], strict=True)
+                    for p, s in _walk(r, sub, bool(rec))]
             yield pd.DataFrame(rows, columns=["root", "path", "size_bytes"])
 
-    return roots_df.mapInPandas(walk, LISTING_SCHEMA)
+    return units_df.mapInPandas(walk, LISTING_SCHEMA)
 
 
 def base_name(path_col: str = "path"):

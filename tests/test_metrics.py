@@ -86,3 +86,18 @@ def test_metrics_long(spark):
     wide = spark.createDataFrame([(0.5, 0.25)], "accuracy double, f1 double")
     got = {r["metric"]: r["value"] for r in M.metrics_long(wide, "run-1").collect()}
     assert got == {"accuracy": 0.5, "f1": 0.25}
+
+
+def test_hashing_tf_path_is_unit_norm(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from rivulet.operators.text import hashed_bow, hashed_vector_ml
+    df = spark.createDataFrame([(1, "Été été de la mer"), (2, "a b cc cc dd")], "doc_id long, text string")
+    v = hashed_vector_ml(df, "text").select("doc_id", vector_to_array("features").alias("a"))
+    norms = {r["doc_id"]: r["n"] for r in v.select("doc_id", F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x)
+                                                  .alias("n")).collect()}
+    assert all(abs(n - 1.0) < 1e-12 for n in norms.values())
+    nnz = {r["doc_id"]: r["c"] for r in hashed_bow(df, "doc_id", "text").groupBy("doc_id").count()
+           .withColumnRenamed("count", "c").collect()}
+    assert nnz == {1: 4, 2: 2}

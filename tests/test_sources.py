@@ -86,3 +86,13 @@ def test_inventory_sees_empty_files_and_manifest(spark):
     assert [f["path"] for f in doc["files"]] == ["logs/forensic_audit.log", "model.joblib"]
     missing = INV.missing_assets(listing, ["forensic_audit.log", "model.joblib", "report.csv"]).collect()
     assert [r["name"] for r in missing] == ["report.csv"]
+
+
+def test_inventory_fans_out_subdirectories(spark):
+    root = scratch_path(spark, "t-fan")
+    for i in range(5):
+        _write(os.path.join(root, f"d{i}", "x"), f"f{i}.txt", "a" * i)
+    _write(root, "top.txt", "t")
+    got = {r["path"]: r["size_bytes"] for r in INV.list_files(spark, [root]).collect()}
+    assert got == {**{f"d{i}/x/f{i}.txt": i for i in range(5)}, "top.txt": 1}
+    assert len(INV._units(root)) == 6
