@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import linear, sigmoid, unit_hash
 
-from ..functions.constants import ALPHA, N_MEMBERS, PA_C, SEED
+from ..functions.constants import ALPHA, N_HASH_FEATURES, N_MEMBERS, PA_C, SEED
 
 
 # --------------------------------------------------------------- exact pieces
@@ -265,37 +265,40 @@ def model_table(spark, models: dict | Sequence[dict], model_id: str) -> DataFram
 # ------------------------------------------------------ incremental (mixing)
 
 
-def _sgd_partition(loss: str, lr: float, alpha: float, feats: list[str], label: str, wcol: str | None, bc):
+def _sgd_partition(loss: str, lr: float, alpha: float, feats: list[str], label: str, wcol: str | None, bc,
+                   batch: int):
     def run(batches):
+        import pandas as pd
         w0, b0 = bc.value
         w, b, n = w0.copy(), float(b0), 0
         for pdf in batches:
             x = pdf[feats].to_numpy(dtype=np.float64)
             y = pdf[label].to_numpy(dtype=np.float64)
             sw = pdf[wcol].to_numpy(dtype=np.float64) if wcol else np.ones(len(pdf))
-            for i in range(len(pdf)):
-                z = float(x[i] @ w) + b
-                if loss == "log":
-                    g = (1.0 / (1.0 + np.exp(-z)) - y[i]) * sw[i]
-                else:
-                    g = (z - y[i]) * sw[i]
+            for s in range(0, len(pdf), batch):
+                xs, ys, ws = x[s:s + batch], y[s:s + batch], sw[s:s + batch]
+                z = xs @ w + b
+                r = (1.0 / (1.0 + np.exp(-z)) - ys) if loss == "log" else (z - ys)
+                g = r * ws
                 w *= (1.0 - lr * alpha)
-                w -= lr * g * x[i]
-                b -= lr * g
+                w -= lr * (xs.T @ g) / len(xs)
+                b -= lr * g.mean()
             n += len(pdf)
         if n:
-            yield __import__("pandas").DataFrame({"w": [list(w * n)], "b": [b * n], "n": [n]})
+            yield pd.DataFrame({"w": [list(w * n)], "b": [b * n], "n": [n]})
     return run
 
 
 def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log", epochs: int = 5,
             lr: float = 0.01, alpha: float = ALPHA, weight_col: str | None = None,
-            init: dict | None = None) -> dict:
+            init: dict | None = None, batch: int = 1) -> dict:
     """Incremental SGD with parameter mixing: one distributed pass per epoch.
 
     Each partition streams its rows through constant-rate SGD from the
-    broadcast weights; the driver averages the partition weights by row
-    count.  The input is cached once (the reference re-parses per epoch).
+    broadcast weights, ``batch`` rows per vectorised step (default 1: the
+    reference's per-sample updates; larger batches trade update count for
+    vectorisation); the driver averages the partition weights by row count.
+    The input is cached once (the reference re-parses per epoch).
     """
     spark = df.sparkSession
     feats = list(features)
@@ -308,7 +311,7 @@ def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log
     try:
         for _ in range(epochs):
             bc = spark.sparkContext.broadcast((w, b))
-            part = base.mapInPandas(_sgd_partition(loss, lr, alpha, feats, label, weight_col, bc), schema)
+            part = base.mapInPandas(_sgd_partition(loss, lr, alpha, feats, label, weight_col, bc, batch), schema)
             tot = part.agg(F.sum("n").alias("n"), F.sum("b").alias("b"),
                            *[F.sum(F.col("w")[j]).alias(f"w{j}") for j in range(len(feats))]).collect()[0]
             bc.unpersist()
@@ -322,55 +325,61 @@ def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log
 
 
 def fit_passive_aggressive(bow: DataFrame, labels: DataFrame, key: str, label: str, epochs: int = 5,
-                           c: float = PA_C) -> DataFrame:
+                           c: float = PA_C, n_features: int = N_HASH_FEATURES) -> DataFrame:
     """PA-I (hinge) over sparse hashed features with parameter mixing per epoch.
 
     ``bow`` is the long ``(key, bucket, value)`` bag of words, ``labels`` maps
-    key -> 0/1.  Documents are regrouped once into (buckets, values) arrays;
-    each partition runs PA from the broadcast sparse weights and emits its
-    (weights * n); the mixed weights stay a distributed ``(bucket, weight)``
-    table, collected only as the model (bounded by the feature count).
-    Returns ``(bucket, weight)`` rows plus ``bucket = -1`` for the intercept.
+    key -> 0/1.  Documents are regrouped once into (buckets, values) arrays
+    (bounded by one document's vocabulary).  Each partition runs PA in order
+    over its documents against a dense NumPy weight vector (the update is
+    inherently sequential; each step is a vectorised gather/scatter), and
+    emits its non-zero weights times its row count; the mixed weights stay a
+    distributed ``(bucket, weight)`` table and only the model (bounded by
+    ``n_features``) reaches the driver.  Returns ``(bucket, weight)`` rows plus
+    ``bucket = -1`` for the intercept.
     """
     spark = bow.sparkSession
     docs = (bow.groupBy(key).agg(F.collect_list(F.struct("bucket", "value")).alias("_kv"))
             .join(labels.select(key, label), key)
             .select(key, F.col("_kv.bucket").alias("_b"), F.col("_kv.value").alias("_v"),
-                    (F.col(label) * 2 - 1).cast("double").alias("_y"))).cache()
-    weights: dict[int, float] = {}
-    intercept = 0.0
+                    (F.col(label) * 2 - 1).cast("double").alias("_y"))).persist()
+    idx, val, intercept = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
     schema = "bucket long, w double, n long"
     n_total = docs.count()
     try:
         for _ in range(epochs):
-            bc = spark.sparkContext.broadcast((weights, intercept))
+            bc = spark.sparkContext.broadcast((idx, val, intercept))
 
             def run(batches, bc=bc, c=c):
                 import pandas as pd
-                w0, b0 = bc.value
-                w, b, n = dict(w0), float(b0), 0
+                i0, v0, b = bc.value
+                w = np.zeros(n_features)
+                w[i0] = v0
+                n = 0
                 for pdf in batches:
                     for bs, vs, y in zip(pdf["_b"], pdf["_v"], pdf["_y"], strict=True):
-                        f = b + sum(w.get(int(k), 0.0) * v for k, v in zip(bs, vs, strict=True))
-                        loss = max(0.0, 1.0 - y * f)
-                        sq = float(np.dot(vs, vs))
+                        bs = np.asarray(bs, dtype=np.int64)
+                        vs = np.asarray(vs, dtype=np.float64)
+                        loss = max(0.0, 1.0 - y * (b + float(w[bs] @ vs)))
+                        sq = float(vs @ vs)
                         if loss > 0 and sq > 0:
                             tau = min(c, loss / sq)
-                            for k, v in zip(bs, vs, strict=True):
-                                w[int(k)] = w.get(int(k), 0.0) + tau * y * v
+                            np.add.at(w, bs, tau * y * vs)
                             b += tau * y
                     n += len(pdf)
                 if n:
-                    items = list(w.items()) + [(-1, b)]
-                    yield pd.DataFrame({"bucket": [k for k, _ in items], "w": [v * n for _, v in items],
-                                        "n": [n] * len(items)})
+                    nz = np.flatnonzero(w)
+                    yield pd.DataFrame({"bucket": np.append(nz, -1).astype(np.int64),
+                                        "w": np.append(w[nz], b) * n, "n": np.full(len(nz) + 1, n)})
 
             part = docs.select("_b", "_v", "_y").mapInPandas(run, schema)
             mixed = part.groupBy("bucket").agg((F.sum("w") / F.lit(float(n_total))).alias("w")).collect()
             bc.unpersist()
-            weights = {int(r["bucket"]): float(r["w"]) for r in mixed if r["bucket"] >= 0}
-            intercept = next((float(r["w"]) for r in mixed if r["bucket"] == -1), 0.0)
-        rows = sorted(weights.items()) + [(-1, intercept)]
+            pairs = sorted((int(r["bucket"]), float(r["w"])) for r in mixed)
+            intercept = next((w for k, w in pairs if k == -1), 0.0)
+            idx = np.array([k for k, _ in pairs if k >= 0], dtype=np.int64)
+            val = np.array([w for k, w in pairs if k >= 0], dtype=np.float64)
+        rows = [(int(k), float(v)) for k, v in zip(idx, val, strict=True)] + [(-1, float(intercept))]
         return spark.createDataFrame(rows, "bucket long, weight double")
     finally:
         docs.unpersist()

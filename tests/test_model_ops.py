@@ -179,3 +179,10 @@ def test_joint_ovr_and_ensemble(spark):
         assert all(abs(x - y) < 1e-3 for x, y in zip(joint[c]["coef"], sep[c]["coef"]))
     members = LR.fit_ensemble(df, ["a", "b"], "y", "k", n_members=3)
     assert len(members) == 3 and len({round(m["coef"][0], 6) for m in members}) == 3
+
+
+def test_minibatch_sgd_converges_with_more_epochs(spark):
+    df = _planted(spark).repartition(2)
+    batch = LR.fit_logistic(df, ["a", "b"], "y")
+    mb = LR.fit_sgd(df, ["a", "b"], "y", loss="log", epochs=20, lr=0.5, batch=16)
+    assert all(abs(a - b) < 0.3 for a, b in zip(batch["coef"], mb["coef"]))
