@@ -15,7 +15,7 @@ from ..sources import csv as CSV
 from ..sources import inventory as INV
 from ..sources import models as MS
 from ..session import scratch_path
-from .catalog_clean import CONTRACT, DIRTY_CUSTOMER_SQL, RULES_SQL, customer_rules, dirty_customer
+from .catalog_clean import DIRTY_CUSTOMER_SQL, RULES_SQL, customer_rules, dirty_customer
 from .fixtures import BINARY_FEATURES, binary_members, lit_sql, load, r6_sql
 from .registry import query
 

@@ -14,7 +14,7 @@ from ..functions.exprs import r6
 from ..operators import scoring as S
 from ..session import scratch_path
 from ..streaming import streams as ST
-from .catalog_model import SOFT_VOTE_CTE, soft_vote_sql  # noqa: F401
+from .catalog_model import soft_vote_sql
 from .fixtures import BINARY_FEATURES, binary_label, binary_members, r6_sql
 from .registry import query
 
