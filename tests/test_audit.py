@@ -109,3 +109,18 @@ def test_text_reports_written(spark):
     rep = flows.text_flow(spark, "/root/testdata/sf0.001", epochs=1)
     paths = flows.write_reports({"drivers": rep["drivers"], "alerts": rep["alerts"]}, scratch_path(spark, "rep"))
     assert spark.read.option("header", True).csv(paths["drivers"]).count() == rep["drivers"].count()
+
+
+def test_bloom_property_random_streams(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(keys=st.lists(st.integers(0, 400), min_size=1, max_size=300),
+           n_items=st.integers(5, 400), p=st.sampled_from([0.01, 0.05, 0.2]))
+    def check(keys, n_items, p):
+        expected = sequential_bloom(keys, n_items, p)
+        got = sorted(r["seq"] for r in A.bloom_dedup(_frame(spark, keys), "key", "seq", n_items, p).collect())
+        assert got == expected
+
+    check()
