@@ -208,7 +208,7 @@ def q_file_inventory(spark, d):
     docs = load(spark, d, "documents").select("source", "lang", "text")
     root = scratch_path(spark, "s15")
     docs.write.mode("overwrite").partitionBy("source", "lang").text(root)
-    return INV.file_status(INV.list_files(spark, [root]))
+    return INV.file_status(INV.list_files(spark, [root], ordered=True))
 
 
 # ---------------------------------------------------------------- model store

@@ -65,11 +65,12 @@ def _units(root: str) -> list[tuple[str, str, bool]]:
     return [(root, "", False)] + [(root, d, True) for d in sorted(subs)]
 
 
-def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+def list_files(spark: SparkSession, roots: Sequence[str], ordered: bool = False) -> DataFrame:
     """``(root, path, size_bytes)`` for every file under each root, recursively.
 
     Each root is split into its top-level files and its sub-directories; every
     unit is a row walked by an executor, so a wide tree lists in parallel.
+    ``ordered`` sorts the listing by (root, path) -- a distributed range sort.
     """
     units = [u for r in roots for u in _units(r)]
     units_df = spark.createDataFrame(units, "root string, sub string, recursive boolean").repartition(
@@ -82,7 +83,8 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
                     for p, s in _walk(r, sub, bool(rec))]
             yield pd.DataFrame(rows, columns=["root", "path", "size_bytes"])
 
-    return units_df.mapInPandas(walk, LISTING_SCHEMA)
+    listing = units_df.mapInPandas(walk, LISTING_SCHEMA)
+    return listing.orderBy("root", "path") if ordered else listing
 
 
 def base_name(path_col: str = "path"):
