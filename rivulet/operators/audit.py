@@ -125,24 +125,33 @@ def audit(df: DataFrame, key: str, seq: str, mode: str = "exact",
 
 def audit_summary(df: DataFrame, key: str, seq: str, mode: str = "exact",
                   n_items: int = BLOOM_N_ITEMS, p: float = BLOOM_P) -> DataFrame:
-    """One row: total, null rows, duplicates dropped, total dropped, retention %."""
+    """One row: total, null rows, duplicates dropped, total dropped, retention %.
+
+    Exact mode is a single aggregate: first-seen dedup keeps one row per
+    distinct key, so the rows kept are ``count(DISTINCT key)`` over the non-null
+    rows (map-side dedup of keys, so a hot key is one row per partition, and
+    no full row is shuffled).  Bloom mode counts the survivors, which are
+    computed over distinct keys.
+    """
     base = nan_to_null(df)
     any_null = F.lit(False)
     for c in base.columns:
         any_null = any_null | F.col(c).isNull()
     flagged = base.withColumn("_null", any_null)
-    clean = flagged.where(~F.col("_null"))
     if mode == "exact":
-        kept = first_seen(clean, key, seq)
+        counts = flagged.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("_null").alias("null_rows"),
+                             F.count_distinct(F.when(~F.col("_null"), F.col(key))).alias("_kept"))
     else:
-        kept = bloom_survivors(clean, key, seq, n_items, p)
-    marked = flagged.join(kept.withColumn("_kept", F.lit(True)), [key, seq], "left")
-    total = F.count(F.lit(1))
-    nulls = F.count_if(F.col("_null"))
-    dups = F.count_if(~F.col("_null") & F.col("_kept").isNull())
-    return (marked.agg(total.alias("total_rows"), nulls.alias("null_rows"),
-                       dups.alias("duplicates_dropped"))
+        survivors = bloom_survivors(flagged.where(~F.col("_null")), key, seq, n_items, p)
+        marked = flagged.select("_null", F.lit(None).cast("long").alias("_s")).unionByName(
+            survivors.select(F.lit(None).cast("boolean").alias("_null"), F.lit(1).cast("long").alias("_s")))
+        counts = marked.agg(F.count_if(F.col("_null").isNotNull()).alias("total_rows"),
+                            F.count_if(F.col("_null") == F.lit(True)).alias("null_rows"),
+                            F.count("_s").alias("_kept"))
+    dups = F.col("total_rows") - F.col("null_rows") - F.col("_kept")
+    return (counts.withColumn("duplicates_dropped", dups)
             .withColumn("total_dropped", F.col("null_rows") + F.col("duplicates_dropped"))
             .withColumn("retention_pct", F.when(F.col("total_rows") > 0, F.round(
                 F.lit(100.0) * (F.col("total_rows") - F.col("total_dropped")) / F.col("total_rows"), 6))
-                .otherwise(F.lit(0.0))))
+                .otherwise(F.lit(0.0)))
+            .select("total_rows", "null_rows", "duplicates_dropped", "total_dropped", "retention_pct"))

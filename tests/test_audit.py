@@ -124,3 +124,11 @@ def test_bloom_property_random_streams(spark):
         assert got == expected
 
     check()
+
+
+def test_audit_summary_bloom_mode_counts_survivors(spark):
+    keys = [(i * 7919) % 3242 for i in range(4000)]
+    df = _frame(spark, keys).withColumn("x", F.lit(1.0))
+    r = A.audit_summary(df, "key", "seq", mode="bloom", n_items=300, p=0.01).collect()[0]
+    kept = len(sequential_bloom(keys, 300, 0.01))
+    assert (r["total_rows"], r["null_rows"], r["duplicates_dropped"]) == (4000, 0, 4000 - kept)
