@@ -15,7 +15,7 @@ from ..operators import scoring as S
 from ..session import scratch_path
 from ..streaming import streams as ST
 from .catalog_model import soft_vote_sql
-from .fixtures import BINARY_FEATURES, binary_label, binary_members, r6_sql
+from .fixtures import BINARY_FEATURES, BINARY_LABEL_SQL, binary_label, binary_members, lit_sql, r6_sql
 from .registry import query
 
 
@@ -106,7 +106,19 @@ def q_stream_score(spark, d):
     return spark.read.parquet(sink).select("l_orderkey", "l_linenumber", r6("probability").alias("probability"))
 
 
-@query("stream_fit", "T6")
+def _stream_fit_sql() -> str:
+    lr, alpha = 0.1, 1e-4
+    feats = {"l_quantity": "l_quantity / CAST(50 AS DOUBLE)", "l_discount": "l_discount", "l_tax": "l_tax"}
+    base = (f"SELECT {', '.join(f'{e} AS {f}' for f, e in feats.items())}, {BINARY_LABEL_SQL} AS y, "
+            f"(1.0 * (0.5 - {BINARY_LABEL_SQL})) AS r FROM lineitem")
+    parts = [f"SELECT CAST(0 AS INTEGER) AS batch_id, '{f}' AS feature, "
+             f"{r6_sql(f'0.0 - {lit_sql(lr)} * (avg(r * {f}) + {lit_sql(alpha)} * 0.0)')} AS coef FROM b"
+             for f in feats]
+    parts.append(f"SELECT CAST(0 AS INTEGER), '_intercept', {r6_sql(f'0.0 - {lit_sql(lr)} * avg(r)')} FROM b")
+    return f"WITH b AS ({base}) " + " UNION ALL ".join(parts)
+
+
+@query("stream_fit", "T6", _stream_fit_sql())
 def q_stream_fit(spark, d):
     feats = ["l_quantity", "l_discount", "l_tax"]
     s = ST.file_stream(spark, d, "lineitem.parquet").select(
@@ -114,4 +126,4 @@ def q_stream_fit(spark, d):
         binary_label().alias("label"))
     params = scratch_path(spark, "t6")
     ST.run_available_now(s, params, foreach_batch=ST.online_fit_batches(feats, "label", params), name="t6")
-    return spark.read.parquet(params)
+    return spark.read.parquet(params).select("batch_id", "feature", r6("coef").alias("coef"))
