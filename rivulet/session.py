@@ -34,22 +34,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def _plain(uri: str) -> str:
+    """``file:/x`` / ``file:///x`` -> ``/x``; other schemes (hdfs, s3a, ...) unchanged."""
+    if uri.startswith("file://"):
+        return "/" + uri[len("file://"):].lstrip("/")
+    if uri.startswith("file:"):
+        return "/" + uri[len("file:"):].lstrip("/")
+    return uri
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder, creating a local one only if unset.
+
+    ``spark.checkpoint.dir`` is a core setting that cannot be changed at run
+    time, so when it is absent (local tests) only the SparkContext's
+    checkpoint directory is set.
+    """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
-        return base
-    existing = spark.sparkContext.getCheckpointDir()
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+        return _plain(base)
+    existing = sc.getCheckpointDir()
     if existing:
-        return existing
+        return _plain(existing)
     base = tempfile.mkdtemp(prefix="rivulet-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    sc.setCheckpointDir(base)
     return base
 
 
@@ -71,3 +86,32 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rivulet`` importable by executor Python workers (``--py-files``).
+
+    Operators that run Python on executors (``mapInPandas``) pickle references
+    to this package's functions, so workers must be able to import it.  The
+    package is zipped once per SparkContext and handed to ``addPyFile``; Spark
+    serves it to every executor, including ones started later.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="rivulet-pyfiles-"), "rivulet.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
