@@ -168,7 +168,38 @@ def fit_logistic_joint(df: DataFrame, features: Sequence[str], labels: Sequence[
         base.unpersist()
 
 
-def fit_linear(df: DataFrame, features: Sequence[str], label: str, alpha: float = ALPHA) -> dict:
+MOMENT_MAX_FEATURES = 32  # closed-form ridge needs d(d+1)/2 covariance aggregates
+
+
+def fit_linear(df: DataFrame, features: Sequence[str], label: str, alpha: float = ALPHA,
+               solver: str = "auto") -> dict:
+    """L2 least squares: minimise (1/2n)||y - Xw - b||^2 + (alpha/2)||w||^2.
+
+    Narrow inputs ("moments"): one aggregate pass collects means and population
+    covariances (``covar_pop`` merges partial results stably), and the
+    d x d system ``(Cxx + alpha I) w = Cxy`` is solved on the driver; the
+    intercept is ``mean(y) - mean(x) . w``.  Wide inputs: Spark ML's
+    normal-equation solver.
+    """
+    feats = list(features)
+    if solver == "moments" or (solver == "auto" and len(feats) <= MOMENT_MAX_FEATURES):
+        aggs = [F.avg(label).alias("_my")] + [F.avg(f).alias(f"_m{i}") for i, f in enumerate(feats)]
+        aggs += [F.covar_pop(feats[i], feats[j]).alias(f"_c{i}_{j}")
+                 for i in range(len(feats)) for j in range(i, len(feats))]
+        aggs += [F.covar_pop(f, label).alias(f"_cy{i}") for i, f in enumerate(feats)]
+        r = df.select(*feats, label).agg(*aggs).collect()[0]
+        d = len(feats)
+        cxx = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i, d):
+                cxx[i, j] = cxx[j, i] = r[f"_c{i}_{j}"]
+        cxy = np.array([r[f"_cy{i}"] for i in range(d)], dtype=np.float64)
+        if d == 1:
+            w = [cxy[0] / (cxx[0, 0] + alpha)]
+        else:
+            w = list(np.linalg.solve(cxx + alpha * np.eye(d), cxy))
+        b = r["_my"] - sum(r[f"_m{i}"] * w[i] for i in range(d))
+        return {"features": feats, "coef": [float(v) for v in w], "intercept": float(b)}
     from pyspark.ml.regression import LinearRegression
     lr = LinearRegression(featuresCol="_x", labelCol=label, regParam=alpha, elasticNetParam=0.0,
                           standardization=False, solver="normal")

@@ -15,7 +15,8 @@ from ..operators import text as TX
 from ..sources import models as MS
 from ..session import scratch_path
 from .catalog_model import train_rows
-from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, load
+from ..functions.exprs import r6
+from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, lit_sql, load, r6_sql
 from .registry import query
 
 
@@ -43,10 +44,19 @@ def q_fit_ensemble(spark, d):
     return LR.model_table(spark, members, "ensemble")
 
 
-@query("fit_linear", "M5")
+@query("fit_linear", "M5,M10", f"""
+WITH m AS (SELECT avg(p_retailprice) AS my, avg(CAST(p_size AS DOUBLE)) AS mx,
+                  covar_pop(CAST(p_size AS DOUBLE), CAST(p_size AS DOUBLE)) AS cxx,
+                  covar_pop(CAST(p_size AS DOUBLE), p_retailprice) AS cxy FROM part),
+     w AS (SELECT my, mx, cxy / (cxx + {lit_sql(LR.ALPHA)}) AS slope FROM m)
+SELECT 'linear' AS model_id, '0' AS member, 'p_size' AS feature, {r6_sql('slope')} AS coef FROM w
+UNION ALL
+SELECT 'linear', '0', '_intercept', {r6_sql('my - mx * slope')} FROM w
+""")
 def q_fit_linear(spark, d):
     p = load(spark, d, "part").select(F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
-    return LR.model_table(spark, LR.fit_linear(p, ["p_size"], "p_retailprice"), "linear")
+    table = LR.model_table(spark, LR.fit_linear(p, ["p_size"], "p_retailprice"), "linear")
+    return table.withColumn("coef", r6("coef"))
 
 
 @query("fit_ovr", "M6")
