@@ -186,3 +186,15 @@ def test_minibatch_sgd_converges_with_more_epochs(spark):
     batch = LR.fit_logistic(df, ["a", "b"], "y")
     mb = LR.fit_sgd(df, ["a", "b"], "y", loss="log", epochs=20, lr=0.5, batch=16)
     assert all(abs(a - b) < 0.3 for a, b in zip(batch["coef"], mb["coef"]))
+
+
+def test_moments_ridge_matches_spark_ml_normal(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 2))
+    y = 3 * x[:, 0] - 2 * x[:, 1] + 1 + 0.1 * rng.normal(size=3000)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
+    m = LR.fit_linear(df, ["a", "b"], "y", alpha=0.0, solver="moments")
+    s = LR.fit_linear(df, ["a", "b"], "y", alpha=0.0, solver="normal")
+    assert all(abs(p - q) < 1e-8 for p, q in zip(m["coef"], s["coef"])) and abs(m["intercept"] - s["intercept"]) < 1e-8
+    ridge = LR.fit_linear(df, ["a", "b"], "y", alpha=0.5, solver="moments")
+    assert abs(ridge["coef"][0]) < abs(m["coef"][0])                 # shrinkage
