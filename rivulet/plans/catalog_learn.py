@@ -1,7 +1,10 @@
-"""Registered queries: training (rows-only checks; weights are solver-specific).
+"""Registered queries: training.
 
-Correctness of the learners is checked in the tests instead: objective
-against the planted/closed-form optimum and recovery of known coefficients.
+Iterative fits (logistic, ensemble, one-vs-rest, Passive-Aggressive), the
+Nystroem map and the parameter store are rows-only checks: their weights are
+solver-specific.  Their correctness is checked in the tests instead (Newton
+== Spark ML L-BFGS, recovery of planted coefficients, gradient zero at the
+optimum).  The closed-form ridge fit has an exact oracle.
 """
 
 from __future__ import annotations
