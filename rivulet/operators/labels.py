@@ -46,13 +46,17 @@ def collect_classes(df: DataFrame, target: str) -> list:
 def weight_column(df: DataFrame, target: str, name: str = "class_weight") -> DataFrame:
     """Attach the balanced class weight to every row.
 
-    The weight table has one row per class; it is broadcast only after its
-    row count is checked against :data:`MAX_CLASSES` (a plain join otherwise),
-    so the big side does not shuffle.
+    The weight table (one row per class) is computed once and collected under
+    the :data:`MAX_CLASSES` bound, then applied as a literal ``map`` lookup:
+    no join and no second aggregation pass.  Above the bound it falls back to
+    a plain join that AQE plans by measured size.
     """
-    w = class_weights(df, target).select(target, F.col("weight").alias(name))
-    n_classes = w.limit(MAX_CLASSES + 1).count()
-    return df.join(F.broadcast(w) if n_classes <= MAX_CLASSES else w, target, "left")
+    w = class_weights(df, target)
+    rows = w.limit(MAX_CLASSES + 1).collect()
+    if len(rows) <= MAX_CLASSES:
+        lookup = F.create_map(*[x for r in rows for x in (F.lit(r[target]), F.lit(float(r["weight"])))])
+        return df.withColumn(name, lookup[F.col(target)])
+    return df.join(w.select(target, F.col("weight").alias(name)), target, "left")
 
 
 def binarise(c: str | Column, threshold: float) -> Column:
