@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -47,21 +43,29 @@ def uni_and_bigrams(toks: Column) -> Column:
     return F.concat(toks, bigrams(toks))
 
 
-@functools.lru_cache(maxsize=4)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's bundled stop-word list, read straight from the mllib jar.
-
-    Same list ``StopWordsRemover.loadDefaultStopWords`` returns, but available
-    without a running JVM (the oracle SQL needs it too).
-    """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                  "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split()
-                return tuple(w.strip() for w in words if w.strip())
-    raise FileNotFoundError(f"no bundled stop-word list for {language!r}")
+# The English stop list of the vectoriser library whose results
+# the phrase drivers reproduce.
+ENGLISH_STOP_WORDS = tuple("""
+a about above across after afterwards again against all almost alone along already also although always am among
+amongst amoungst amount an and another any anyhow anyone anything anyway anywhere are around as at back be became
+because become becomes becoming been before beforehand behind being below beside besides between beyond bill both
+bottom but by call can cannot cant co con could couldnt cry de describe detail do done down due during each eg eight
+either eleven else elsewhere empty enough etc even ever every everyone everything everywhere except few fifteen fifty
+fill find fire first five for former formerly forty found four from front full further get give go had has hasnt have
+he hence her here hereafter hereby herein hereupon hers herself him himself his how however hundred i ie if in inc
+indeed interest into is it its itself keep last latter latterly least less ltd made many may me meanwhile might mill
+mine more moreover most mostly move much must my myself name namely neither never nevertheless next nine no nobody
+none noone nor not nothing now nowhere of off often on once one only onto or other others otherwise our ours ourselves
+out over own part per perhaps please put rather re same see seem seemed seeming seems serious several she should show
+side since sincere six sixty so some somehow someone something sometime sometimes somewhere still such system take ten
+than that the their them themselves then thence there thereafter thereby therefore therein thereupon these they thick
+thin third this those though three through throughout thru thus to together too top toward towards twelve twenty two
+un under until up upon us very via was we well were what whatever when whence whenever where whereafter whereas
+whereby wherein whereupon wherever whether which while whither who whoever whole whom whose why will with within
+without would yet you your yours yourself yourselves
+""".split())
+
+
+def default_stop_words() -> tuple[str, ...]:
+    """The default stop list of the phrase drivers; plain data, no file or JVM needed."""
+    return ENGLISH_STOP_WORDS

@@ -123,7 +123,7 @@ SELECT Segment, Phrase, Frequency FROM (
 """
 
 
-@query("phrase_drivers", "G13,O2,P18,G14", _drivers_sql())
+@query("phrase_drivers", "G13,O2,P18", _drivers_sql)
 def q_phrase_drivers(spark, d):
     docs = load(spark, d, "documents").join(load(spark, d, "labels").select("doc_id", "quality"), "doc_id")
     test = docs.where(L.holdout_flag("doc_id", TEST_RATIO, SEED))
