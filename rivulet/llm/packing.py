@@ -18,7 +18,11 @@ checksum) are shuffled, never ids or texts.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
+import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +45,30 @@ MAX_KNOWN = 3 << 18
 MARKS = re.compile(r"(?<=[A-Za-z0-9])([.,])(?=[ \n]|$)")
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _word_model(tokenizer):
+    """The tokenizer's own model cut at spaces only, and which ids end a word; (None, None) where words have no such end."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    spec = json.loads(tokenizer.to_str())["model"]
+    end = spec.get("end_of_word_suffix")
+    if spec["type"] != "BPE" or not end or any(c not in spec["vocab"] for x in string.ascii_lowercase for c in (x, x + end)):
+        return None, None
+    model = Tokenizer(models.BPE(spec["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["merges"]],
+                                 end_of_word_suffix=end))
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    last[[i for t, i in spec["vocab"].items() if t.endswith(end)]] = True
+    return model, last
+
+
 def word_encoder(tokenizer):
     """A function from texts to id arrays, equal to the tokenizer's own.
 
@@ -51,42 +79,69 @@ def word_encoder(tokenizer):
     """
     mark = next(iter(tokenizer.get_added_tokens_decoder().values())).content
     mark_id = tokenizer.token_to_id(mark)
-    known: dict[str, int] = {}  # the place of a part's ids
-    flat, ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    plain, last = _word_model(tokenizer)
+    known = _Numbers()
+    flat, start, size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids_of(model, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(parts: list[str]) -> None:
-        nonlocal flat, ends
-        plain = [w for w in parts if mark not in w]
-        found = []
-        for i in range(0, len(plain), 64):
-            ids = np.array(tokenizer.encode(mark.join(plain[i:i + 64]), add_special_tokens=False).ids, np.uint32)
-            cut = np.flatnonzero(ids == mark_id)
-            found.append((ids[ids != mark_id], np.diff(np.r_[-1, cut, len(ids)]) - 1))
-        odd = [w for w in parts if mark in w]
-        for w in odd:
-            ids = np.array(tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-            found.append((ids, np.array([len(ids)])))
-        known.update(zip(plain + odd, range(len(known), len(known) + len(parts)), strict=True))
-        flat = np.concatenate([flat, *(ids for ids, _ in found)])
-        ends = np.r_[ends, ends[-1] + np.cumsum(np.concatenate([n for _, n in found]))]
+        """Ids of the parts that were numbered last."""
+        nonlocal flat, start, size
+        first = len(start)
+        where = dict(zip(parts, range(first, first + len(parts)), strict=True))
+        simple, odd, rest, old = {}, [], [], []
+        for w, i in where.items():
+            if mark in w:
+                odd.append(w)
+            elif plain is not None and w.isascii() and w.isalpha():
+                # letters a-z in lower case need no normalising; the last id of a word tells its end
+                low = w.lower()
+                j = known.get(low, first)
+                if j < first:
+                    old.append((i, j))
+                else:
+                    simple.setdefault(low, []).append(i)
+            else:
+                rest.append(w)
+        lower = list(simple)
+        found = ids_of(plain, [" ".join(lower[i:i + 256]) for i in range(0, len(lower), 256)])
+        sizes = [np.diff(np.r_[-1, np.flatnonzero(last[ids])]) for ids in found]
+        marked = ids_of(tokenizer, [mark.join(rest[i:i + 64]) for i in range(0, len(rest), 64)])
+        sizes += [np.diff(np.r_[-1, np.flatnonzero(ids == mark_id), len(ids)]) - 1 for ids in marked]
+        alone = ids_of(tokenizer, odd)
+        sizes.append(np.array([len(x) for x in alone], np.int64))
+        lengths = np.concatenate(sizes)
+        begin = len(flat) + np.cumsum(lengths) - lengths
+        flat = np.concatenate([flat, *found, *(ids[ids != mark_id] for ids in marked), *alone])
+        start, size = (np.r_[x, np.zeros(len(parts), np.int64)] for x in (start, size))
+        owners = [i for low in lower for i in simple[low]] + [where[w] for w in rest + odd]
+        times = [len(simple[low]) for low in lower] + [1] * (len(rest) + len(odd))
+        start[owners], size[owners] = np.repeat(begin, times), np.repeat(lengths, times)
+        if old:
+            mine, theirs = np.array(old).T
+            start[mine], size[mine] = start[theirs], size[theirs]
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        nonlocal flat, ends
-        cut = [MARKS.sub(r" \1", text).replace("\n", " ").split(" ") for text in texts]
-        before = len(known)
-        if new := list({w for words in cut for w in words if w not in known}):
+        nonlocal flat, start, size
+        before, used = len(start), len(flat)
+        places = []
+        for text in texts:
+            words = MARKS.sub(r" \1", text).replace("\n", " ").split(" ")
+            places.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+        new = list(itertools.islice(reversed(known), len(known) - before))[::-1]
+        if new:
             learn(new)
         out = []
-        for words in cut:
-            place = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            sizes = ends[place + 1] - ends[place]
-            first = np.repeat(ends[place] - (np.cumsum(sizes) - sizes), sizes)
+        for place in places:
+            sizes = size[place]
+            first = np.repeat(start[place] - (np.cumsum(sizes) - sizes), sizes)
             out.append(flat[first + np.arange(len(first))])
         if len(known) > MAX_KNOWN:  # the new ones served this call only
             for w in new:
                 del known[w]
-            ends = ends[:before + 1].copy()
-            flat = flat[:ends[-1]].copy()
+            flat, start, size = flat[:used].copy(), start[:before].copy(), size[:before].copy()
         return out
 
     return encode
@@ -95,6 +150,7 @@ def word_encoder(tokenizer):
 @functools.lru_cache(1)
 def _encoder(tokenizer_json: str):
     """The encoder of a worker process; the tasks it runs share its dictionary."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
     from tokenizers import Tokenizer
 
     return word_encoder(Tokenizer.from_str(tokenizer_json))
