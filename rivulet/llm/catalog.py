@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, token_counts
+from . import packing, simhash, substring_dedup, suffix_dedup, token_counts
 from .common import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every 35-word window that occurs again, removed."""
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Harmonic packing of every document into sequences of 2048 tokens."""
@@ -32,6 +39,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every 100-byte string that also starts earlier, removed."""
+    kept = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by rank-synchronous merging."""
