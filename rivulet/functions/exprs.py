@@ -20,8 +20,11 @@ NULL_TOKENS: tuple[str, ...] = (
     "nan", "null",
 )
 
-# Hex digits folded per Horner step: 16**7 * m < 2**63 for any m < 2**31.
-_HEX_STEP = 7
+def _hex_step(m: int) -> int:
+    """Hex digits folded per Horner step, so that ``16**step * m`` stays below 2**63."""
+    if not 0 < m < 2**59:
+        raise ValueError("modulus must be in (0, 2**59)")
+    return min(7, (63 - m.bit_length()) // 4)
 
 
 def col_of(c: str | Column) -> Column:
@@ -36,11 +39,10 @@ def key_text(c: str | Column) -> Column:
 def hex_mod(hex_col: Column, m: int, n_digits: int) -> Column:
     """``int(hex, 16) % m`` for a fixed-width lower-case hex string.
 
-    Horner evaluation in 7-digit steps keeps every intermediate below 2**63, so
-    128/160-bit digests reduce exactly with 64-bit arithmetic (m < 2**31).
+    Horner evaluation in steps of a few digits keeps every intermediate below
+    2**63, so 128/160-bit digests reduce exactly with 64-bit arithmetic.
     """
-    if not 0 < m < 2**31:
-        raise ValueError("modulus must be in (0, 2**31)")
+    width = _hex_step(m)
     if m & (m - 1) == 0:
         # power of two: only the trailing ceil(log16 m) hex digits matter
         d = max(1, (m.bit_length() - 1 + 3) // 4)
@@ -49,7 +51,7 @@ def hex_mod(hex_col: Column, m: int, n_digits: int) -> Column:
     acc: Column = F.lit(0).cast("long")
     pos = 1
     while pos <= n_digits:
-        step = min(_HEX_STEP, n_digits - pos + 1)
+        step = min(width, n_digits - pos + 1)
         piece = F.conv(F.substring(hex_col, pos, step), 16, 10).cast("long")
         acc = F.pmod(acc * F.lit(16**step) + piece, F.lit(m))
         pos += step
@@ -61,10 +63,10 @@ def hex_mod_sql(hex_sql: str, m: int, n_digits: int) -> str:
     if m & (m - 1) == 0:
         d = max(1, (m.bit_length() - 1 + 3) // 4)
         return f"(('0x' || substr({hex_sql}, {n_digits - d + 1}, {d}))::BIGINT % {m})"
-    acc = "0::BIGINT"
+    acc, width = "0::BIGINT", _hex_step(m)
     pos = 1
     while pos <= n_digits:
-        step = min(_HEX_STEP, n_digits - pos + 1)
+        step = min(width, n_digits - pos + 1)
         piece = f"('0x' || substr({hex_sql}, {pos}, {step}))::BIGINT"
         acc = f"(({acc}) * {16**step} + {piece}) % {m}"
         pos += step

@@ -47,7 +47,13 @@ def first_seen_dedup(df: DataFrame, key: str, seq: str) -> DataFrame:
 
     ``seq`` must be unique (a row sequence such as an event id).
     """
-    return df.join(first_seen(df, key, seq), [key, seq], "left_semi")
+    return _matching(df, first_seen(df, key, seq), key, seq)
+
+
+def _matching(df: DataFrame, kept: DataFrame, key: str, seq: str) -> DataFrame:
+    """Rows of ``df`` whose key and sequence are in ``kept``; a null key equals a null key."""
+    k = kept.select(F.col(key).alias("_key"), F.col(seq).alias("_seq"))
+    return df.join(k, F.col(key).eqNullSafe(F.col("_key")) & (F.col(seq) == F.col("_seq")), "left_semi")
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
@@ -60,9 +66,10 @@ def bloom_bits(df: DataFrame, key: str, m: int, k: int) -> DataFrame:
     """Explode the k distinct Bloom bit positions of each row's key.
 
     Bit i is ``(md5(s) + i * sha1(s)) mod m`` with ``s`` the key's text; both
-    digests are reduced mod m first, which is exact.
+    digests are reduced mod m first, which is exact.  A null key has the text
+    ``nan``, as a missing index label has.
     """
-    s = key_text(key)
+    s = F.coalesce(key_text(key), F.lit("nan"))
     h1 = hex_mod(F.md5(s), m, 32)
     h2 = hex_mod(F.sha1(s), m, 40)
     bits = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
@@ -93,7 +100,7 @@ def bloom_survivors(df: DataFrame, key: str, seq: str, n_items: int,
 
 def bloom_dedup(df: DataFrame, key: str, seq: str, n_items: int, p: float = 0.01) -> DataFrame:
     """Rows kept by the Bloom-filter first-seen dedup (false positives included)."""
-    return df.join(bloom_survivors(df, key, seq, n_items, p), [key, seq], "left_semi")
+    return _matching(df, bloom_survivors(df, key, seq, n_items, p), key, seq)
 
 
 def bloom_capacity(df: DataFrame, key: str, n_items: int) -> DataFrame:

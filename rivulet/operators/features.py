@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +14,6 @@ from pyspark.sql import types as T
 from ..functions.constants import N_COMPONENTS, RBF_GAMMA, SEED
 from ..functions.exprs import order_hash
 
-MAX_COMPONENTS = 20_000  # kernel basis size bound (rows collected to the driver)
-
-
 def moment_aggs(features: Sequence[str]) -> list:
     out = []
     for i, f in enumerate(features):
@@ -48,49 +46,64 @@ def standard_scale(df: DataFrame, moments: Mapping[str, tuple[float, float]],
                            for f, (m, s) in moments.items()})
 
 
-def cumulative_sums(df: DataFrame, order_col: str, cols: Sequence[str], block: int = 10_000) -> DataFrame:
-    """Inclusive running sums of ``cols`` in integer ``order_col`` order (e.g. chunk ids).
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Count, mean and sum of squared deviations of two groups together."""
+    (na, ma, qa), (nb, mb, qb) = a, b
+    n = na + nb
+    if not n:
+        return 0, 0.0, 0.0
+    d = mb - ma
+    return n, ma + d * nb / n, qa + qb + d * d * na * nb / n
 
-    Two-level prefix sum: rows are grouped into blocks of ``block``
-    consecutive ids; block totals (one row per block) get their offsets from
-    a small window, and rows get running sums from a window partitioned by
-    block.  No task holds more than one block, whatever the row count.
-    """
-    blk = F.floor(F.col(order_col) / F.lit(block))
-    src = df.withColumn("_blk", blk)
-    totals = src.groupBy("_blk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                                      for c in cols])
-    inner = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = src.join(offsets, "_blk").withColumns(
-        {c: F.col(f"_o_{c}") + F.sum(c).over(inner) for c in cols})
-    return out.drop("_blk", *[f"_o_{c}" for c in cols])
-
-
-def running_moments(df: DataFrame, features: Sequence[str], chunk_col: str) -> DataFrame:
+
+def _running(order: str, n_features: int):
+    """Running (n, mean, M2) over the rows of a frame in ``order``."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop(columns="_all", errors="ignore").sort_values(order, ignore_index=True)
+        for i in range(n_features):
+            total, out = (0, 0.0, 0.0), []
+            for row in zip(pdf[f"n{i}"], pdf[f"m{i}"], pdf[f"q{i}"], strict=True):
+                total = _merged(total, row)
+                out.append(total)
+            for k, c in enumerate("nmq"):
+                pdf[f"{c}{i}"] = [t[k] for t in out]
+        return pdf
+
+    return run
+
+
+def running_moments(df: DataFrame, features: Sequence[str], chunk_col: str, block: int = 4_096) -> DataFrame:
     """Per chunk c: mean and population std over chunks ``0..c`` (first-epoch scaler).
 
-    Partial sums per chunk (one row per chunk) -> cumulative window over the
-    chunk table.  The data itself is only aggregated, never sorted.
+    One (n, mean, M2) per chunk from a partial aggregate; the data itself is
+    never sorted.  Chunks are merged in order in blocks of ``block`` ids, blocks
+    in order among themselves, and each chunk's running triple with that of all
+    blocks before its own: deviations are only ever taken from nearby means, so
+    columns of large magnitude keep their variance.
     """
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    k = range(len(features))
+    aggs = []
     for i, f in enumerate(features):
-        aggs += [F.sum(f).alias(f"_s{i}"), F.sum(F.col(f) * F.col(f)).alias(f"_q{i}")]
-    per_chunk = df.groupBy(chunk_col).agg(*aggs)
-    sums = ["_n"] + [f"_s{i}" for i in range(len(features))] + [f"_q{i}" for i in range(len(features))]
-    cum = cumulative_sums(per_chunk, chunk_col, sums)
-    cum = cum.select(chunk_col, F.col("_n").alias("_cn"),
-                     *[F.col(f"_s{i}").alias(f"_cs{i}") for i in range(len(features))],
-                     *[F.col(f"_q{i}").alias(f"_cq{i}") for i in range(len(features))])
-    cols = [chunk_col]
+        aggs += [F.count(f).alias(f"n{i}"), F.coalesce(F.avg(f), F.lit(0.0)).cast("double").alias(f"m{i}"),
+                 F.coalesce(F.var_pop(f) * F.count(f), F.lit(0.0)).cast("double").alias(f"q{i}")]
+    per_chunk = df.groupBy(chunk_col).agg(*aggs).withColumn("_blk", F.floor(F.col(chunk_col) / F.lit(block)))
+    kind = per_chunk.schema[chunk_col].dataType.simpleString()
+    triple = ", ".join(f"n{i} long, m{i} double, q{i} double" for i in k)
+    within = per_chunk.groupBy("_blk").applyInPandas(_running(chunk_col, len(k)), f"{chunk_col} {kind}, {triple}, _blk long")
+    last = within.groupBy("_blk").agg(*[F.max_by(f"{c}{i}", chunk_col).alias(f"{c}{i}") for i in k for c in "nmq"])
+    upto = last.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(  # one row for each block
+        _running("_blk", len(k)), f"_blk long, {triple}")
+    earlier = Window.orderBy("_blk")
+    before = upto.select("_blk", *[F.coalesce(F.lag(f"{c}{i}").over(earlier), F.lit(0)).alias(f"b{c}{i}") for i in k for c in "nmq"])
+    cols = [F.col(chunk_col)]
     for i, f in enumerate(features):
-        mean = F.col(f"_cs{i}") / F.col("_cn")
-        var = F.greatest(F.col(f"_cq{i}") / F.col("_cn") - mean * mean, F.lit(0.0))
-        sd = F.sqrt(var)
-        cols += [mean.alias(f"{f}_mean"),
-                 F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"{f}_scale")]
-    return cum.select(*cols)
+        n = F.col(f"n{i}") + F.col(f"bn{i}")
+        d = F.col(f"m{i}") - F.col(f"bm{i}")
+        mean = F.when(F.col(f"bn{i}") == 0, F.col(f"m{i}")).otherwise(F.col(f"bm{i}") + F.try_divide(d * F.col(f"n{i}"), n))
+        m2 = F.col(f"q{i}") + F.col(f"bq{i}") + F.coalesce(F.try_divide(d * d * F.col(f"n{i}") * F.col(f"bn{i}"), n), F.lit(0.0))
+        sd = F.sqrt(F.coalesce(F.try_divide(m2, n), F.lit(0.0)))
+        cols += [mean.alias(f"{f}_mean"), F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"{f}_scale")]
+    return within.join(before, "_blk").select(*cols)
 
 
 def scale_as_of_chunk(df: DataFrame, features: Sequence[str], chunk_col: str) -> DataFrame:
@@ -118,8 +131,6 @@ def select_basis(df: DataFrame, key: str, features: Sequence[str], n_components:
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each partition
     keeps its own top n, so only n rows per partition ever move.
     """
-    if n_components > MAX_COMPONENTS:
-        raise ValueError(f"n_components above {MAX_COMPONENTS}")
     rows = (df.select(key, *features).orderBy(order_hash(key, seed), F.col(key))
             .limit(int(n_components)).collect())
     return np.array([[float(r[f]) for f in features] for r in rows], dtype=np.float64)

@@ -1,44 +1,43 @@
 """Row order without an index: gap-free row numbers and chunk numbering.
 
-A global ``row_number() OVER (ORDER BY x)`` runs in one task.  Here the order
-column is cut into range buckets at approximate quantiles (a bounded list of
-cut points), bucket sizes give each bucket its starting offset (a window over
-at most ``max_buckets`` rows) and rows are numbered inside their bucket by a
-window partitioned by bucket -- many tasks, no single-partition sort.
+A global ``row_number() OVER (ORDER BY x)`` runs in one task.  Here the rows are
+range partitioned and sorted by the order column, the tie-breaks and, last,
+their place in the input, so that ties keep their input order and a value that
+many rows share is spread over tasks.  A row's number is the number of rows in
+the partitions before its own (one count for each partition) plus its place in
+its partition.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+_PLACE_BITS = 33  # monotonically_increasing_id: the partition above, the place in it below
+
 
 def with_row_index(df: DataFrame, order_col: str, name: str = "row_index",
-                   rows_per_bucket: int = 2_000_000, max_buckets: int = 10_000,
-                   tiebreak: list[str] | None = None) -> DataFrame:
-    """0-based position of every row in ``order_col`` order (ties by ``tiebreak``)."""
-    n = df.count()
-    n_buckets = int(min(max_buckets, max(1, math.ceil(n / rows_per_bucket))))
-    order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    if n_buckets == 1:
-        # at most rows_per_bucket rows: one ordered window is bounded
-        w = Window.partitionBy(F.lit(0)).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    src = df.withColumn("_ord", F.col(order_col).cast("double"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = src.agg(F.percentile_approx("_ord", probs, 10_000).alias("q")).collect()[0]["q"]
-    splits = [float("-inf")] + sorted({float(c) for c in cuts}) + [float("inf")]
-    src = Bucketizer(splits=splits, inputCol="_ord", outputCol="_bucket").transform(src)
-    sizes = src.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
-    inner = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return (src.join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, (F.col("_off") + inner - 1).cast("long"))
-            .drop("_bucket", "_off", "_ord"))
+                   tiebreak: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in ``order_col`` order (ties by ``tiebreak``, then input order).
+
+    Any orderable type; nulls come first.  ``partitions`` defaults to
+    ``spark.sql.shuffle.partitions``.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(order_col), *(F.col(c) for c in tiebreak or []), F.col("_in")]
+    dealt = (df.withColumn("_in", F.monotonically_increasing_id())
+             .repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_in")
+             .withColumn("_mid", F.monotonically_increasing_id()))
+    placed = materialize(dealt, "row-index")
+    part = F.shiftright("_mid", _PLACE_BITS)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (placed.withColumn("_part", part).join(offsets, "_part")
+            .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).cast("long"))
+            .drop("_part", "_mid", "_off"))
 
 
 def chunk_numbers(df: DataFrame, order_col: str, batch_size: int, name: str = "chunk_id",

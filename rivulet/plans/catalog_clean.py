@@ -267,6 +267,17 @@ def q_first_seen_dedup(spark, d):
     return A.first_seen_dedup(ev, "user_id", "event_id")
 
 
+@query("first_seen_dedup_nulls", "W2", """
+WITH e AS (SELECT event_id, CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_id FROM events)
+SELECT min(event_id) AS event_id, user_id FROM e GROUP BY user_id
+""")
+def q_first_seen_dedup_nulls(spark, d):
+    """A null key is a key like any other: its first row stays."""
+    ev = load(spark, d, "events").select(
+        "event_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id"))
+    return A.first_seen_dedup(ev, "user_id", "event_id")
+
+
 @query("duplicate_count", "W2,G5", """
 SELECT user_id, count(*) AS n_rows, count(*) - 1 AS n_duplicates FROM events GROUP BY user_id
 """)
@@ -274,12 +285,13 @@ def q_duplicate_count(spark, d):
     return A.duplicate_count(load(spark, d, "events"), "user_id")
 
 
-BLOOM_N, BLOOM_P = 100, 0.01
+BLOOM_N, BLOOM_P = 100, 0.01  # the saturated case: fewer bits than keys need
+BLOOM_DESIGN = 10_000_000     # the reference's design size
 
 
-def _bloom_sql() -> str:
+def _bloom_sql(n_items: int = BLOOM_N) -> str:
     from ..functions.exprs import bloom_geometry, hex_mod_sql
-    m, k = bloom_geometry(BLOOM_N, BLOOM_P)
+    m, k = bloom_geometry(n_items, BLOOM_P)
     h1 = hex_mod_sql("md5(CAST(user_id AS VARCHAR))", m, 32)
     h2 = hex_mod_sql("sha1(CAST(user_id AS VARCHAR))", m, 40)
     return f"""
@@ -294,12 +306,19 @@ SELECT e.event_id, e.user_id FROM events e JOIN surv s ON e.user_id = s.user_id
 """
 
 
-@query("bloom_dedup", "W1", _bloom_sql())
+@query("bloom_dedup", "W1", _bloom_sql)
 def q_bloom_dedup(spark, d):
     ev = load(spark, d, "events").select("event_id", "user_id")
     return A.bloom_dedup(ev, "user_id", "event_id", BLOOM_N, BLOOM_P)
 
 
+@query("bloom_dedup_design", "W1", lambda: _bloom_sql(BLOOM_DESIGN))
+def q_bloom_dedup_design(spark, d):
+    """The filter at its design size, where it keeps the first row of nearly every key."""
+    ev = load(spark, d, "events").select("event_id", "user_id")
+    return A.bloom_dedup(ev, "user_id", "event_id", BLOOM_DESIGN, BLOOM_P)
+
+
 @query("audit_summary", "G5", """
 WITH e AS (SELECT event_id, user_id, nullif(event_type, 'error') AS event_type, value FROM events),
      c AS (SELECT * FROM e WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL
@@ -323,31 +342,34 @@ FROM events
 def q_chunk_numbering(spark, d):
     from ..operators.ordering import chunk_numbers
     ev = load(spark, d, "events").select("event_id")
-    return chunk_numbers(ev, "event_id", 1000, rows_per_bucket=2_000)
+    return chunk_numbers(ev, "event_id", 1000)
+
+
+@query("chunk_numbering_ties", "W3", """
+SELECT event_id, CAST(floor((row_number() OVER (ORDER BY nullif(event_type, 'error') NULLS FIRST, event_id) - 1) / 700)
+                      AS BIGINT) AS chunk_id
+FROM events
+""")
+def q_chunk_numbering_ties(spark, d):
+    """A text key with nulls and many ties, split over tasks."""
+    from ..operators.ordering import chunk_numbers
+    ev = load(spark, d, "events").select("event_id", F.nullif(F.col("event_type"), F.lit("error")).alias("kind"))
+    return chunk_numbers(ev, "kind", 700, tiebreak=["event_id"]).select("event_id", "chunk_id")
 
 
 @query("running_moments", "W4", """
 WITH e AS (SELECT event_id, value,
                   CAST(floor((row_number() OVER (ORDER BY event_id) - 1) / 1000) AS BIGINT) AS chunk_id
            FROM events),
-     per AS (SELECT chunk_id, count(*) AS n, sum(value) AS s, sum(value * value) AS q FROM e GROUP BY chunk_id),
-     cum AS (SELECT chunk_id,
-                    sum(n) OVER (ORDER BY chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
-                    sum(s) OVER (ORDER BY chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs,
-                    sum(q) OVER (ORDER BY chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cq
-             FROM per),
-     mom AS (SELECT chunk_id, cs / cn AS mean, sqrt(greatest(cq / cn - (cs / cn) * (cs / cn), 0.0)) AS sd FROM cum)
-SELECT e.event_id, e.chunk_id,
-       (round((e.value - mom.mean) / CASE WHEN mom.sd = 0 THEN 1.0 ELSE mom.sd END, 6) + 0.0) AS value_scaled
-FROM e JOIN mom ON e.chunk_id = mom.chunk_id
+     mom AS (SELECT event_id, chunk_id, value, avg(value) OVER w AS mean, stddev_pop(value) OVER w AS sd
+             FROM e WINDOW w AS (ORDER BY chunk_id RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_id, chunk_id,
+       (round((value - mean) / CASE WHEN sd = 0 THEN 1.0 ELSE sd END, 6) + 0.0) AS value_scaled
+FROM mom
 """)
 def q_running_moments(spark, d):
     from ..operators.features import scale_as_of_chunk
     from ..operators.ordering import chunk_numbers
-    from ..session import materialize
-    ev = chunk_numbers(load(spark, d, "events").select("event_id", "value"), "event_id", 1000,
-                       rows_per_bucket=2_000)
-    # read twice below: cut the numbering lineage with a written table
-    ev = materialize(ev, "w4-chunks")
+    ev = chunk_numbers(load(spark, d, "events").select("event_id", "value"), "event_id", 1000)
     out = scale_as_of_chunk(ev, ["value"], "chunk_id")
     return out.select("event_id", "chunk_id", r6("value_scaled").alias("value_scaled"))

@@ -109,11 +109,15 @@ def q_etl_sink_roundtrip(spark, d):
 
 
 @query("float_format_sink", "S7", """
-SELECT l_orderkey, l_linenumber, printf('%.8f', l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber IN (2, 3) THEN NULL ELSE printf('%.8f', l_extendedprice * (1 - l_discount)) END AS revenue
+FROM lineitem
 """)
 def q_float_format_sink(spark, d):
     li = load(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+        "l_orderkey", "l_linenumber",  # null and NaN are both written as an empty field
+        F.when(F.col("l_linenumber") == 2, F.lit(float("nan"))).when(
+            F.col("l_linenumber") != 3, F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
     path = CSV.write_csv(li, scratch_path(spark, "s7"), float_format="%.8f")
     back = CSV.read_csv(spark, path)
     return _cast(back, {"l_orderkey": "bigint", "l_linenumber": "int"})

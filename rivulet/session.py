@@ -3,8 +3,8 @@
 Operators never create sessions; they take DataFrames.  Anything written as an
 intermediate (CSV fixtures, stream sinks, checkpoints) goes under the folder
 named by ``spark.checkpoint.dir`` -- on a cluster that is shared storage, so
-the files survive the loss of any executor.  Only when the setting is absent
-(local tests) do we create one.
+the files survive the loss of any executor.  Where the setting is absent a
+local master gets a folder of its own; any other master is refused.
 """
 
 from __future__ import annotations
@@ -63,7 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return _plain(existing)
-    base = tempfile.mkdtemp(prefix="rivulet-ckpt-")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = tempfile.mkdtemp(prefix="rivulet-ckpt-")  # a local master: one machine holds everything
     sc.setCheckpointDir(base)
     return base
 

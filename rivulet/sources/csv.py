@@ -110,10 +110,14 @@ def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
 
 
 def format_floats(df: DataFrame, fmt: str = "%.8f", columns: Sequence[str] | None = None) -> DataFrame:
-    """Render double/float columns as text with a printf format (all of them by default)."""
+    """Render double/float columns as text with a printf format (all of them by default).
+
+    Null and NaN become null, which the sink writes as an empty field.
+    """
     fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     targets = [c for c in (columns or fl) if c in fl]
-    return df.withColumns({c: F.format_string(fmt, F.col(c)) for c in targets}) if targets else df
+    return df.withColumns({c: F.when(F.col(c).isNotNull() & ~F.isnan(c), F.format_string(fmt, F.col(c)))
+                           for c in targets}) if targets else df
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None,

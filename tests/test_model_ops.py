@@ -60,7 +60,7 @@ def test_holdout_per_chunk_counts(spark):
 
 def test_chunk_numbers_many_buckets(spark):
     df = spark.range(5000).select((F.col("id") * 3 + 7).alias("seq"))
-    out = O.chunk_numbers(df, "seq", 100, rows_per_bucket=300)
+    out = O.chunk_numbers(df, "seq", 100, partitions=7)
     got = {r["seq"]: r["chunk_id"] for r in out.collect()}
     assert all(got[i * 3 + 7] == i // 100 for i in range(5000))
 
