@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 21
 
 
+#: Rows that Spark hands to Python at once.  Texts may be long, and a batch is held whole on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Arrow batches for this session, whose rows hold whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -34,6 +34,8 @@ from .common import chunks, text_bytes
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
+#: Fingerprints that one task replicates.
+TASK_FINGERPRINTS = 1 << 14
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b101011100011
 BLOCK = 23
@@ -92,7 +94,7 @@ def _offsets() -> tuple[np.ndarray, list[list[np.ndarray]]]:
         s = _remainder(p)
         order = np.argsort(s, kind="stable")
         bounds = np.searchsorted(s[order], np.arange(2049))
-        by_weight.append([p[order][a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+        by_weight.append(np.split(p[order], bounds[1:-1]))
     return [[np.concatenate([by_weight[w][s] for w in range(4 + d)]) for d in range(3)] for s in range(2048)]
 
 
@@ -147,7 +149,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("the code's tables serve 0 to 2 differing bits")
-    one = fps.select("fp")
+    one = fps.select("fp").repartition(max(1, fps.count() // TASK_FINGERPRINTS), "fp")
     home = one.mapInArrow(_homes, "anchor long, u long")
     near = one.mapInArrow(_replicas(max_bits), "anchor long, v long")
     return (near.join(home, "anchor")
