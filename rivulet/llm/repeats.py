@@ -195,7 +195,8 @@ def with_repeats(docs: DataFrame, unit: Unit, shard: Shard, keep_first: bool, do
     known = rows.join(copied.hint("shuffle_hash"), "row", "left").withColumn("original", F.coalesce("original", F.lit(True)))
     cut = known.where("original")
 
-    places = cut.select("row", "text").mapInArrow(_places(unit), "anchor long, row long, start int")
+    # all readers of the texts take the same columns, so that one exchange serves them
+    places = cut.select("row", "doc_id", "text").mapInArrow(_places(unit), "anchor long, row long, start int")
     counts = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
     def listed(anchors: DataFrame) -> DataFrame:
