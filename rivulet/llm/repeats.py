@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, table_bytes, text_bytes
-from .windows import Unit, gram_hashes, mixed, range_hashes, segments, spread
+from .windows import BLOCK, Unit, gram_hashes, mixed, range_hashes, segments, spread
 
 #: Segments of one anchor that may meet in one shard.
 HOT = 100_000
 #: Bytes of text for each shard of segments.
 SHARD_BYTES = 4 << 20
-#: Bytes of text cut at once in a task.
-CUT_BYTES = 1 << 20
+#: Bytes of text cut at once in a task: texts together in one block, whose arrays stay in a core's cache.
+CUT_BYTES = BLOCK
 
 #: From the rows of a shard to a flag for each window of each row, row after row.
 Shard = Callable[[pd.DataFrame, Unit], np.ndarray]

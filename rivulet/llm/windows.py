@@ -17,7 +17,7 @@ import numpy as np
 import xxhash
 
 #: Windows handled at once in one array, and bits of a key that hold a place in it.
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 PLACE_BITS = 21
 BASE = 0x9E3779B97F4A7C15 | 1
 
