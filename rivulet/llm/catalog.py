@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, substring_dedup, suffix_dedup, token_counts
-from .common import documents, vocabulary
+from . import (language, packing, piece_codec, quality, sharding, simhash, spotsigs, substring_dedup, suffix_dedup,
+               token_counts)
+from .common import documents, model_file, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +27,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+@query
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the rebuilt model, their parity with sentencepiece, and the decoded text."""
+    coded = piece_codec.encode_decode(documents(spark, sf_dir), model_file("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_crc32", "parity", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Harmonic packing of every document into sequences of 2048 tokens."""
@@ -39,6 +47,31 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts and the verdict by distribution divergence."""
+    judged = quality.quality(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "char_divergence", "word_divergence")
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty shards of near equal size by a rebalanced map of virtual slots."""
+    placed = sharding.shard(documents(spark, sf_dir))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("ordinal").alias("slot"),
+                         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those outside the held-out third."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)))
+    found = language.predict(docs, language.fit(docs.where(~F.col("held_out"))))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every 100-byte string that also starts earlier, removed."""
@@ -51,3 +84,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by rank-synchronous merging."""
     counted = token_counts.token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness to it and to the next document."""
+    return spotsigs.with_next(documents(spark, sf_dir))

@@ -34,6 +34,14 @@ def vocabulary(name: str) -> str:
         return f.read()
 
 
+def model_file(name: str) -> bytes:
+    """Content of a public tokenizer's binary model, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """UTF-8 bytes of each text; null stays None."""
     return column.cast(pa.binary()).to_pylist()

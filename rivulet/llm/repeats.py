@@ -19,7 +19,7 @@ joins with them read the same exchange.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -173,9 +173,11 @@ def _searched(shard: Shard, unit: Unit):
 
 
 def with_repeats(docs: DataFrame, unit: Unit, shard: Shard, keep_first: bool, doc_id: str = "doc_id", text: str = "text",
-                 shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+                 shard_bytes: int = SHARD_BYTES, hot: int = HOT, carry: Sequence[str] = ()) -> DataFrame:
     """``row, doc_id, text, copies, original, ranges``: every row with its ranges of units that lie in repeated windows.
 
+    The columns ``carry`` of ``docs`` come along as one struct, ``carried``.
+
     With ``keep_first`` windows count as repeated from their second occurrence
     on (in order of id, row, start), else all of them do.  ``copies`` is the number of
     rows with exactly this text where there are several; ranges are given for
@@ -183,7 +185,7 @@ def with_repeats(docs: DataFrame, unit: Unit, shard: Shard, keep_first: bool, do
     """
     shards = max(1, table_bytes(docs, text) // shard_bytes)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.struct(*carry).alias("carried")] * bool(carry))
     kind = rows.schema["doc_id"].dataType.simpleString()
     same = ["m1", "m2", "m3"]
     marks = rows.select("row", "doc_id", F.xxhash64("text").alias("m1"), F.crc32(F.col("text").cast("binary")).alias("m2"),
@@ -196,12 +198,12 @@ def with_repeats(docs: DataFrame, unit: Unit, shard: Shard, keep_first: bool, do
     cut = known.where("original")
 
     # all readers of the texts take the same columns, so that one exchange serves them
-    places = cut.select("row", "doc_id", "text").mapInArrow(_places(unit), "anchor long, row long, start int")
+    places = cut.select(*rows.columns).mapInArrow(_places(unit), "anchor long, row long, start int")
     counts = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
     def listed(anchors: DataFrame) -> DataFrame:
         found = places.join(anchors.select("anchor"), "anchor").groupBy("row").agg(F.collect_list("start").alias("starts"))
-        return cut.join(found.hint("shuffle_hash"), "row").select("row", "doc_id", "text", "copies", "starts")
+        return cut.join(found.hint("shuffle_hash"), "row").select(*rows.columns, "copies", "starts")
 
     sent = listed(counts.where(F.col("n") <= hot)).mapInArrow(_contents(unit, shards), SEGMENT.format(kind=kind))
     ranges = sent.groupBy("shard").applyInPandas(_searched(shard, unit), "row long, a int, b int")

@@ -10,7 +10,7 @@ entry with a weight; a segment of weight two needs no search.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -54,9 +54,12 @@ def search_shard(group: pd.DataFrame, unit: Unit) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
-                   shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, hot: int = HOT, carry: Sequence[str] = (), verbatim: bool = False) -> DataFrame:
     """``row, doc_id, n_words, n_removed, kept`` for every row of ``docs``.
 
+    The columns ``carry`` come along as one struct, ``carried``.  With
+    ``verbatim``, a text that loses nothing is kept as it stands.
+
     ``row`` is the row's number (as ``monotonically_increasing_id`` gives it),
     ``kept`` the words that are not removed, joined by one space.  Words are
     what white space separates.  A text that another row repeats whole counts
@@ -64,8 +67,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     allowed, ids are not used; an empty table gives no rows; further columns are ignored.
     """
     unit = Unit(True, window, gram)
-    found = with_repeats(docs, unit, search_shard, False, doc_id, text, shard_bytes, hot)
-    kind = found.schema["doc_id"].dataType.simpleString()
+    found = with_repeats(docs, unit, search_shard, False, doc_id, text, shard_bytes, hot, carry)
+    passed = [c for c in ("row", "doc_id", "carried") if c in found.columns]
+    schema = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in passed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,11 +84,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         gone = covered(ranges[i].as_py(), len(words))
                     n_words.append(len(words))
                     n_removed.append(int(gone.sum()))
-                    kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
+                    kept.append(t if verbatim and not n_removed[-1]
+                                else b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(a, b - a), batch.column("doc_id").slice(a, b - a), pa.array(n_words, pa.int64()),
+                    [*(batch.column(c).slice(a, b - a) for c in passed), pa.array(n_words, pa.int64()),
                      pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                    names=["row", "doc_id", "n_words", "n_removed", "kept"])
+                    names=[*passed, "n_words", "n_removed", "kept"])
 
-    return found.select("row", "doc_id", "text", "copies", "ranges").mapInArrow(
-        run, f"row long, doc_id {kind}, n_words long, n_removed long, kept string")
+    return found.select(*passed, "text", "copies", "ranges").mapInArrow(
+        run, f"{schema}, n_words long, n_removed long, kept string")
