@@ -42,5 +42,4 @@ BLOOM_N_ITEMS = 10_000_000   # Bloom filter design size
 BLOOM_P = 0.01               # Bloom filter false-positive rate
 TOP_PHRASES = 20             # phrase drivers per segment
 TOP_ALERTS = 200             # priority alerts kept
-INSIGHT_CAP = 50_000         # optional cap on texts feeding the drivers
 DECISION_CUT = 0.5           # probability decision (>=)

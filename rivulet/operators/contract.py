@@ -183,4 +183,4 @@ def dry_run_chunks(routed: DataFrame, chunk_col: str, limit: int) -> DataFrame:
     w = Window.orderBy(chunk_col).rowsBetween(Window.unboundedPreceding, -1)
     keep = (head.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
             .where(F.col("_before") < F.lit(int(limit))).select(chunk_col))
-    return valid.join(F.broadcast(keep), chunk_col, "left_semi")
+    return valid.join(keep, chunk_col, "left_semi")

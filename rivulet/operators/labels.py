@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.constants import DECISION_CUT, SEED, TEST_RATIO
 from ..functions.exprs import col_of, order_hash, unit_hash
 
-MAX_CLASSES = 10_000  # a label domain is collected to the driver only below this
-
 
 def class_histogram(df: DataFrame, target: str) -> DataFrame:
     """``(target, n)`` over non-null labels (partial + final aggregate)."""
@@ -36,27 +34,18 @@ def class_domain(df: DataFrame, target: str) -> DataFrame:
 
 
 def collect_classes(df: DataFrame, target: str) -> list:
-    """Label list on the driver (bounded: fails above :data:`MAX_CLASSES`)."""
-    rows = class_domain(df, target).orderBy("class_index").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {target!r}")
-    return [r[target] for r in rows]
+    """Label list on the driver, in order (one row for each class)."""
+    return [r[target] for r in class_domain(df, target).orderBy("class_index").collect()]
 
 
 def weight_column(df: DataFrame, target: str, name: str = "class_weight") -> DataFrame:
-    """Attach the balanced class weight to every row.
+    """Attach the balanced class weight to every row (null labels get none).
 
-    The weight table (one row per class) is computed once and collected under
-    the :data:`MAX_CLASSES` bound, then applied as a literal ``map`` lookup:
-    no join and no second aggregation pass.  Above the bound it falls back to
-    a plain join that AQE plans by measured size.
+    A join with the weight table, one row per class; AQE broadcasts that side
+    by its measured size and splits a hot class's rows otherwise.
     """
-    w = class_weights(df, target)
-    rows = w.limit(MAX_CLASSES + 1).collect()
-    if len(rows) <= MAX_CLASSES:
-        lookup = F.create_map(*[x for r in rows for x in (F.lit(r[target]), F.lit(float(r["weight"])))])
-        return df.withColumn(name, lookup[F.col(target)])
-    return df.join(w.select(target, F.col("weight").alias(name)), target, "left")
+    w = class_weights(df, target).select(F.col(target).alias("_label"), F.col("weight").alias(name))
+    return df.join(w, F.col(target) == F.col("_label"), "left").drop("_label")
 
 
 def binarise(c: str | Column, threshold: float) -> Column:

@@ -64,6 +64,8 @@ def pa_step_size(y_pm: F.Column, decision: F.Column, sqnorm: F.Column, c: float
 
 # ------------------------------------------------------------ batch learners
 
+FIT_TOLERANCE = 1e-12  # so that the gradient vanishes at the fitted weights
+
 
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
@@ -71,162 +73,42 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def fit_logistic(df: DataFrame, features: Sequence[str], label: str, weight_col: str | None = None,
-                 alpha: float = ALPHA, max_iter: int = 100, solver: str = "auto") -> dict:
+                 alpha: float = ALPHA, max_iter: int = 100) -> dict:
     """Weighted L2 logistic regression; ``standardization=False`` keeps alpha's meaning.
 
-    Spark's ``regParam`` multiplies ``0.5 * ||w||^2`` of the *mean* loss, the
-    same scaling as the reference objective.  ``solver``: "newton" (joint
-    IRLS, few passes, narrow inputs), "lbfgs" (Spark ML), "auto" picks by width.
+    Spark ML's L-BFGS at any width (gradients are summed by tree aggregation,
+    so a partition sends one model-sized vector).  ``regParam`` multiplies
+    ``0.5 * ||w||^2`` of the *mean* loss, the scaling of the reference objective.
     """
-    if solver == "newton" or (solver == "auto" and len(features) <= NEWTON_MAX_FEATURES):
-        return fit_logistic_joint(df, features, [label], [weight_col], alpha)[0]
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(featuresCol="_x", labelCol=label, regParam=alpha, elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, family="binomial")
+                            standardization=False, maxIter=max_iter, tol=FIT_TOLERANCE, family="binomial")
     if weight_col:
         lr = lr.setWeightCol(weight_col)
-    m = lr.fit(_assemble(df.select(*features, label, *([weight_col] if weight_col else [])), features))
+    cols = [c for c in df.columns if c in {*features, "_x", label, weight_col}]
+    frame = df.select(*cols)
+    m = lr.fit(frame if "_x" in cols else _assemble(frame, features))
     return {"features": list(features), "coef": [float(v) for v in m.coefficients],
             "intercept": float(m.intercept)}
 
 
-NEWTON_MAX_FEATURES = 256  # Hessian is (d+1)^2 per member; wider problems use L-BFGS
-
-
-def fit_logistic_joint(df: DataFrame, features: Sequence[str], labels: Sequence[str],
-                       weights: Sequence[str | None], alpha: float = ALPHA, max_iter: int = 25,
-                       tol: float = 1e-9) -> list[dict]:
-    """Several L2 logistic regressions on the same rows, solved jointly by Newton (IRLS).
-
-    Member j has label column ``labels[j]`` (0/1) and weight column
-    ``weights[j]`` (None = 1).  Objective per member, as Spark ML's with
-    ``standardization=False``: weighted mean log loss + (alpha/2)||w||^2
-    (intercept unpenalised).  Every iteration is ONE pass over the data for
-    all members: each partition adds up its gradient and Hessian contributions
-    with NumPy and emits them as ``(index, value)`` rows, summed by a partial
-    aggregate -- the driver receives only model-sized numbers, never rows or
-    per-partition blobs.  Newton needs ~5-10 passes where per-member L-BFGS
-    needs members x tens of passes.
-    """
-    spark = df.sparkSession
-    feats = list(features)
-    d, m = len(feats) + 1, len(labels)
-    if len(feats) > NEWTON_MAX_FEATURES:
-        raise ValueError("too many features for the joint Newton solver; use fit_logistic(solver='lbfgs')")
-    wcols = [w if w else None for w in weights]
-    cols = feats + list(dict.fromkeys(list(labels) + [w for w in wcols if w]))
-    base = df.select(*cols).persist()
-    beta = np.zeros((m, d))
-    try:
-        for _ in range(max_iter):
-            bc = spark.sparkContext.broadcast(beta)
-
-            def partial(batches, bc=bc):
-                import pandas as pd
-                b = bc.value
-                g = np.zeros((m, d))
-                h = np.zeros((m, d, d))
-                sw = np.zeros(m)
-                for pdf in batches:
-                    if pdf.empty:
-                        continue
-                    x = np.hstack([pdf[feats].to_numpy(np.float64), np.ones((len(pdf), 1))])
-                    for j in range(m):
-                        y = pdf[labels[j]].to_numpy(np.float64)
-                        w = pdf[wcols[j]].to_numpy(np.float64) if wcols[j] else np.ones(len(pdf))
-                        p = 1.0 / (1.0 + np.exp(-(x @ b[j])))
-                        g[j] += x.T @ (w * (p - y))
-                        h[j] += (x * (w * p * (1.0 - p))[:, None]).T @ x
-                        sw[j] += w.sum()
-                vals = np.concatenate([g.ravel(), h.ravel(), sw])
-                yield pd.DataFrame({"i": np.arange(len(vals), dtype=np.int64), "v": vals})
-
-            sums = base.mapInPandas(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v"))
-            vec = np.zeros(m * d + m * d * d + m)
-            for r in sums.collect():
-                vec[r["i"]] = r["v"]
-            bc.unpersist()
-            g = vec[: m * d].reshape(m, d)
-            h = vec[m * d: m * d + m * d * d].reshape(m, d, d)
-            sw = vec[m * d + m * d * d:]
-            reg = np.eye(d) * alpha
-            reg[-1, -1] = 0.0
-            step_norm = 0.0
-            for j in range(m):
-                if sw[j] <= 0:
-                    continue
-                gj = g[j] / sw[j] + reg @ beta[j]
-                hj = h[j] / sw[j] + reg
-                step = np.linalg.solve(hj + 1e-12 * np.eye(d), gj)
-                beta[j] -= step
-                step_norm = max(step_norm, float(np.abs(step).max()))
-            if step_norm < tol:
-                break
-        return [{"features": feats, "coef": [float(v) for v in beta[j, :-1]], "intercept": float(beta[j, -1])}
-                for j in range(m)]
-    finally:
-        base.unpersist()
-
-
-MOMENT_MAX_FEATURES = 32  # closed-form ridge needs d(d+1)/2 covariance aggregates
-
-
-def fit_linear(df: DataFrame, features: Sequence[str], label: str, alpha: float = ALPHA,
-               solver: str = "auto") -> dict:
-    """L2 least squares: minimise (1/2n)||y - Xw - b||^2 + (alpha/2)||w||^2.
-
-    Narrow inputs ("moments"): one aggregate pass collects means and population
-    covariances (``covar_pop`` merges partial results stably), and the
-    d x d system ``(Cxx + alpha I) w = Cxy`` is solved on the driver; the
-    intercept is ``mean(y) - mean(x) . w``.  Wide inputs: Spark ML's
-    normal-equation solver.
-    """
-    feats = list(features)
-    if solver == "moments" or (solver == "auto" and len(feats) <= MOMENT_MAX_FEATURES):
-        aggs = [F.avg(label).alias("_my")] + [F.avg(f).alias(f"_m{i}") for i, f in enumerate(feats)]
-        aggs += [F.covar_pop(feats[i], feats[j]).alias(f"_c{i}_{j}")
-                 for i in range(len(feats)) for j in range(i, len(feats))]
-        aggs += [F.covar_pop(f, label).alias(f"_cy{i}") for i, f in enumerate(feats)]
-        r = df.select(*feats, label).agg(*aggs).collect()[0]
-        d = len(feats)
-        cxx = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                cxx[i, j] = cxx[j, i] = r[f"_c{i}_{j}"]
-        cxy = np.array([r[f"_cy{i}"] for i in range(d)], dtype=np.float64)
-        if d == 1:
-            w = [cxy[0] / (cxx[0, 0] + alpha)]
-        else:
-            w = list(np.linalg.solve(cxx + alpha * np.eye(d), cxy))
-        b = r["_my"] - sum(r[f"_m{i}"] * w[i] for i in range(d))
-        return {"features": feats, "coef": [float(v) for v in w], "intercept": float(b)}
+def fit_linear(df: DataFrame, features: Sequence[str], label: str, alpha: float = ALPHA) -> dict:
+    """L2 least squares: minimise (1/2n)||y - Xw - b||^2 + (alpha/2)||w||^2 (Spark ML)."""
     from pyspark.ml.regression import LinearRegression
     lr = LinearRegression(featuresCol="_x", labelCol=label, regParam=alpha, elasticNetParam=0.0,
-                          standardization=False, solver="normal")
+                          standardization=False, tol=FIT_TOLERANCE)
     m = lr.fit(_assemble(df.select(*features, label), features))
     return {"features": list(features), "coef": [float(v) for v in m.coefficients],
             "intercept": float(m.intercept)}
 
 
 def fit_ovr(df: DataFrame, features: Sequence[str], label: str, classes: Sequence,
-            alpha: float = ALPHA, solver: str = "auto") -> dict:
-    """One-vs-rest: one binary logistic model per class.
-
-    Narrow inputs: all classes in one joint Newton solve (one pass per
-    iteration for every class).  Wide inputs: one Spark ML fit per class over
-    the cached frame.
-    """
-    if solver == "newton" or (solver == "auto" and len(features) <= NEWTON_MAX_FEATURES):
-        ys = {f"_y{i}": (F.col(label) == F.lit(c)).cast("double") for i, c in enumerate(classes)}
-        models = fit_logistic_joint(df.withColumns(ys), features, list(ys), [None] * len(classes), alpha)
-        return dict(zip(classes, models, strict=True))
-    base = df.select(*features, label).cache()
+            alpha: float = ALPHA) -> dict:
+    """One-vs-rest: one binary logistic model per class over a frame cached once."""
+    base = _assemble(df.select(*features, label), features).select("_x", label).persist()
     try:
-        out = {}
-        for c in classes:
-            b = base.withColumn("_y", (F.col(label) == F.lit(c)).cast("double"))
-            out[c] = fit_logistic(b, features, "_y", alpha=alpha)
-        return out
+        return {c: fit_logistic(base.select("_x", (F.col(label) == F.lit(c)).cast("double").alias("_y")),
+                                features, "_y", alpha=alpha) for c in classes}
     finally:
         base.unpersist()
 
@@ -252,26 +134,17 @@ def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n
 
     (A convex solver on identical data would return identical members; the
     key-hash bootstrap gives diversity that is reproducible and
-    partition-independent.)  Narrow inputs: all members in one joint Newton
-    solve, one data pass per iteration for the whole ensemble.  Wide inputs:
-    one Spark ML fit per member over a frame cached once.
+    partition-independent.)  One fit per member over a frame cached once.
     """
-    if len(features) <= NEWTON_MAX_FEATURES:
-        ws = {}
-        for i in range(n_members):
-            w = poisson_weight(key, seed + i)
-            ws[f"_bw{i}"] = w * F.col(weight_col) if weight_col else w
-        return fit_logistic_joint(df.withColumns(ws), features, [label] * n_members, list(ws), alpha,
-                                  max_iter=min(max_iter, 25))
     cols = [*features, label, key] + ([weight_col] if weight_col else [])
-    base = df.select(*cols).cache()
+    base = _assemble(df.select(*cols), features).drop(*features).persist()
     try:
         members = []
         for i in range(n_members):
             w = poisson_weight(key, seed + i)
             if weight_col:
                 w = w * F.col(weight_col)
-            b = base.withColumn("_bw", w).where(F.col("_bw") > 0)
+            b = base.select("_x", label, w.alias("_bw")).where(F.col("_bw") > 0)
             members.append(fit_logistic(b, features, label, "_bw", alpha=alpha, max_iter=max_iter))
         return members
     finally:
@@ -355,13 +228,13 @@ def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log
         base.unpersist()
 
 
-def fit_passive_aggressive(bow: DataFrame, labels: DataFrame, key: str, label: str, epochs: int = 5,
+def fit_passive_aggressive(bow: DataFrame, labels: DataFrame | None, key: str, label: str, epochs: int = 5,
                            c: float = PA_C, n_features: int = N_HASH_FEATURES) -> DataFrame:
     """PA-I (hinge) over sparse hashed features with parameter mixing per epoch.
 
-    ``bow`` is the long ``(key, bucket, value)`` bag of words, ``labels`` maps
-    key -> 0/1.  Documents are regrouped once into (buckets, values) arrays
-    (bounded by one document's vocabulary).  Each partition runs PA in order
+    ``bow`` has a row per document, with its bag of words in ``bow`` (an array,
+    as ``with_bow`` attaches it) and its 0/1 label; or it is the long ``(key,
+    bucket, value)`` form with the labels beside it, regrouped here.  Each partition runs PA in order
     over its documents against a dense NumPy weight vector (the update is
     inherently sequential; each step is a vectorised gather/scatter), and
     emits its non-zero weights times its row count; the mixed weights stay a
@@ -370,10 +243,10 @@ def fit_passive_aggressive(bow: DataFrame, labels: DataFrame, key: str, label: s
     ``bucket = -1`` for the intercept.
     """
     spark = bow.sparkSession
-    docs = (bow.groupBy(key).agg(F.collect_list(F.struct("bucket", "value")).alias("_kv"))
-            .join(labels.select(key, label), key)
-            .select(key, F.col("_kv.bucket").alias("_b"), F.col("_kv.value").alias("_v"),
-                    (F.col(label) * 2 - 1).cast("double").alias("_y"))).persist()
+    if "bucket" in bow.columns:  # the long form, one row per bucket
+        bow = bow.groupBy(key).agg(F.collect_list(F.struct("bucket", "value")).alias("bow")).join(labels.select(key, label), key)
+    docs = bow.select(F.col("bow.bucket").alias("_b"), F.col("bow.value").alias("_v"),
+                      (F.col(label) * 2 - 1).cast("double").alias("_y")).persist()
     idx, val, intercept = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
     schema = "bucket long, w double, n long"
     n_total = docs.count()

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.exprs import safe_div
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon (probability clip)
-MAX_MATRIX_CLASSES = 1_000     # k*k grid cells are built on the driver and broadcast
 
 
 def confusion_counts(df: DataFrame, true: str, pred: str) -> DataFrame:
@@ -25,17 +24,15 @@ def confusion_counts(df: DataFrame, true: str, pred: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, true: str, pred: str, labels: Sequence) -> DataFrame:
     """Long ``(true_label, pred_label, n)`` over the full label cross product, zeros filled.
 
-    ``labels`` is the (small, fixed-order) label domain; the k*k cell grid is
-    built from it on the driver and joined with the aggregated counts.
+    ``labels`` is the label domain; each label's row of the grid is exploded
+    where it lies and joined with the aggregated counts.
     """
-    if len(labels) > MAX_MATRIX_CLASSES:
-        raise ValueError(f"confusion grid limited to {MAX_MATRIX_CLASSES} classes")
     spark = df.sparkSession
     counts = confusion_counts(df, true, pred)
     dtype = dict(counts.dtypes)["true_label"]
-    cells = spark.createDataFrame([(t, p) for t in labels for p in labels],
-                                  f"true_label {dtype}, pred_label {dtype}")
-    return (F.broadcast(cells).join(counts, ["true_label", "pred_label"], "left")
+    cells = spark.createDataFrame([(t,) for t in labels], f"true_label {dtype}").withColumn(
+        "pred_label", F.explode(F.array(*map(F.lit, labels)).cast(f"array<{dtype}>")))
+    return (cells.join(counts, ["true_label", "pred_label"], "left")
             .select("true_label", "pred_label", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import N_HASH_FEATURES, SEGMENT_NEGATIVE, SEGMENT_POSITIVE, TOP_ALERTS, TOP_PHRASES
-from ..functions.exprs import hex_mod
+from ..functions.exprs import hex_mod, pinned
 from ..functions.text import default_stop_words, drop_stop_words, tokens, uni_and_bigrams
 
 N_FEATURES = N_HASH_FEATURES
@@ -24,33 +26,29 @@ def bucket_of_py(token: str, n_features: int = N_FEATURES) -> int:
     return int(hashlib.md5(token.encode("utf-8")).hexdigest(), 16) % n_features
 
 
-def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES) -> DataFrame:
-    """Sparse hashed bag of words, L2-normalised per row: ``(key, bucket, value)``.
+def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FEATURES) -> DataFrame:
+    """Attach each row's hashed bag of words: ``array<struct<bucket, value>>``, L2-normalised.
 
-    Lower-case word tokens, counts per bucket (unsigned), then divide by the
-    row's L2 norm.  The explode is local; the count is a partial aggregate on
-    ``(key, bucket)`` and the norm a window over one document's buckets.
-    """
-    exploded = by_document(df, key).select(key, F.explode(tokens(text)).alias("_tok"))
-    counts = (exploded.groupBy(key, bucket_of(F.col("_tok"), n_features).alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    norm = F.sqrt(F.sum(F.col("_c") * F.col("_c")).over(Window.partitionBy(key)))
-    return counts.select(key, "bucket", (F.col("_c") / norm).alias("value"))
-
-
-def by_document(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition raw documents by key before tokenising.
-
-    One shuffle of the raw text (smaller than the token stream); afterwards the
-    per-(doc, bucket) count, the per-doc norm window and per-doc sums all find
-    their input already clustered, so they add no exchange.  Documents are
-    bounded in size, so a key is never hot.  The partition count is explicit
-    (at least ``spark.sql.shuffle.partitions``) because the heavy work comes
-    *after* the shuffle and must not be coalesced away.
+    Lower-case word tokens, counts per bucket (unsigned), divided by the row's
+    L2 norm, all inside the row: the buckets are sorted and their runs measured, so
+    nothing is shuffled and rows that share a key stay apart.
     """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-    return df.repartition(n, key)
+    buckets = F.array_sort(F.transform(tokens(text), lambda t: bucket_of(t, n_features)))
+    out = df.withColumn("_b", pinned(buckets))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_b") - 1), lambda i: (i == 0) | (F.get("_b", i) != F.get("_b", i - 1)))
+    none = F.array().cast("array<int>")
+    out = out.withColumn("_s", pinned(F.when(F.size("_b") > 0, starts).otherwise(none)))
+    counts = F.transform("_s", lambda i, k: (F.coalesce(F.get("_s", k + 1), F.size("_b")) - i).cast("double"))
+    out = out.withColumn("_c", pinned(counts))
+    norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, c: a + c * c))
+    out = out.withColumn("_n", pinned(norm))
+    return out.withColumn(name, F.zip_with("_s", "_c", lambda i, c: F.struct(
+        F.get("_b", i).alias("bucket"), (c / F.col("_n")).alias("value")))).drop("_b", "_s", "_c", "_n")
+
+
+def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES) -> DataFrame:
+    """Sparse hashed bag of words, one row per bucket: ``(key, bucket, value)`` (a projection and an explode)."""
+    return with_bow(df.select(key, text), text, "_bow", n_features).select(key, F.inline("_bow"))
 
 
 def hashed_vector_ml(df: DataFrame, text: str, out_col: str = "features",
@@ -68,46 +66,47 @@ def coerce_text(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, F.col(text).cast("string"))
 
 
-def linear_text_decision(bow: DataFrame, docs: DataFrame, key: str,
-                         word_weights: Mapping[str, float], intercept: float,
-                         n_features: int = N_FEATURES) -> DataFrame:
-    """``decision = b + sum(value * w[bucket])`` per document.
+def linear_text_decision(df: DataFrame, text: str, weights: Mapping[str, float] | np.ndarray, intercept: float,
+                         name: str = "decision", n_features: int = N_FEATURES) -> DataFrame:
+    """Attach ``b + sum(value * w[bucket])``, row by row.
 
-    ``word_weights`` is the model; its buckets form a table bounded by the
-    model size, broadcast to the bag-of-words rows.  Documents with no
-    weighted token get the intercept.
+    The model is a dense vector of ``n_features`` weights (or words with
+    weights, hashed into one) sent once to each executor; rows without a
+    weighted token get the intercept.  Arrow batches, no shuffle and no join.
     """
-    spark = bow.sparkSession
-    per_bucket: dict[int, float] = {}
-    for w, v in word_weights.items():
-        b = bucket_of_py(w, n_features)
-        per_bucket[b] = per_bucket.get(b, 0.0) + float(v)
-    wt = spark.createDataFrame(sorted(per_bucket.items()), "bucket long, w double")
-    dots = (bow.join(F.broadcast(wt), "bucket")
-            .groupBy(key).agg(F.sum(F.col("value") * F.col("w")).alias("_dot")))
-    return (docs.join(dots, key, "left")
-            .withColumn("decision", F.lit(float(intercept)) + F.coalesce(F.col("_dot"), F.lit(0.0)))
-            .drop("_dot"))
+    if isinstance(weights, Mapping):
+        dense = np.zeros(n_features)
+        for w, v in weights.items():
+            dense[bucket_of_py(w, n_features)] += float(v)
+    else:
+        dense = np.asarray(weights, dtype=np.float64)
+    shared = df.sparkSession.sparkContext.broadcast(dense)
+
+    @F.pandas_udf("double")
+    def dot(buckets: pd.Series, values: pd.Series) -> pd.Series:
+        sizes = buckets.str.len().to_numpy()
+        total = np.zeros(len(buckets))
+        if sizes.sum():
+            w = shared.value[np.concatenate(buckets.to_numpy()).astype(np.int64)] * np.concatenate(values.to_numpy())
+            some = sizes > 0
+            total[some] = np.add.reduceat(w, (np.cumsum(sizes) - sizes)[some])
+        return pd.Series(total + intercept)
+
+    return (with_bow(df, text, "_bow", n_features)
+            .withColumn(name, dot(F.col("_bow.bucket"), F.col("_bow.value"))).drop("_bow"))
 
 
 def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = TOP_PHRASES,
                    stop_words: Sequence[str] | None = None,
-                   segments: Mapping[int, str] | None = None,
-                   max_texts: int | None = None, order_key: str | None = None) -> DataFrame:
+                   segments: Mapping[int, str] | None = None) -> DataFrame:
     """Top phrases per label segment: ``(Segment, Phrase, Frequency)``.
 
     Lower-case word tokens, stop words removed, unigrams + bigrams of the
     remaining tokens, total count, top ``top_n`` per segment by frequency
     (ties by phrase).  The ``row_number() <= n`` filter is planned with a
     per-partition group limit ahead of the shuffle, so only ``n`` phrases per
-    segment and partition move.  No cap by default; ``max_texts`` keeps the
-    reference's bounded insight buffer as an option.
+    segment and partition move.
     """
-    if max_texts is not None:
-        # the reference's insight-buffer cap: the first max_texts texts in key order
-        if order_key is None:
-            raise ValueError("max_texts needs order_key")
-        df = df.orderBy(order_key).limit(int(max_texts))
     stop = default_stop_words() if stop_words is None else stop_words
     segs = segments or {1: SEGMENT_POSITIVE, 0: SEGMENT_NEGATIVE}
     seg_col = F.create_map(*[x for k, v in segs.items() for x in (F.lit(k), F.lit(v))])[F.col(label)]

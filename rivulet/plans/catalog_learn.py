@@ -74,8 +74,8 @@ def q_fit_passive_aggressive(spark, d):
     docs = load(spark, d, "documents")
     lab = load(spark, d, "labels").select("doc_id", "quality")
     train = docs.join(lab, "doc_id").where(~L.holdout_flag("doc_id", TEST_RATIO, SEED))
-    bow = TX.hashed_bow(train, "doc_id", "text")
-    return LR.fit_passive_aggressive(bow, lab, "doc_id", "quality", epochs=5, c=1.0)
+    bow = TX.with_bow(train.join(lab, "doc_id"), "text").select("doc_id", "bow", "quality")
+    return LR.fit_passive_aggressive(bow, None, "doc_id", "quality", epochs=5, c=1.0)
 
 
 @query("nystroem_map", "M2")
@@ -93,3 +93,51 @@ def q_model_params(spark, d):
     path = scratch_path(spark, "s10-params")
     MS.write_params(spark, path, "run-1", "2024-01-01 00:00:00", MS.param_rows(model, mom))
     return MS.latest_params(spark, path)
+
+
+def _gradient_rows(spark, df, models: dict, label: str, weight: str | None = None):
+    """``(member, feature, grad)`` of each model's objective at its fitted weights, to 6 places."""
+    out = None
+    for name, m in models.items():
+        w = weight or m.get("weight")
+        if w:  # the objective is the weighted mean: scale the weights to mean one
+            mean = df.agg(F.avg(w)).first()[0]
+            g = LR.logistic_gradient(df.withColumn("_w1", F.col(w) / F.lit(mean)), m, m.get("label", label), "_w1")
+        else:
+            g = LR.logistic_gradient(df, m, m.get("label", label))
+        rows = g.select(F.lit(str(name)).alias("member"), "feature", r6("grad").alias("grad"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _zero_sql(members: list[str]) -> str:
+    names = ", ".join(f"('{f}')" for f in [*BINARY_FEATURES, "_intercept"])
+    which = ", ".join(f"('{m}')" for m in members)
+    return f"SELECT member, feature, CAST(0 AS DOUBLE) AS grad FROM (VALUES {which}) m(member), (VALUES {names}) f(feature)"
+
+
+@query("fit_logistic_gradient", "M3", lambda: _zero_sql(["0"]))
+def q_fit_logistic_gradient(spark, d):
+    """The fitted weights are the optimum: the exact gradient vanishes there."""
+    tr, _ = scaled_train(spark, d)
+    return _gradient_rows(spark, tr, {"0": LR.fit_logistic(tr, BINARY_FEATURES, "label", "cw")}, "label", "cw")
+
+
+@query("fit_ensemble_gradient", "M4", lambda: _zero_sql([str(i) for i in range(7)]))
+def q_fit_ensemble_gradient(spark, d):
+    tr, _ = scaled_train(spark, d)
+    tr = tr.withColumn("_key", lineitem_key())
+    members = LR.fit_ensemble(tr, BINARY_FEATURES, "label", "_key", n_members=7, weight_col="cw", seed=SEED)
+    for i in range(7):
+        tr = tr.withColumn(f"_w_{i}", LR.poisson_weight("_key", SEED + i) * F.col("cw"))
+    return _gradient_rows(spark, tr, {i: m | {"weight": f"_w_{i}"} for i, m in enumerate(members)}, "label")
+
+
+@query("fit_ovr_gradient", "M6", lambda: _zero_sql(["A", "N", "R"]))
+def q_fit_ovr_gradient(spark, d):
+    tr, _ = scaled_train(spark, d)
+    classes = L.collect_classes(tr, "l_returnflag")
+    models = LR.fit_ovr(tr, BINARY_FEATURES, "l_returnflag", classes)
+    for c in classes:
+        tr = tr.withColumn(f"_is_{c}", (F.col("l_returnflag") == c).cast("double"))
+    return _gradient_rows(spark, tr, {c: m | {"label": f"_is_{c}"} for c, m in models.items()}, "")

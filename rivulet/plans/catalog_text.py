@@ -37,9 +37,8 @@ DECISION_CTE = BOW_CTE + f""",
 
 
 def decisions(spark, d):
-    docs = load(spark, d, "documents")
-    bow = TX.hashed_bow(docs, "doc_id", "text")
-    return TX.linear_text_decision(bow, docs.select("doc_id"), "doc_id", TEXT_WEIGHTS, TEXT_INTERCEPT)
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return TX.linear_text_decision(docs, "text", TEXT_WEIGHTS, TEXT_INTERCEPT).drop("text")
 
 
 TEST_DOC_SQL = f"{unit_hash_sql('doc_id', SEED)} < CAST({TEST_RATIO} AS DOUBLE)"
@@ -71,12 +70,12 @@ SELECT doc_id, {r6_sql("CASE WHEN sq > 0 THEN least(1.0, greatest(0.0, 1.0 - y *
 FROM j
 """)
 def q_pa_update(spark, d):
-    docs = load(spark, d, "documents")
-    bow = TX.hashed_bow(docs, "doc_id", "text")
-    dec = TX.linear_text_decision(bow, docs.select("doc_id"), "doc_id", TEXT_WEIGHTS, TEXT_INTERCEPT)
-    sq = bow.groupBy("doc_id").agg(F.sum(F.col("value") * F.col("value")).alias("sq"))
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    sq = F.aggregate(F.col("bow.value"), F.lit(0.0), lambda a, v: a + v * v)
+    dec = TX.with_bow(TX.linear_text_decision(docs, "text", TEXT_WEIGHTS, TEXT_INTERCEPT), "text").select(
+        "doc_id", "decision", sq.alias("sq"))
     lab = load(spark, d, "labels").select("doc_id", (F.col("quality") * 2 - 1).cast("double").alias("y"))
-    j = dec.join(lab, "doc_id").join(sq, "doc_id", "left").fillna(0.0, ["sq"])
+    j = dec.join(lab, "doc_id")
     tau = LR.pa_step_size(F.col("y"), F.col("decision"), F.col("sq"), 1.0)
     return j.select("doc_id", r6(tau).alias("tau"))
 
@@ -98,11 +97,9 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id JOIN dec ON dec.doc_id = d
 WHERE {TEST_DOC_SQL.replace('doc_id', 'd.doc_id')}
 """)
 def q_text_eval_audit(spark, d):
-    docs = load(spark, d, "documents")
-    dec = decisions(spark, d)
+    docs = load(spark, d, "documents").select("doc_id", "text").where(L.holdout_flag("doc_id", TEST_RATIO, SEED))
     lab = load(spark, d, "labels").select("doc_id", F.col("quality").alias("true_label"))
-    test = docs.join(lab, "doc_id").where(L.holdout_flag("doc_id", TEST_RATIO, SEED))
-    return test.join(dec, "doc_id").select(
+    return TX.linear_text_decision(docs.join(lab, "doc_id"), "text", TEXT_WEIGHTS, TEXT_INTERCEPT).select(
         "doc_id", "text", "true_label", (F.col("decision") > 0).cast("int").alias("pred"),
         r6(F.abs("decision")).alias("conf"))
 

@@ -9,9 +9,11 @@ and re-audited per epoch).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.constants import N_HASH_FEATURES
 from ..functions.exprs import linear, sigmoid
 from ..operators import audit as A
 from ..operators import features as FE
@@ -20,6 +22,7 @@ from ..operators import learners as LR
 from ..operators import metrics as M
 from ..operators import scoring as S
 from ..operators import text as TX
+from ..session import materialize
 from ..sources.csv import with_file_row_index
 from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, load
 
@@ -49,7 +52,8 @@ def credit_flow(spark: SparkSession, sf_dir: str, n_components: int = 16, n_memb
                                   n_members=n_members, weight_col="cw", seed=SEED, max_iter=max_iter)
         test = mapped.where(F.col("is_test"))
         probs = [sigmoid(linear(m["features"], m["coef"], m["intercept"])) for m in members]
-        scored = test.select("key", "label", S.soft_vote(probs).alias("probability"))
+        # written while the split is cached, so that evaluating the scores recomputes nothing
+        scored = materialize(test.select("key", "label", S.soft_vote(probs).alias("probability")), "scored")
         return scored, members
     finally:
         split.unpersist()
@@ -82,18 +86,14 @@ def text_flow(spark: SparkSession, sf_dir: str, epochs: int = 5) -> dict[str, Da
     docs = A.drop_null_subset(load(spark, sf_dir, "documents").join(
         load(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id"), ["text", "quality"])
     docs = L.holdout_hash(docs, "doc_id", TEST_RATIO, SEED)
-    bow = TX.hashed_bow(docs, "doc_id", "text").persist()
-    test_ids = docs.where(F.col("is_test")).select("doc_id")
-    train_bow = bow.join(docs.where(~F.col("is_test")).select("doc_id"), "doc_id", "left_semi")
-    weights = LR.fit_passive_aggressive(train_bow, docs.select("doc_id", "quality"), "doc_id", "quality",
-                                        epochs=epochs)
-    b = weights.where(F.col("bucket") == -1).select("weight").collect()
-    intercept = b[0][0] if b else 0.0
-    dots = (bow.join(test_ids, "doc_id", "left_semi").join(weights.where(F.col("bucket") >= 0), "bucket")
-            .groupBy("doc_id").agg(F.sum(F.col("value") * F.col("weight")).alias("_d")))
-    test = docs.where(F.col("is_test")).join(dots, "doc_id", "left").select(
-        "doc_id", "text", F.col("quality").alias("true"),
-        (F.lit(intercept) + F.coalesce(F.col("_d"), F.lit(0.0))).alias("decision"))
+    train = TX.with_bow(docs.where(~F.col("is_test")), "text").select("doc_id", "bow", "quality")
+    weights = LR.fit_passive_aggressive(train, None, "doc_id", "quality", epochs=epochs).toPandas()  # the model
+    dense = np.zeros(N_HASH_FEATURES)
+    words = weights[weights["bucket"] >= 0]
+    dense[words["bucket"]] = words["weight"]
+    intercept = float(weights.loc[weights["bucket"] == -1, "weight"].sum())
+    test = docs.where(F.col("is_test")).select("doc_id", "text", F.col("quality").alias("true"))
+    test = TX.linear_text_decision(test, "text", dense, intercept)
     test = test.withColumn("pred", (F.col("decision") > 0).cast("int")).withColumn("conf", F.abs("decision"))
     metrics = M.weighted_metrics_rows(test, "true", "pred")
     return {"audit": test.select("text", "true", "pred", "conf"),

@@ -68,7 +68,7 @@ def latest_params(spark: SparkSession, path: str) -> DataFrame:
 def check_engine_version(params: DataFrame) -> list[str]:
     """Distinct engine versions that differ from the running one (logged)."""
     other = [r[0] for r in params.select("engine_version").distinct()
-             .where(F.col("engine_version") != pyspark.__version__).limit(100).collect()]
+             .where(F.col("engine_version") != pyspark.__version__).collect()]
     for v in other:
         log.warning("model written by engine %s, running %s", v, pyspark.__version__)
     return other

@@ -162,25 +162,35 @@ def test_pa_step_size(spark):
     assert math.isclose(got[0], 0.8)
 
 
-def test_joint_newton_matches_spark_ml(spark):
+def _gradient(df, model, label, weight=None):
+    return max(abs(r["grad"]) for r in LR.logistic_gradient(df, model, label, weight).collect())
+
+
+def test_gradient_vanishes_at_the_weights(spark):
     df = _planted(spark).withColumn("w", F.lit(1.0) + (F.col("a") > 0).cast("double"))
-    newton = LR.fit_logistic(df, ["a", "b"], "y", "w", solver="newton")
-    lbfgs = LR.fit_logistic(df, ["a", "b"], "y", "w", solver="lbfgs")
-    assert all(abs(x - y) < 1e-4 for x, y in zip(newton["coef"], lbfgs["coef"]))
-    assert abs(newton["intercept"] - lbfgs["intercept"]) < 1e-4
+    w = df.select((F.col("w") / df.agg(F.avg("w")).first()[0]).alias("w"), "a", "b", "y")
+    assert _gradient(w, LR.fit_logistic(df, ["a", "b"], "y", "w"), "y", "w") < 1e-6
 
 
-def test_joint_ovr_and_ensemble(spark):
+def test_ovr_and_ensemble_members(spark):
     df = _planted(spark).withColumn("cls", F.when(F.col("a") > 0.5, "hi").when(F.col("a") < -0.5, "lo")
                                     .otherwise("mid")).withColumn("k", F.monotonically_increasing_id())
-    joint = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"], solver="newton")
-    sep = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"], solver="lbfgs")
-    for c in ("hi", "lo", "mid"):
-        assert all(abs(x - y) < 1e-3 for x, y in zip(joint[c]["coef"], sep[c]["coef"]))
+    models = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"])
+    for c, m in models.items():
+        assert _gradient(df.withColumn("t", (F.col("cls") == c).cast("double")), m, "t") < 1e-6
     members = LR.fit_ensemble(df, ["a", "b"], "y", "k", n_members=3)
     assert len(members) == 3 and len({round(m["coef"][0], 6) for m in members}) == 3
 
 
+def test_three_hundred_features(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 300))
+    y = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=400) > 0).astype(float)
+    names = [f"x{i}" for i in range(300)]
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], [*names, "y"])
+    assert _gradient(df, LR.fit_logistic(df, names, "y", alpha=LR.ALPHA), "y") < 1e-5
+
+
 def test_minibatch_sgd_converges_with_more_epochs(spark):
     df = _planted(spark).repartition(2)
     batch = LR.fit_logistic(df, ["a", "b"], "y")
@@ -188,13 +198,13 @@ def test_minibatch_sgd_converges_with_more_epochs(spark):
     assert all(abs(a - b) < 0.3 for a, b in zip(batch["coef"], mb["coef"]))
 
 
-def test_moments_ridge_matches_spark_ml_normal(spark):
+def test_ridge_matches_the_closed_form(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 2))
     y = 3 * x[:, 0] - 2 * x[:, 1] + 1 + 0.1 * rng.normal(size=3000)
     df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
-    m = LR.fit_linear(df, ["a", "b"], "y", alpha=0.0, solver="moments")
-    s = LR.fit_linear(df, ["a", "b"], "y", alpha=0.0, solver="normal")
-    assert all(abs(p - q) < 1e-8 for p, q in zip(m["coef"], s["coef"])) and abs(m["intercept"] - s["intercept"]) < 1e-8
-    ridge = LR.fit_linear(df, ["a", "b"], "y", alpha=0.5, solver="moments")
+    m = LR.fit_linear(df, ["a", "b"], "y", alpha=0.0)
+    want = np.linalg.lstsq(np.hstack([x, np.ones((3000, 1))]), y, rcond=None)[0]
+    assert all(abs(p - q) < 1e-8 for p, q in zip([*m["coef"], m["intercept"]], want))
+    ridge = LR.fit_linear(df, ["a", "b"], "y", alpha=0.5)
     assert abs(ridge["coef"][0]) < abs(m["coef"][0])                 # shrinkage
