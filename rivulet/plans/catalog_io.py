@@ -33,7 +33,7 @@ def q_scan_csv_roundtrip(spark, d):
     note = F.concat(F.col("c_name"), F.lit(', "'), F.col("c_mktsegment"), F.lit('"\nsecond line'))
     src = c.select("c_custkey", note.alias("c_note"), "c_nationkey", "c_acctbal", "c_mktsegment")
     path = CSV.write_csv(src, scratch_path(spark, "s1"))
-    back = CSV.read_csv(spark, path)
+    back = CSV.read_csv(spark, path, multiline=True)
     return _cast(back, {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 

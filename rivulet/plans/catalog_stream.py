@@ -15,12 +15,14 @@ from ..operators import scoring as S
 from ..session import scratch_path
 from ..streaming import streams as ST
 from .catalog_model import soft_vote_sql
-from .fixtures import BINARY_FEATURES, BINARY_LABEL_SQL, binary_label, binary_members, lit_sql, r6_sql
+from .fixtures import BINARY_FEATURES, BINARY_LABEL_SQL, binary_label, binary_members, lit_sql, load, r6_sql
 from .registry import query
 
 
 def _events(spark, d):
-    return ST.file_stream(spark, d, "events.parquet")
+    """The events as three files, so that state crosses micro-batches."""
+    path = ST.split_table(load(spark, d, "events"), "event_id", 3, "events")
+    return ST.file_stream(spark, path, "*.parquet")
 
 
 @query("stream_ingest", "T1", "SELECT event_id, user_id, event_type, value FROM events")

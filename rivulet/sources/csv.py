@@ -45,14 +45,39 @@ def header_line(spark: SparkSession, path: str, line_no: int = 0, sep: str = ","
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-             multiline: bool = True, sep: str = ",") -> DataFrame:
-    """Header on the first line of every file; quoted multi-line fields allowed."""
+             multiline: bool = False, sep: str = ",") -> DataFrame:
+    """Header on the first line of every file, checked against ``columns`` file by file.
+
+    Files are split between tasks unless ``multiline`` allows line breaks in
+    quoted fields, which makes one task of each file.  A file whose header differs
+    in order or names fails the read instead of landing in the wrong columns;
+    :func:`read_csv_by_header` reads such folders.
+    """
     cols = list(columns) if columns else header_line(spark, path, 0, sep)
-    return _reader(spark, string_schema(cols), True, multiline, sep).csv(path)
+    return _reader(spark, string_schema(cols), True, multiline, sep).option("enforceSchema", False).csv(path)
+
+
+def read_csv_by_header(spark: SparkSession, path: str, multiline: bool = False, sep: str = ",") -> DataFrame:
+    """Files whose headers order or choose their columns differently, matched by name (absent columns are null).
+
+    One pass reads each file's first line; files of one header are read together.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("at"),
+                                         F.monotonically_increasing_id().alias("line"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    out = None
+    for g in groups:  # one read for each distinct header
+        part = read_csv(spark, g["files"], parse_csv_line(g["header"], sep), multiline, sep)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"{path}: no header")
+    return out
 
 
 def read_csv_preamble(spark: SparkSession, path: str, sep: str = ",",
-                      multiline: bool = True) -> DataFrame:
+                      multiline: bool = False) -> DataFrame:
     """Line 0 of each file is a preamble, line 1 the header.
 
     Spark's ``header`` option drops only line 0, so the true header comes
@@ -68,7 +93,7 @@ def read_csv_preamble(spark: SparkSession, path: str, sep: str = ",",
 
 
 def read_csv_skip_bad_lines(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                            sep: str = ",", multiline: bool = True) -> DataFrame:
+                            sep: str = ",", multiline: bool = False) -> DataFrame:
     """Drop rows with too many fields, keep short rows padded with null.
 
     A sentinel column catches the first surplus field; rows that fill it are

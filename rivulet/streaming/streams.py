@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contract as C
+from ..operators.audit import nan_to_null
 from ..session import scratch_path
 
 
@@ -59,6 +60,22 @@ def per_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def split_table(df: DataFrame, order: str, parts: int, name: str) -> str:
+    """Write a table as ``parts`` files one after the other, in ranges of ``order``: a source of several micro-batches."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    width = (high - low) // parts + 1
+    for i in range(parts):
+        df.where(F.floor((F.col(order) - low) / width) == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 # ------------------------------------------------------------------ operators
 
 
@@ -97,16 +114,16 @@ def audit_batches(stream: DataFrame, key: str, state_path: str, counters_path: s
 
     def audit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = nan_to_null(batch)
         any_null = F.lit(False)
         for c in cols:
             any_null = any_null | F.col(c).isNull()
         flagged = batch.withColumn("_null", any_null).persist()
         clean_keys = flagged.where(~F.col("_null")).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        try:
-            seen = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id).select(key).distinct()
+        new_keys = clean_keys
+        if _exists(spark, state_path):  # each key is in it once; a state that cannot be read fails the batch
+            seen = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id).select(key)
             new_keys = clean_keys.join(seen, key, "left_anti")
-        except Exception:  # first batch: no state yet  # noqa: BLE001
-            new_keys = clean_keys
         new_keys.select(key).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         kept = spark.read.parquet(f"{state_path}/batch_id={batch_id}").count()
         row = flagged.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("_null").alias("null_rows"))
@@ -143,14 +160,12 @@ def online_fit_batches(features: Sequence[str], label: str, params_path: str, lr
     def fit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         model = dict(init) if init else {"features": feats, "coef": [0.0] * len(feats), "intercept": 0.0}
-        try:
+        if _exists(spark, params_path):  # parameters that cannot be read fail the batch; the model never restarts
             prev = spark.read.parquet(params_path).where(F.col("batch_id") < batch_id)
             last = prev.agg(F.max("batch_id")).collect()[0][0]
             if last is not None:
                 rows = {r["feature"]: r["coef"] for r in prev.where(F.col("batch_id") == last).collect()}
                 model = {"features": feats, "coef": [rows[f] for f in feats], "intercept": rows["_intercept"]}
-        except Exception:  # no earlier version  # noqa: BLE001
-            pass
         grads = {r["feature"]: r["grad"] for r in logistic_gradient(batch, model, label, None, alpha).collect()}
         coef = [c - lr * grads[f] for f, c in zip(feats, model["coef"], strict=True)]
         b = model["intercept"] - lr * grads["_intercept"]

@@ -27,7 +27,7 @@ def test_preamble_short_long_bad_quoted_na(spark):
                '3,7\n'
                '4,8,x,1,surplus\n'
                '5,9,y,0,\n')
-    df = CSV.read_csv_preamble(spark, d)
+    df = CSV.read_csv_preamble(spark, d, multiline=True)
     rows = {r["ID"]: r for r in df.collect()}
     assert set(rows) == {"1", "2", "3", "4", "5"}
     assert rows["1"]["NOTE"] == "two\nlines"
@@ -96,3 +96,14 @@ def test_inventory_fans_out_subdirectories(spark):
     got = {r["path"]: r["size_bytes"] for r in INV.list_files(spark, [root]).collect()}
     assert got == {**{f"d{i}/x/f{i}.txt": i for i in range(5)}, "top.txt": 1}
     assert len(INV._units(root)) == 6
+
+
+def test_a_header_in_another_order_is_refused_or_matched_by_name(spark):
+    d = scratch_path(spark, "t-order")
+    _write(d, "a.csv", "x,y\n1,2\n")
+    _write(d, "b.csv", "y,x\n8,9\n")
+    _write(d, "c.csv", "x\n5\n")
+    with pytest.raises(Exception, match="header"):
+        CSV.read_csv(spark, d, ["x", "y"]).collect()
+    got = sorted(((r["x"], r["y"]) for r in CSV.read_csv_by_header(spark, d).select("x", "y").collect()), key=str)
+    assert got == [("1", "2"), ("5", None), ("9", "8")]

@@ -71,3 +71,22 @@ def test_stream_dedup_within_watermark_bounds_state(spark):
     out = spark.read.parquet(sink)
     # within-watermark dedup never emits a key twice inside the delay window
     assert out.count() >= ev.select("user_id").distinct().count()
+
+
+def test_state_that_cannot_be_read_fails_the_batch(spark, tmp_path):
+    import pytest
+    for name in ("state", "params"):
+        (tmp_path / name / "batch_id=0").mkdir(parents=True)
+        (tmp_path / name / "batch_id=0" / "part-0.parquet").write_bytes(b"not a table")
+    batch = spark.createDataFrame([(1, 0.5, 1.0)], "k int, x double, label double")
+    with pytest.raises(Exception):
+        ST.audit_batches(batch, "k", str(tmp_path / "state"), str(tmp_path / "c"))(batch, 1)
+    with pytest.raises(Exception):
+        ST.online_fit_batches(["x"], "label", str(tmp_path / "params"))(batch, 1)
+
+
+def test_nan_counts_as_null(spark):
+    counters = scratch_path(spark, "t-nan")
+    batch = spark.createDataFrame([(1, float("nan")), (2, 1.0), (2, 2.0)], "k int, x double")
+    ST.audit_batches(batch, "k", scratch_path(spark, "t-nan-state"), counters)(batch, 0)
+    assert tuple(spark.read.parquet(counters).select("total_rows", "null_rows", "duplicates_dropped").first()) == (3, 1, 1)
