@@ -145,6 +145,11 @@ def log_loss(df: DataFrame, p_true: str, eps: float = EPS) -> DataFrame:
     return df.agg(F.avg(-F.ln(p)).alias("log_loss"))
 
 
+def append_metrics(wide: DataFrame, path: str, run_id: str) -> None:
+    """Metrics sink: append a run's ``(run_id, metric, value)`` rows to a table."""
+    metrics_long(wide, run_id).select("run_id", "metric", "value").write.mode("append").parquet(path)
+
+
 def metrics_long(wide: DataFrame, run_id: str | None = None) -> DataFrame:
     """Wide one-row metrics -> ``(run_id, metric, value)`` rows."""
     cols = [c for c in wide.columns if c != "run_id"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import N_HASH_FEATURES
 from ..functions.exprs import linear, sigmoid
 from ..operators import audit as A
+from ..operators import contract as C
 from ..operators import features as FE
 from ..operators import labels as L
 from ..operators import learners as LR
@@ -23,7 +24,8 @@ from ..operators import metrics as M
 from ..operators import scoring as S
 from ..operators import text as TX
 from ..session import materialize
-from ..sources.csv import with_file_row_index
+from ..sources import models as MS
+from ..sources.csv import with_file_row_index, write_csv
 from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, load
 
 
@@ -74,9 +76,37 @@ def credit_flow_metrics(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return n.unionByName(weighted).unionByName(auc)
 
 
+def score_stored(df: DataFrame, path: str, out_col: str = "probability") -> DataFrame:
+    """Score with the latest stored run: its scaler, then the mean of its members' probabilities."""
+    params = MS.latest_params(df.sparkSession, path)
+    MS.check_engine_version(params)
+    members = list(MS.to_models(params).values())
+    return S.score_binary(df, members, out_col, scaler=members[0]["scaler"] or None)
+
+
+def etl_flow(df: DataFrame, contract: dict, rules: dict, out_dir: str, surrogate: str | None = None,
+             target: str | None = None) -> dict[str, str | DataFrame]:
+    """Generate scoring input: headers, surrogate and label dropped, contract, routing, two sinks, counts.
+
+    ``contract`` names the required columns and types, ``rules`` the failure
+    predicates of a row after the cast.  Returns the paths of the valid and of
+    the dead-letter rows and the ``(processed, quarantined)`` counts.
+    """
+    cleaned = C.normalise_headers(df)
+    if surrogate:
+        cleaned = C.drop_surrogate(cleaned, surrogate)
+    if target:
+        cleaned = C.blind_projection(cleaned, target)
+    checked = C.validate(cleaned, contract, tolerate=[target] if target else [])
+    rules = {"cast": F.size("_cast_errors") > 0, **rules}
+    routed = materialize(C.quarantine_rows(checked, rules).drop("_cast_errors"), "etl")
+    valid = write_csv(C.valid_branch(routed), f"{out_dir.rstrip('/')}/valid")
+    dead = write_csv(C.quarantine_branch(routed), f"{out_dir.rstrip('/')}/dead_letter")
+    return {"valid": valid, "dead_letter": dead, "counts": C.etl_counts(routed)}
+
+
 def write_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Report sinks: each report DataFrame to ``out_dir/<name>`` as CSV (overwrite)."""
-    from ..sources.csv import write_csv
     return {name: write_csv(df, f"{out_dir.rstrip('/')}/{name}") for name, df in reports.items()}
 
 

@@ -75,10 +75,12 @@ def check_engine_version(params: DataFrame) -> list[str]:
 
 
 def to_models(params: DataFrame) -> dict[str, dict]:
-    """Driver copy of a (small) parameter set: member -> model dict."""
+    """Driver copy of a parameter set: member -> model dict, with its ``scaler`` where one was stored."""
     out: dict[str, dict] = {}
     for r in params.orderBy("member", "feature").collect():
-        m = out.setdefault(r["member"], {"features": [], "coef": [], "intercept": 0.0})
+        m = out.setdefault(r["member"], {"features": [], "coef": [], "intercept": 0.0, "scaler": {}})
+        if r["mean"] is not None:
+            m["scaler"][r["feature"]] = (r["mean"], r["scale"])
         if r["feature"] == "_intercept":
             m["intercept"] = r["coef"]
         else:
