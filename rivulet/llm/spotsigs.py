@@ -16,6 +16,7 @@ are carried over its edge.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -156,3 +157,44 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     names=names[:7])
 
     return whole.unionByName(edges.mapInArrow(close, f"doc_id {kind}, {FIELDS}"))
+
+
+def length_part(size: Column, threshold: float) -> Column:
+    """Number of the length partition: similar sets lie in one partition or in neighbouring ones.
+
+    Partition k holds the sizes from threshold ** -k up to below threshold ** -(k + 1).
+    """
+    return F.floor(F.log(size.cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int")
+
+
+def similar_pairs(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """Pairs ``a < b`` of different fingerprints whose sets have a Jaccard similarity of ``threshold`` or more.
+
+    ``prints`` has columns ``fingerprint`` and ``signatures`` (as ``fingerprints``
+    gives them); rows of equal fingerprints count once.  Sets are compared
+    within their length partition and with the next one, and only those that share one of
+    the first few signatures that any similar set must share.  Signatures are
+    taken in order of how many sets hold them, so that a spot which very many
+    share is not among the first ones of any larger set.  Lengths prune the
+    candidates before their sets are joined.
+    """
+    sets = prints.select("fingerprint", "signatures").dropDuplicates(["fingerprint"])
+    cells = sets.select("fingerprint", F.size("signatures").alias("n"), F.explode("signatures").alias("s"))
+    held = cells.groupBy("s").agg(F.count(F.lit(1)).alias("held")).where("held > 1")  # a spot of one set finds nothing
+    rare = (cells.join(held, "s", "left").groupBy("fingerprint", "n")
+            .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(1)).alias("held"), "s"))).alias("s")))
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9).cast("int") + 1
+    keys = rare.select("fingerprint", "n", length_part(F.col("n"), threshold).alias("part"),
+                       F.explode(F.slice("s", F.lit(1), first)).alias("x")).where("x.held > 1")
+    small = keys.select(F.col("fingerprint").alias("f"), F.col("n").alias("nf"), F.col("x.s").alias("s"),
+                        F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    large = keys.select(F.col("fingerprint").alias("g"), F.col("n").alias("ng"), F.col("x.s").alias("s"), "part")
+    found = (small.join(large, ["part", "s"])
+             .where(((F.col("nf") < F.col("ng")) | ((F.col("nf") == F.col("ng")) & (F.col("f") < F.col("g"))))
+                    & (F.col("nf") >= F.col("ng") * F.lit(threshold) - 1e-9)).select("f", "g").distinct())
+    left, right = (sets.select(F.col("fingerprint").alias(k), F.col("signatures").alias(f"s{k}")) for k in "fg")
+    both = F.size(F.array_intersect("sf", "sg"))
+    alike = both / (F.size("sf") + F.size("sg") - both)
+    return (found.join(left, "f").join(right, "g").withColumn("likeness", alike)
+            .where(F.col("likeness") >= F.lit(threshold) - 1e-9)
+            .select(F.least("f", "g").alias("a"), F.greatest("f", "g").alias("b"), "likeness"))

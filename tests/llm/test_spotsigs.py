@@ -71,3 +71,23 @@ def test_likeness_is_pruned_by_length():
 def test_fingerprints_are_sets(docs):
     for r in S.fingerprints(docs).limit(20).collect():
         assert len(set(r["signatures"])) == len(r["signatures"]) and len(r["fingerprint"]) == 32
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_similar_pairs_are_all_pairs(spark, threshold):
+    import random
+    rng = random.Random(4)
+    sets = []
+    for _ in range(25):
+        base = [rng.randrange(400) for _ in range(rng.randint(1, 40))]
+        sets += [sorted({x if rng.random() > 0.08 else rng.randrange(10**6) for x in base} | {7}) for _ in range(rng.randint(1, 5))]
+    rows = [(f"{i:03d}", s) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame([*rows, rows[0]], "fingerprint string, signatures array<long>")
+    got = {(r["a"], r["b"]) for r in S.similar_pairs(frame, threshold).collect()}
+    want = set()
+    for i, (f, a) in enumerate(rows):
+        for g, b in rows[i + 1:]:
+            if len(set(a) & set(b)) >= threshold * len(set(a) | set(b)) - 1e-9:
+                want.add((f, g))
+    assert got == want and len(want) > 10
+    assert S.similar_pairs(frame.limit(0)).count() == 0
