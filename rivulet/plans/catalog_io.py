@@ -215,6 +215,33 @@ def q_file_inventory(spark, d):
     return INV.file_status(INV.list_files(spark, [root], ordered=True))
 
 
+@query("inventory_counts", "S15,P17", """
+SELECT source, 'VALID' AS status, count(DISTINCT lang) AS n_files FROM documents GROUP BY source
+""")
+def q_inventory_counts(spark, d):
+    """One file per source and language, counted by folder and status."""
+    docs = load(spark, d, "documents").select("source", "lang", "text")
+    root = scratch_path(spark, "s15-counts")
+    docs.repartition("source", "lang").write.mode("overwrite").partitionBy("source", "lang").text(root)
+    files = INV.file_status(INV.list_files(spark, [root])).where(F.col("path").rlike(r"part-[^/]*\.txt$"))
+    return files.groupBy(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "status").agg(
+        F.count(F.lit(1)).alias("n_files"))
+
+
+@query("manifest_rows", "S16", """
+SELECT source AS job_id, 'doc-' || CAST(doc_id AS VARCHAR) AS path, n_chars AS size_bytes,
+       CASE WHEN n_chars = 0 THEN 'CORRUPT (0 Bytes)' ELSE 'VALID' END AS status,
+       CASE WHEN n_chars = 0 THEN 'doc-' || CAST(doc_id AS VARCHAR) END AS warning
+FROM (SELECT source, doc_id, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE n_chars END AS n_chars FROM documents)
+""")
+def q_manifest_rows(spark, d):
+    """A written manifest read back, its files as rows."""
+    listing = load(spark, d, "documents").select(
+        F.col("source").alias("job_id"), F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"),
+        F.when(F.col("doc_id") % 9 == 0, F.lit(0)).otherwise(F.col("n_chars")).alias("size_bytes"))
+    return spark.read.parquet(INV.write_manifest(listing, scratch_path(spark, "s16-rows")))
+
+
 # ---------------------------------------------------------------- model store
 
 

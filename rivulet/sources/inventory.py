@@ -9,6 +9,7 @@ Everything after the listing is plain DataFrame work.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.constants import STATUS_CORRUPT as CORRUPT
 from ..functions.constants import STATUS_VALID as VALID
 
+#: Files that a task lists before it hands them on.
+PIECE = 10_000
 LISTING_SCHEMA = "root string, path string, size_bytes long"
 
 
@@ -79,9 +82,10 @@ def list_files(spark: SparkSession, roots: Sequence[str], ordered: bool = False)
     def walk(batches):
         import pandas as pd
         for pdf in batches:
-            rows = [(r, p, s) for r, sub, rec in zip(pdf["root"], pdf["sub"], pdf["recursive"], strict=True)
-                    for p, s in _walk(r, sub, bool(rec))]
-            yield pd.DataFrame(rows, columns=["root", "path", "size_bytes"])
+            rows = ((r, p, s) for r, sub, rec in zip(pdf["root"], pdf["sub"], pdf["recursive"], strict=True)
+                    for p, s in _walk(r, sub, bool(rec)))
+            while part := list(itertools.islice(rows, PIECE)):  # a flat folder leaves in pieces
+                yield pd.DataFrame(part, columns=["root", "path", "size_bytes"])
 
     listing = units_df.mapInPandas(walk, LISTING_SCHEMA)
     return listing.orderBy("root", "path") if ordered else listing
@@ -96,11 +100,25 @@ def file_status(listing: DataFrame, size_col: str = "size_bytes") -> DataFrame:
     return listing.withColumn("status", F.when(F.col(size_col) == 0, F.lit(CORRUPT)).otherwise(F.lit(VALID)))
 
 
+def manifest_rows(listing: DataFrame, job_col: str = "job_id") -> DataFrame:
+    """The manifest as a table, one row per file: ``job_id, path, size_bytes, status, warning``
+    (the name of a zero-byte file).  However many files a job wrote, none of them meet."""
+    st = file_status(listing)
+    return st.select(F.col(job_col).alias("job_id"), "path", "size_bytes", "status",
+                     F.when(F.col("status") == CORRUPT, base_name("path")).alias("warning"))
+
+
+def write_manifest(listing: DataFrame, path: str, job_col: str = "job_id") -> str:
+    """Manifest sink: the rows as Parquet, overwriting an older manifest."""
+    manifest_rows(listing, job_col).write.mode("overwrite").parquet(path)
+    return path
+
+
 def manifest(listing: DataFrame, job_col: str = "job_id") -> DataFrame:
     """One JSON manifest per job: ``{job_id, files[], integrity_warnings[]}``.
 
-    Files are sorted by path; warnings hold the names of zero-byte files.
-    One group per job: a job's output folder is bounded by what the job wrote.
+    Files are sorted by path; warnings hold the names of zero-byte files.  The
+    document of a job is one row; :func:`manifest_rows` keeps its files apart.
     """
     st = file_status(listing)
     entry = F.struct(F.col("path"), F.col("size_bytes"), F.col("status"))
