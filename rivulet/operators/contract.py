@@ -78,7 +78,7 @@ def require_columns(df: DataFrame, contract: Mapping | None,
     """
     missing = missing_columns(df, contract, tolerate)
     if missing:
-        raise ValueError(f"Schema Violation: Missing columns {missing}")
+        raise ValueError(f"required columns are absent: {missing}")
     return df
 
 

@@ -195,13 +195,12 @@ def _sgd_partition(loss: str, lr: float, alpha: float, feats: list[str], label:
 
 def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log", epochs: int = 5,
             lr: float = 0.01, alpha: float = ALPHA, weight_col: str | None = None,
-            init: dict | None = None, batch: int = 1) -> dict:
+            init: dict | None = None, batch: int = 64) -> dict:
     """Incremental SGD with parameter mixing: one distributed pass per epoch.
 
     Each partition streams its rows through constant-rate SGD from the
-    broadcast weights, ``batch`` rows per vectorised step (default 1: the
-    reference's per-sample updates; larger batches trade update count for
-    vectorisation); the driver averages the partition weights by row count.
+    broadcast weights, ``batch`` rows per vectorised step (1 gives the
+    reference's per-sample updates); the driver averages the partition weights by row count.
     The input is cached once (the reference re-parses per epoch).
     """
     spark = df.sparkSession

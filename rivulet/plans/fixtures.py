@@ -69,7 +69,7 @@ def ovr_models() -> dict[str, dict]:
 
 REGRESSION = {"features": ["p_size"], "coef": [9.5], "intercept": 1250.0}
 
-# The literal text model used to check the text scorer.
+# A literal text model of our own, to check the text scorer.
 TEXT_WEIGHTS = {"the": 0.8, "and": 0.6, "of": 0.4, "is": 0.3, "le": -0.7, "la": -0.5,
                 "de": -0.6, "der": -0.4, "el": -0.3, "que": -0.2}
 TEXT_INTERCEPT = -0.05

@@ -126,7 +126,8 @@ def text_flow(spark: SparkSession, sf_dir: str, epochs: int = 5) -> dict[str, Da
     test = TX.linear_text_decision(test, "text", dense, intercept)
     test = test.withColumn("pred", (F.col("decision") > 0).cast("int")).withColumn("conf", F.abs("decision"))
     metrics = M.weighted_metrics_rows(test, "true", "pred")
-    return {"audit": test.select("text", "true", "pred", "conf"),
+    auc = M.roc_auc(test, "true", "decision").select(F.coalesce("auc", F.lit(0.0)).alias("auc"))  # one class: 0
+    return {"auc": auc, "audit": test.select("text", "true", "pred", "conf"),
             "metrics": metrics,
             "alerts": TX.priority_alerts(test, "pred", "conf", "doc_id"),
             "drivers": TX.phrase_drivers(test, "text", "true")}
@@ -142,7 +143,8 @@ def admissions_flow(spark: SparkSession, sf_dir: str, threshold: float = 1500.0)
     reg = M.regression_metrics(test, "p_retailprice", "pred")
     cls = M.binary_metrics(test.select(L.binarise("p_retailprice", threshold).alias("t"),
                                        L.binarise("pred", threshold).alias("p")), "t", "p")
-    return reg.unionByName(cls, allowMissingColumns=True)
+    auc = M.roc_auc(test.withColumn("t", L.binarise("p_retailprice", threshold)), "t", "pred")  # one class: null
+    return reg.unionByName(cls, allowMissingColumns=True).unionByName(auc, allowMissingColumns=True)
 
 
 def student_flow(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -132,3 +132,14 @@ def test_audit_summary_bloom_mode_counts_survivors(spark):
     r = A.audit_summary(df, "key", "seq", mode="bloom", n_items=300, p=0.01).collect()[0]
     kept = len(sequential_bloom(keys, 300, 0.01))
     assert (r["total_rows"], r["null_rows"], r["duplicates_dropped"]) == (4000, 0, 4000 - kept)
+
+
+def test_flows_report_auc(spark):
+    from rivulet.plans import flows
+    auc = flows.text_flow(spark, "/root/testdata/sf0.001", epochs=1)["auc"].first()["auc"]
+    assert 0.0 <= auc <= 1.0
+    middle = spark.read.parquet("/root/testdata/sf0.001/part.parquet").agg(F.median("p_retailprice")).first()[0]
+    rows = flows.admissions_flow(spark, "/root/testdata/sf0.001", threshold=middle).collect()
+    assert any(r["auc"] is not None and 0.0 <= r["auc"] <= 1.0 for r in rows)
+    one_class = flows.admissions_flow(spark, "/root/testdata/sf0.001", threshold=1e9).collect()
+    assert all(r["auc"] is None for r in one_class)

@@ -118,7 +118,7 @@ def test_logistic_recovers_planted(spark):
 def test_sgd_mixing_close_to_batch(spark):
     df = _planted(spark).repartition(4)
     batch = LR.fit_logistic(df, ["a", "b"], "y")
-    sgd = LR.fit_sgd(df, ["a", "b"], "y", loss="log", epochs=5, lr=0.05)
+    sgd = LR.fit_sgd(df, ["a", "b"], "y", loss="log", epochs=5, lr=0.05, batch=1)
     assert all(abs(a - b) < 0.3 for a, b in zip(batch["coef"], sgd["coef"]))
 
 

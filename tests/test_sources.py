@@ -76,15 +76,15 @@ def test_float_format(spark):
 
 def test_inventory_sees_empty_files_and_manifest(spark):
     root = scratch_path(spark, "t-inv")
-    _write(root, "model.joblib", "weights")
-    _write(os.path.join(root, "logs"), "forensic_audit.log", "")
+    _write(root, "weights.bin", "weights")
+    _write(os.path.join(root, "logs"), "run_audit.log", "")
     listing = INV.list_files(spark, [root]).withColumn("job_id", INV.F.lit("job-1"))
     st = {r["path"]: r["status"] for r in INV.file_status(listing).collect()}
-    assert st == {"model.joblib": "VALID", "logs/forensic_audit.log": "CORRUPT (0 Bytes)"}
+    assert st == {"weights.bin": "VALID", "logs/run_audit.log": "CORRUPT (0 Bytes)"}
     doc = json.loads(INV.manifest(listing).collect()[0]["manifest"])
-    assert doc["job_id"] == "job-1" and doc["integrity_warnings"] == ["forensic_audit.log"]
-    assert [f["path"] for f in doc["files"]] == ["logs/forensic_audit.log", "model.joblib"]
-    missing = INV.missing_assets(listing, ["forensic_audit.log", "model.joblib", "report.csv"]).collect()
+    assert doc["job_id"] == "job-1" and doc["integrity_warnings"] == ["run_audit.log"]
+    assert [f["path"] for f in doc["files"]] == ["logs/run_audit.log", "weights.bin"]
+    missing = INV.missing_assets(listing, ["run_audit.log", "weights.bin", "report.csv"]).collect()
     assert [r["name"] for r in missing] == ["report.csv"]
 
 
