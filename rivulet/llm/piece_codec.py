@@ -13,6 +13,9 @@ Every encoded text can be verified against the sentencepiece library itself.
 from __future__ import annotations
 
 import functools
+import itertools
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks
+from .windows import spread
 
 MARKER = "▁"
+PART = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 #: Kinds of pieces and models in the format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -147,57 +152,75 @@ class Model:
                 and not any(kind == USER for _, _, kind in self.pieces))
 
 
+class _Numbers(dict):
+    """Numbers parts in the order in which they are first asked for."""
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        return number
+
+
 class Codec:
     """Ids from texts and texts from ids."""
 
     def __init__(self, data: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         self.model = Model.parse(data)
         self.tokenizer = self.model.tokenizer()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Numbers()
+        self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.alone = None
         if self.model.plain:  # parts are normalised here, so the library need not do it
             from tokenizers import Tokenizer
 
             self.alone = Tokenizer.from_str(self.tokenizer.to_str())
             self.alone.normalizer = None
+            self.marked = np.array([p.startswith(MARKER) for p, _, _ in self.model.pieces])
 
     def _parts(self, text: str) -> list[str]:
-        marked = text.replace(" ", MARKER)
+        """The text's parts, each with the markers before it."""
+        words = text.split(" ")
         if self.model.dummy_prefix and text:
-            marked = MARKER + marked
-        pieces = marked.split(MARKER)
-        out, run = [], 0
-        for i, piece in enumerate(pieces):
-            if piece:
-                out.append(MARKER * run + piece)
-                run = 0
-            if i + 1 < len(pieces):
-                run += 1
-        return out + [MARKER * run] * (run > 0)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+            words.insert(0, "")
+        if "" not in words[1:] and MARKER not in text:
+            return words[:1] * bool(words[0]) + [MARKER + w for w in words[1:]]
+        return PART.findall(MARKER.join(words))
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.alone.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of the parts that were numbered last."""
+        # a part with one marker has one piece that starts with it, its first: such parts can follow each other
+        rows = [p for p in parts if p[0] == MARKER and MARKER not in p[1:] and len(p) > 1]
+        lone = [p for p in parts if not (p[0] == MARKER and MARKER not in p[1:] and len(p) > 1)]
+        found = self._ids(["".join(rows[i:i + 256]) for i in range(0, len(rows), 256)])
+        sizes = [np.diff(np.r_[np.flatnonzero(self.marked[x]), len(x)]) for x in found]
+        alone = self._ids(lone)
+        sizes.append(np.array([len(x) for x in alone], np.int64))
+        lengths = np.concatenate(sizes)
+        order = np.array([self.known[p] for p in rows + lone]) - len(self.start)
+        start, size = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        start[order], size[order] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
+        self.flat = np.concatenate([self.flat, *found, *alone])
+        self.start, self.size = np.r_[self.start, start], np.r_[self.size, size]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.alone is None:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        known, cut = self.known, [self._parts(t) for t in texts]
-        new = list({p for parts in cut for p in parts if p not in known})
-        # a part starts with a marker unless it starts its text, so parts that
-        # do can follow each other and are told apart by their lengths in pieces
-        lone = [p for p in new if p[0] != MARKER or p[-1] == MARKER]
-        rows = [p for p in new if p[0] == MARKER and p[-1] != MARKER]
-        joined = ["".join(rows[i:i + 64]) for i in range(0, len(rows), 64)]
-        for p, e in zip(lone, self.alone.encode_batch_fast(lone, add_special_tokens=False), strict=True):
-            known[p] = tuple(e.ids)
-        for i, e in enumerate(self.alone.encode_batch(joined, add_special_tokens=False)):
-            part = rows[64 * i:64 * i + 64]
-            ends = np.cumsum([len(p) for p in part])
-            owner = np.searchsorted(ends, np.array(e.offsets).reshape(-1, 2)[:, 0], side="right")
-            bounds = np.searchsorted(owner, np.arange(len(part) + 1))
-            for p, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
-                known[p] = tuple(e.ids[a:b])
-        out = [[i for p in parts for i in known[p]] for parts in cut]
-        if len(known) > MAX_KNOWN:
+            return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        before, used = len(self.start), len(self.flat)
+        places = []
+        for text in texts:
+            parts = self._parts(text)
+            places.append(np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts)))
+        new = list(itertools.islice(reversed(self.known), len(self.known) - before))[::-1]
+        if new:
+            self._learn(new)
+        out = [self.flat[spread(self.start[place], self.size[place])] for place in places]
+        if len(self.known) > MAX_KNOWN:  # the new ones served this call only
             for p in new:
-                del known[p]
+                del self.known[p]
+            self.flat, self.start, self.size = self.flat[:used].copy(), self.start[:before].copy(), self.size[:before].copy()
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -234,14 +257,17 @@ def encode_decode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
             texts = batch.column("__text")
             for a, b in chunks(pc.binary_length(texts).to_pylist()):
                 some = texts.slice(a, b - a).to_pylist()
-                ids = codec.encode(some)
+                arrays = codec.encode(some)
+                ids = [x.tolist() for x in arrays]
                 parity: list = [None] * len(some)
                 if verify:
                     parity = [x == y for x, y in zip(ids, _library(shared.value).encode(some, num_threads=1), strict=True)]
+                ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(ids, pa.list_(pa.int32())), pa.array(codec.decode(ids)),
+                    [batch.column("doc_id").slice(a, b - a), listed, pa.array(codec.decode(ids), pa.string()),
                      pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids], pa.int64()), pa.array(parity, pa.bool_())],
+                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in arrays], pa.int64()), pa.array(parity, pa.bool_())],
                     names=["doc_id", "ids", "decoded", "n_tokens", "ids_crc32", "parity"])
 
     return frame.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string, n_tokens long, ids_crc32 long, parity boolean")

@@ -50,7 +50,7 @@ def test_any_text(text):
     file = open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
     codec = test_any_text.__dict__.setdefault("codec", Codec(file))
     library = test_any_text.__dict__.setdefault("library", sentencepiece.SentencePieceProcessor(model_proto=file))
-    assert codec.encode([text])[0] == library.encode(text)
+    assert codec.encode([text])[0].tolist() == library.encode(text)
 
 
 def handmade_unigram():
@@ -79,4 +79,4 @@ def test_unigram_scores(text):
     file = handmade_unigram()
     assert Model.parse(file).kind == UNIGRAM
     library = sentencepiece.SentencePieceProcessor(model_proto=file)
-    assert Codec(file).encode([text])[0] == library.encode(text)
+    assert Codec(file).encode([text])[0].tolist() == library.encode(text)
