@@ -15,7 +15,7 @@ def test_held_out_accuracy(table):
     found = L.predict(table.where(held), L.fit(table.where(~held))).select("lang", "lang_pred", "score", "rejected").collect()
     right = sum(r["lang"] == r["lang_pred"] for r in found)
     assert right >= 0.97 * len(found)
-    assert sum(r["rejected"] for r in found) <= 0.01 * len(found)
+    assert sum(r["rejected"] for r in found) <= 0.02 * len(found)
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
