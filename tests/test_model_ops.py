@@ -23,7 +23,7 @@ def test_header_normalisation_and_collision(spark):
 
 def test_required_columns(spark):
     df = spark.createDataFrame([(1,)], ["a"])
-    with pytest.raises(ValueError, match="Missing columns"):
+    with pytest.raises(ValueError, match="columns are absent"):
         C.require_columns(df, {"required_columns": ["a", "b"]})
     C.require_columns(df, {"required_columns": ["a", "b"]}, tolerate=["b"])
     C.require_columns(df, {})
