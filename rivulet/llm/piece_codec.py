@@ -36,7 +36,7 @@ PART = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Parts whose ids a worker remembers; further ones are encoded again where they occur.
-MAX_KNOWN = 1 << 19
+MAX_KNOWN = 1 << 20
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -169,6 +169,7 @@ class Codec:
         self.tokenizer = self.model.tokenizer()
         self.known = _Numbers()
         self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts: list[str] = []  # what each part decodes to
         self.alone = None
         if self.model.plain:  # parts are normalised here, so the library need not do it
             from tokenizers import Tokenizer
@@ -203,11 +204,21 @@ class Codec:
         start, size = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
         start[order], size[order] = len(self.flat) + np.cumsum(lengths) - lengths, lengths
         self.flat = np.concatenate([self.flat, *found, *alone])
+        ends = (start + size).tolist()
+        back = self.decode([self.flat[a:b].tolist() for a, b in zip(start.tolist(), ends, strict=True)])
+        if self.model.dummy_prefix:  # the decoder takes the first space, which only a text's own first one is
+            back = [" " + t if p[0] == MARKER else t for p, t in zip(parts, back, strict=True)]
+        self.texts += back
         self.start, self.size = np.r_[self.start, start], np.r_[self.size, size]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return self.round_trip(texts)[0]
+
+    def round_trip(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+        """Ids of each text, and the text that they decode to (no byte or piece reaches over a marker)."""
         if self.alone is None:
-            return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return [np.array(x, np.int32) for x in ids], self.decode(ids)
         before, used = len(self.start), len(self.flat)
         places = []
         for text in texts:
@@ -217,11 +228,15 @@ class Codec:
         if new:
             self._learn(new)
         out = [self.flat[spread(self.start[place], self.size[place])] for place in places]
+        back = ["".join(map(self.texts.__getitem__, place.tolist())) for place in places]
+        if self.model.dummy_prefix:
+            back = [t.removeprefix(" ") for t in back]
         if len(self.known) > MAX_KNOWN:  # the new ones served this call only
             for p in new:
                 del self.known[p]
             self.flat, self.start, self.size = self.flat[:used].copy(), self.start[:before].copy(), self.size[:before].copy()
-        return out
+            del self.texts[before:]
+        return out, back
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -257,7 +272,7 @@ def encode_decode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
             texts = batch.column("__text")
             for a, b in chunks(pc.binary_length(texts).to_pylist()):
                 some = texts.slice(a, b - a).to_pylist()
-                arrays = codec.encode(some)
+                arrays, decoded = codec.round_trip(some)
                 ids = [x.tolist() for x in arrays]
                 parity: list = [None] * len(some)
                 if verify:
@@ -265,7 +280,7 @@ def encode_decode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
                 ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
                 listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), listed, pa.array(codec.decode(ids), pa.string()),
+                    [batch.column("doc_id").slice(a, b - a), listed, pa.array(decoded, pa.string()),
                      pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in arrays], pa.int64()), pa.array(parity, pa.bool_())],
                     names=["doc_id", "ids", "decoded", "n_tokens", "ids_crc32", "parity"])
