@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (language, packing, piece_codec, quality, sharding, simhash, spotsigs, substring_dedup, suffix_dedup,
+from . import (language, oracles, packing, piece_codec, quality, sharding, simhash, spotsigs, substring_dedup, suffix_dedup,
                token_counts)
 from .common import documents, model_file, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_suffix_dedup": oracles.SUFFIX_DEDUP}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
