@@ -14,16 +14,20 @@ import numpy as np
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` symbols that follow, at least (prefix doubling)."""
-    rank, size = text.astype(np.int64), 1
+    rank, size = text.astype(np.int32), 1  # of up to 2 ** 31 symbols; large temporaries go as soon as they are used
     while True:
         if size >= depth:
             return np.argsort(rank, kind="stable")
-        following = np.zeros(len(rank), np.int64)
-        following[:-size] = rank[size:] + 1
-        keys = rank * (int(rank.max(initial=0)) + 2) + following
+        keys = rank * np.int64(int(rank.max(initial=0)) + 2)
+        keys[:-size] += rank[size:]
+        keys[:-size] += 1
         order = np.argsort(keys, kind="stable")
-        rank = np.empty(len(keys), np.int64)
-        rank[order] = np.cumsum(np.r_[False, keys[order][1:] != keys[order][:-1]])
+        keys = keys[order]
+        new = np.zeros(len(keys), np.int32)
+        new[1:] = keys[1:] != keys[:-1]
+        del keys
+        rank[order] = np.cumsum(new, dtype=np.int32)
+        del order, new
         size *= 2
 
 

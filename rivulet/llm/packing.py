@@ -41,7 +41,7 @@ MAX_CLASS = 64
 #: Bytes of text whose pieces one worker packs.
 WORKER_BYTES = 4 << 20
 #: Words whose ids a worker remembers; once so many are known, further ones are encoded again where they occur.
-MAX_KNOWN = 3 << 18
+MAX_KNOWN = 3 << 17
 MARKS = re.compile(r"(?<=[A-Za-z0-9])([.,])(?=[ \n]|$)")
 
 

@@ -34,7 +34,7 @@ from .windows import BLOCK, Unit, gram_hashes, mixed, range_hashes, segments, sp
 #: Segments of one anchor that may meet in one shard.
 HOT = 100_000
 #: Bytes of text for each shard of segments.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Bytes of text cut at once in a task: texts together in one block, whose arrays stay in a core's cache.
 CUT_BYTES = BLOCK
 

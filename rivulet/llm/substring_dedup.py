@@ -9,7 +9,6 @@ entry with a weight; a segment of weight two needs no search.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,11 +35,12 @@ def search_shard(group: pd.DataFrame, unit: Unit) -> np.ndarray:
     entry = np.array([number.setdefault(c, len(number)) for c in group["content"]], np.int64)
     weight = np.bincount(entry, weights=group["weight"].to_numpy()).astype(np.int64)
     symbols: dict[bytes, int] = {}
-    cut = [[symbols.setdefault(w, len(symbols) + 1) for w in content.split()] for content in number]
-    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+    sizes = np.empty(len(number), np.int64)  # words of each distinct segment
+    sizes[entry] = group["count"].to_numpy() + unit.window - 1
     begins = np.cumsum(sizes + 1) - sizes - 1
-    text = np.zeros(int(sizes.sum()) + len(cut), np.int64)
-    text[spread(begins, sizes)] = np.fromiter(itertools.chain.from_iterable(cut), np.int64, int(sizes.sum()))
+    text = np.zeros(int(sizes.sum()) + len(number), np.int32)
+    words = (symbols.setdefault(w, len(symbols) + 1) for content in number for w in content.split())
+    text[spread(begins, sizes)] = np.fromiter(words, np.int32, int(sizes.sum()))
     windows = sizes - unit.window + 1
     found = np.repeat(weight > 1, windows)
     todo = np.flatnonzero(~found)
