@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from odd_docs import ODD, make_docs
 from pyspark.sql import functions as F
@@ -46,3 +48,14 @@ def test_the_classifier_does_not_depend_on_neighbours(table):
     classify = L.classifier(L.fit(table))
     texts = [r["text"] for r in table.limit(40).collect()]
     assert [classify(t) for t in texts] == [L.classifier(L.fit(table))(t) for t in texts]
+
+
+def test_the_margin_does_not_shrink_with_length(table):
+    classify = L.classifier(L.fit(table))
+    for lang in ("de", "en", "es", "fr"):
+        words = " ".join(r["text"] for r in table.where(F.col("lang") == lang).orderBy("doc_id").limit(400).collect()).split()
+        drawn = random.Random(5).choices(words, k=600_000)  # several MB of one language that do not repeat
+        for n in (20_000, len(drawn)):
+            found, margin = classify(" ".join(drawn[:n]))
+            assert found == lang and margin > 10 * L.MIN_MARGIN
+        assert len(" ".join(drawn)) > 3_000_000
