@@ -9,9 +9,11 @@ dictionary, and the sizes are summed: in one piece, a text soon is its own
 dictionary and the margin would shrink with its length.
 
 The dictionaries are fitted on a bounded sample: about ``SAMPLE_ROWS`` labelled
-rows for each language, chosen by a hash of the id among texts of at most
-``SAMPLE_TEXT_BYTES``, and ``DICTIONARY_BYTES`` of their text.  Prediction is
-row-local over whole texts; what is sent to the executors are the dictionaries.
+rows for each language, chosen by a hash of id and text among texts of every
+length, and ``DICTIONARY_BYTES`` of their text.  A text gives its first
+``SAMPLE_TEXT_BYTES``, or more where a language has too few rows to fill its
+dictionary otherwise.  Prediction is row-local over whole texts; what is sent
+to the executors are the dictionaries.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 DICTIONARY_BYTES = 256 << 10
 SAMPLE_ROWS = 300
+#: Bytes that one text gives to a dictionary which has texts enough.
 SAMPLE_TEXT_BYTES = 8 << 10
 LEVEL = 6
 #: Bytes of a text that are compressed together; all of its blocks count.
@@ -42,21 +45,34 @@ def normalised(text: str) -> bytes:
 
 
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-        dictionary_bytes: int = DICTIONARY_BYTES, sample_rows: int = SAMPLE_ROWS) -> dict[str, bytes]:
-    """Raw dictionary content of each language, from rows whose text and language are not null."""
+        dictionary_bytes: int = DICTIONARY_BYTES, sample_rows: int = SAMPLE_ROWS,
+        sample_text_bytes: int = SAMPLE_TEXT_BYTES) -> dict[str, bytes]:
+    """Raw dictionary content of each language, from rows whose text and language are not null.
+
+    Every language that labels a text is learned, however long its texts are.
+    Of a chosen text the first ``sample_text_bytes`` are taken; of each text of
+    a language with fewer than ``dictionary_bytes / sample_text_bytes`` rows,
+    an equal share of the dictionary.
+    """
     rows = labelled.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_TEXT_BYTES))
-    shares = {r["lang"]: min(1.0, sample_rows / r["n"])
-              for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each language
-    if not shares:
+        F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each language
+    if not counts:
         return {}
+    shares = {name: min(1.0, sample_rows / n) for name, n in counts.items()}
+    takes = {name: max(sample_text_bytes, dictionary_bytes // min(n, sample_rows)) for name, n in counts.items()}
+
+    def of_lang(values: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])[F.col("lang")]
+
     key = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
-    bound = F.create_map(*[F.lit(x) for name, share in sorted(shares.items()) for x in (name, int(share * (1 << 30)))])
-    sample = rows.withColumn("key", key).where(F.col("key") < bound[F.col("lang")])
-    found: dict[str, bytes] = {name: b"" for name in sorted(shares)}
+    bound = of_lang({name: int(share * (1 << 30)) for name, share in shares.items()})
+    sample = rows.withColumn("key", key).where(F.col("key") < bound).select(
+        "lang", "key", F.substring("text", F.lit(1), of_lang(takes)).alias("text"))
+    found: dict[str, bytes] = {name: b"" for name in sorted(counts)}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["key"], r["text"])):
         if len(found[r["lang"]]) < dictionary_bytes:
-            found[r["lang"]] += normalised(r["text"]) + b" "
+            found[r["lang"]] += normalised(r["text"])[:takes[r["lang"]]] + b" "
     return {name: content for name, content in found.items() if content}
 
 

@@ -59,3 +59,20 @@ def test_the_margin_does_not_shrink_with_length(table):
             found, margin = classify(" ".join(drawn[:n]))
             assert found == lang and margin > 10 * L.MIN_MARGIN
         assert len(" ".join(drawn)) > 3_000_000
+
+
+def test_languages_whose_texts_are_all_long_are_learned(spark, table):
+    books = {}
+    for lang in ("de", "en", "es", "fr"):
+        texts = [r["text"] for r in table.where(F.col("lang") == lang).orderBy("doc_id").limit(200).collect()]
+        books[lang] = [" ".join(texts[i::2]) for i in range(2)]
+        assert all(len(b.encode()) > L.SAMPLE_TEXT_BYTES for b in books[lang])
+    texts = [books["de"][0], *books["en"], books["fr"][0], "short words of english"]
+    learned = L.fit(make_docs(spark, texts, langs=["de", "en", "en", "fr", "en"]))
+    assert sorted(learned) == ["de", "en", "fr"]
+    assert len(learned["de"]) > L.SAMPLE_TEXT_BYTES  # the dictionary is filled although there is one text
+    assert all(len(d) <= L.DICTIONARY_BYTES + L.SAMPLE_TEXT_BYTES + 1 for d in learned.values())
+    found = L.predict(make_docs(spark, [books["de"][1], books["fr"][1]]), learned).collect()
+    assert [(r["lang_pred"], r["rejected"]) for r in found] == [("de", False), ("fr", False)]
+    less = L.fit(make_docs(spark, texts, langs=["de", "en", "en", "fr", "en"]), dictionary_bytes=3000, sample_text_bytes=100)
+    assert len(less["de"]) == 3001 and len(less["en"]) <= 3003
