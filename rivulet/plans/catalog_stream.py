@@ -22,7 +22,7 @@ from .registry import query
 def _events(spark, d):
     """The events as three files, so that state crosses micro-batches."""
     path = ST.split_table(load(spark, d, "events"), "event_id", 3, "events")
-    return ST.file_stream(spark, path, "*.parquet")
+    return ST.file_stream(spark, path, "*.parquet", ST.files_per_batch(spark, path, 3))
 
 
 @query("stream_ingest", "T1", "SELECT event_id, user_id, event_type, value FROM events")

@@ -61,16 +61,29 @@ def per_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def split_table(df: DataFrame, order: str, parts: int, name: str) -> str:
-    """Write a table as ``parts`` files one after the other, in ranges of ``order``: a source of several micro-batches."""
+    """Write a table in ``parts`` ranges of ``order``, one after the other: a source of several micro-batches.
+
+    Each range keeps Spark's own partitions; null keys are in the first one; an
+    empty table gives an empty source.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     low, high = df.agg(F.min(order), F.max(order)).first()
+    if low is None:  # no key at all
+        df.write.parquet(path)
+        return path
     width = (high - low) // parts + 1
+    part = F.coalesce(F.least(F.floor((F.col(order) - low) / width), F.lit(parts - 1)), F.lit(0))
     for i in range(parts):
-        df.where(F.floor((F.col(order) - low) / width) == i).coalesce(1).write.mode("append").parquet(path)
+        df.where(part == i).write.mode("append").parquet(path)
     return path
 
 
+def files_per_batch(spark: SparkSession, path: str, parts: int) -> int:
+    """Files of each micro-batch with which a source is read in at most ``parts`` of them."""
+    return max(1, -(-len(spark.read.parquet(path).inputFiles()) // parts))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

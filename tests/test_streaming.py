@@ -90,3 +90,22 @@ def test_nan_counts_as_null(spark):
     batch = spark.createDataFrame([(1, float("nan")), (2, 1.0), (2, 2.0)], "k int, x double")
     ST.audit_batches(batch, "k", scratch_path(spark, "t-nan-state"), counters)(batch, 0)
     assert tuple(spark.read.parquet(counters).select("total_rows", "null_rows", "duplicates_dropped").first()) == (3, 1, 1)
+
+
+def test_split_table_keeps_null_keys_and_partitions(spark):
+    keys = [None, None, *range(0, 300, 7)]
+    table = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, v int").repartition(4)
+    path = ST.split_table(table, "k", 3, "t-split")
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == list(range(len(keys)))
+    n = ST.files_per_batch(spark, path, 3)
+    assert n > 1  # no range is written by one task
+    sink = scratch_path(spark, "t-split-out")
+    ST.run_available_now(ST.file_stream(spark, path, "*.parquet", n), sink, foreach_batch=ST.per_batch_sink(sink))
+    got = spark.read.parquet(sink)
+    assert got.count() == len(keys) and got.select("batch_id").distinct().count() == 3
+    wide = spark.createDataFrame([(0, 0), (2**62, 1)], "k long, v int")
+    assert spark.read.parquet(ST.split_table(wide, "k", 3, "t-split-w")).count() == 2
+    for rows in (table.limit(0), table.where("k IS NULL")):
+        path = ST.split_table(rows, "k", 3, "t-split-0")
+        assert ST.file_stream(spark, path, "*.parquet").columns == ["k", "v"]
+        assert spark.read.parquet(path).count() == rows.count()
