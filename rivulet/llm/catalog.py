@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (language, oracles, packing, piece_codec, quality, sharding, simhash, spotsigs, substring_dedup, suffix_dedup,
-               token_counts)
-from .common import documents, model_file, vocabulary
+from . import (hard_negatives, language, merkle, oracles, packing, piece_codec, quality, sharding, simhash, spotsigs, substring_dedup, suffix_dedup,
+               token_counts, top_products)
+from .common import documents, model_file, small_batches, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_suffix_dedup": oracles.SUFFIX_DEDUP}
+SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
+                       "op11_top_products": oracles.TOP_PRODUCTS, "op12_hard_negatives": oracles.HARD_NEGATIVES}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -90,3 +92,39 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness to it and to the next document."""
     return spotsigs.with_next(documents(spark, sf_dir))
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+@query
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others, by norm buckets."""
+    return top_products.top_products(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, by shared lists of its cluster."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0, label)
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of the documents by language, a proof of every leaf, and the root that a third of them, tampered with, give."""
+    docs = documents(spark, sf_dir)
+    changed = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = docs.select("doc_id", F.col("lang").alias("grp"), merkle.digest([F.col(f) for f in merkle.FIELDS]).alias("leaf"),
+                         F.when(tampered, merkle.digest([changed if f == "text" else F.col(f) for f in merkle.FIELDS])).alias("tampered"))
+    found = merkle.manifest(leaves, ["doc_id"])
+    if found.root is None:
+        return leaves.select("doc_id", "leaf", *[F.lit("").alias(c) for c in ("subroot", "root", "proof_sha256", "folded_root")],
+                             F.lit(False).alias("verified")).limit(0)
+    proved = merkle.descend(found).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return proved.select("doc_id", "leaf", "subroot", F.lit(found.root).alias("root"),
+                         merkle.siblings_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == found.root).alias("verified"))

@@ -43,3 +43,32 @@ SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_rem
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(t, ''))) AS kept_sha256
 FROM b LEFT JOIN kept ON kept.r = b.r
 """
+
+
+def _whole(scale: int) -> str:
+    """Vectors of whole doubles; rows with a null vector or an odd component are left out."""
+    return f"""SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+TOP_PRODUCTS = f"""
+WITH e AS ({_whole(64)}),
+     s AS (SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+           FROM e q JOIN e p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
+"""
+
+HARD_NEGATIVES = f"""
+WITH w AS ({_whole(256)}),
+     e AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS y FROM w WHERE label IS NOT NULL),
+     s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.y = r.y AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+           FROM e a JOIN e r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+     p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+     n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS k
+           FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+                        AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3
+"""
