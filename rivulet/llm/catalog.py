@@ -14,7 +14,7 @@ from .common import documents, model_file, small_batches, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
-                       "op11_top_products": oracles.TOP_PRODUCTS, "op12_hard_negatives": oracles.HARD_NEGATIVES}
+                       "op11_top_products": oracles.TOP_PRODUCTS, "op12_hard_negatives": oracles.HARD_NEGATIVES, "op13_merkle": oracles.MERKLE}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -72,3 +72,56 @@ WITH w AS ({_whole(256)}),
                         AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score)
 SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3
 """
+
+
+def _merkle(levels: int = 7, top_levels: int = 4) -> str:
+    """Every tree level by level (documents of a language up to 8 ** levels), then each leaf folded through its runs."""
+    def field(name: str, value: str | None = None) -> str:
+        value = value or f"CAST({name} AS VARCHAR)"
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE CAST(strlen({value}) AS VARCHAR) || ':' || {value} END"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rest = " || ".join(field(f) for f in ("doc_id", "source", "lang", "n_chars"))
+    ids = "CAST(doc_id AS VARCHAR)"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    crc = (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length({ids}) + 1), "
+           f"lambda i: CAST(ascii(substr({ids}, i, 1)) AS BIGINT))), lambda c, b: {bits}), 4294967295)")
+    ctes = [f"""d AS (SELECT row_number() OVER () AS r, doc_id, lang AS g, sha256({rest} || {field('text')}) AS leaf,
+                  CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN sha256({rest} || {field('text', lower)}) END AS changed FROM documents)""",
+            """l0 AS (SELECT r, doc_id, g, leaf AS x, coalesce(changed, leaf) AS start,
+                  row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS total FROM d)"""]
+
+    def tree(name: str, height: int) -> str:
+        tops = [f"SELECT g, x, total FROM {name}0 WHERE total = 1"]
+        for j in range(height):
+            ctes.append(f"{name}r{j} AS (SELECT g, pos // 8 AS run, any_value(total) AS total, list(x ORDER BY pos) AS ch FROM {name}{j} "
+                        f"WHERE total > {8 ** j} GROUP BY g, pos // 8)")
+            ctes.append(f"{name}{j + 1} AS (SELECT g, run AS pos, total, sha256(array_to_string(ch, '')) AS x FROM {name}r{j})")
+            tops.append(f"SELECT g, x, total FROM {name}{j + 1} WHERE total > {8 ** j} AND total <= {8 ** (j + 1)}")
+        return " UNION ALL ".join(tops)
+
+    def fold(start: str, name: str, runs: str, height: int) -> str:
+        """Folds ``start`` (r, g, pos, total, cur, proof) through the runs of every level."""
+        before = start
+        for j in range(height):
+            digit = f"((f.pos // {8 ** j}) % 8)"
+            left, right = f"array_to_string(u.ch[1:{digit}], '')", f"array_to_string(u.ch[{digit} + 2:], '')"
+            ctes.append(f"""{name}{j} AS (SELECT f.r, f.g, f.pos, f.total, CASE WHEN u.ch IS NULL THEN f.cur ELSE sha256({left} || f.cur || {right}) END AS cur,
+                  CASE WHEN u.ch IS NULL THEN f.proof ELSE f.proof || {left} || {right} END AS proof
+                  FROM {before} f LEFT JOIN {runs}{j} u ON u.g IS NOT DISTINCT FROM f.g AND u.run = f.pos // {8 ** (j + 1)})""")
+            before = f"{name}{j}"
+        return before
+
+    ctes.append(f"sub AS ({tree('l', levels)})")
+    ctes.append("t0 AS (SELECT 0 AS g, g AS lang, x, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos, count(*) OVER () AS total FROM sub)")
+    ctes.append(f"top AS ({tree('t', top_levels)})")
+    ctes.append("f AS (SELECT r, g, pos, total, start AS cur, '' AS proof FROM l0)")
+    within = fold("f", "fl", "lr", levels)
+    ctes.append(f"""h AS (SELECT f.r, 0 AS g, t0.pos, t0.total, f.cur, f.proof FROM {within} f JOIN t0 ON t0.lang IS NOT DISTINCT FROM f.g)""")
+    done = fold("h", "ft", "tr", top_levels)
+    return f"""WITH {', '.join(ctes)}
+SELECT l0.doc_id, l0.x AS leaf, sub.x AS subroot, top.x AS root, sha256(z.proof) AS proof_sha256, z.cur AS folded_root, z.cur = top.x AS verified
+FROM l0 JOIN {done} z ON z.r = l0.r JOIN sub ON sub.g IS NOT DISTINCT FROM l0.g, top"""
+
+
+MERKLE = _merkle()
