@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,10 @@ from pyspark.sql import types as T
 from ..functions.constants import N_COMPONENTS, RBF_GAMMA, SEED
 from ..functions.exprs import order_hash
 
+#: Rows that are multiplied with the kernel's basis at once.
+KERNEL_ROWS = 512
+
+
 def moment_aggs(features: Sequence[str]) -> list:
     out = []
     for i, f in enumerate(features):
@@ -168,20 +173,27 @@ def nystroem_map(df: DataFrame, features: Sequence[str], basis: np.ndarray, gamm
     """``phi(x) = K(x, B) N^T`` on Arrow batches (dense matmul needs NumPy).
 
     B and N are bounded by ``n_components`` (not by the data) and shipped once
-    per executor as a broadcast.
+    per executor as a broadcast.  Rows are mapped and handed on in blocks of
+    ``KERNEL_ROWS``, so a task holds one block of components however many rows
+    a batch has.
     """
     spark = df.sparkSession
-    norm = nystroem_normalisation(basis, gamma)
-    bc = spark.sparkContext.broadcast((basis, norm, float(gamma)))
+    bc = spark.sparkContext.broadcast((basis, nystroem_normalisation(basis, gamma), float(gamma)))
     feats = list(features)
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+    rest = df.select(*[c for c in df.columns if c != out_col])
+    names = [*rest.columns, out_col]
+    schema = T.StructType(rest.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
 
-    def _map(batches):
+    def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, n, g = bc.value
-        for pdf in batches:
-            x = pdf[feats].to_numpy(dtype=np.float64)
-            phi = rbf(x, b, g) @ n.T if len(pdf) else np.zeros((0, len(b)))
-            pdf[out_col] = list(phi)
-            yield pdf
-
-    return df.mapInPandas(_map, schema)
+        for batch in batches:
+            for i in range(0, batch.num_rows, KERNEL_ROWS):
+                part = batch.slice(i, KERNEL_ROWS)
+                x = np.column_stack([part.column(f).cast(pa.float64()).fill_null(np.nan).to_numpy() for f in feats])
+                phi = rbf(x, b, g) @ n.T
+                ends = np.arange(len(phi) + 1, dtype=np.int32) * phi.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(phi.reshape(-1)))],
+                    names=names)
+
+    return rest.mapInArrow(_map, schema)

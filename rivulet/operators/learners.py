@@ -5,11 +5,8 @@ Two execution modes:
 * **batch** (default): Spark ML solvers (L-BFGS / normal equations) on the
   whole cleaned frame -- the same objective the reference's SGD learners
   minimise (log loss or squared loss + L2 with ``alpha``), solved exactly.
-* **incremental**: per-epoch passes, each partition runs plain SGD /
-  Passive-Aggressive from the current broadcast weights inside
-  ``mapInPandas`` and the partition results are averaged (parameter mixing,
-  Zinkevich et al. 2010).  Only the weight vector -- bounded by the feature
-  count, not by the data -- ever reaches the driver.
+* **incremental** (:mod:`incremental`): passes that mix the weights of the
+  tasks; every epoch is a stored version, so training can be resumed.
 
 A model is a dict ``{"features": [...], "coef": [...], "intercept": b}``
 (multi-class: one per class), convertible to a parameter table.
@@ -19,14 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions.exprs import linear, sigmoid, unit_hash
 
 from ..functions.constants import ALPHA, N_HASH_FEATURES, N_MEMBERS, PA_C, SEED
+from ..functions.exprs import linear, sigmoid, unit_hash
+from ..session import scratch_path
+from . import incremental as IN
 
 
 # --------------------------------------------------------------- exact pieces
@@ -169,120 +165,44 @@ def model_table(spark, models: dict | Sequence[dict], model_id: str) -> DataFram
 # ------------------------------------------------------ incremental (mixing)
 
 
-def _sgd_partition(loss: str, lr: float, alpha: float, feats: list[str], label: str, wcol: str | None, bc,
-                   batch: int):
-    def run(batches):
-        import pandas as pd
-        w0, b0 = bc.value
-        w, b, n = w0.copy(), float(b0), 0
-        for pdf in batches:
-            x = pdf[feats].to_numpy(dtype=np.float64)
-            y = pdf[label].to_numpy(dtype=np.float64)
-            sw = pdf[wcol].to_numpy(dtype=np.float64) if wcol else np.ones(len(pdf))
-            for s in range(0, len(pdf), batch):
-                xs, ys, ws = x[s:s + batch], y[s:s + batch], sw[s:s + batch]
-                z = xs @ w + b
-                r = (1.0 / (1.0 + np.exp(-z)) - ys) if loss == "log" else (z - ys)
-                g = r * ws
-                w *= (1.0 - lr * alpha)
-                w -= lr * (xs.T @ g) / len(xs)
-                b -= lr * g.mean()
-            n += len(pdf)
-        if n:
-            yield pd.DataFrame({"w": [list(w * n)], "b": [b * n], "n": [n]})
-    return run
-
-
 def fit_sgd(df: DataFrame, features: Sequence[str], label: str, loss: str = "log", epochs: int = 5,
-            lr: float = 0.01, alpha: float = ALPHA, weight_col: str | None = None,
-            init: dict | None = None, batch: int = 64) -> dict:
-    """Incremental SGD with parameter mixing: one distributed pass per epoch.
-
-    Each partition streams its rows through constant-rate SGD from the
-    broadcast weights, ``batch`` rows per vectorised step (1 gives the
-    reference's per-sample updates); the driver averages the partition weights by row count.
-    The input is cached once (the reference re-parses per epoch).
+            lr: float = IN.LEARNING_RATE, alpha: float = ALPHA, weight_col: str | None = None,
+            batch: int | None = 64, path: str | None = None) -> dict:
+    """Incremental SGD with parameter mixing: one distributed pass per epoch (see :mod:`incremental`).
+
+    ``batch`` rows make a vectorised step (1 gives the reference's per-sample
+    updates, None one exact gradient step per epoch).  With a ``path`` the
+    training can be stopped and gone on with.
     """
-    spark = df.sparkSession
-    feats = list(features)
-    cols = [*feats, label] + ([weight_col] if weight_col else [])
-    base = df.select(*cols).cache()
-    w = np.array(init["coef"], dtype=np.float64) if init else np.zeros(len(feats))
-    b = float(init["intercept"]) if init else 0.0
-    schema = T.StructType([T.StructField("w", T.ArrayType(T.DoubleType())),
-                           T.StructField("b", T.DoubleType()), T.StructField("n", T.LongType())])
-    try:
-        for _ in range(epochs):
-            bc = spark.sparkContext.broadcast((w, b))
-            part = base.mapInPandas(_sgd_partition(loss, lr, alpha, feats, label, weight_col, bc, batch), schema)
-            tot = part.agg(F.sum("n").alias("n"), F.sum("b").alias("b"),
-                           *[F.sum(F.col("w")[j]).alias(f"w{j}") for j in range(len(feats))]).collect()[0]
-            bc.unpersist()
-            if not tot["n"]:
-                break
-            w = np.array([tot[f"w{j}"] for j in range(len(feats))]) / tot["n"]
-            b = tot["b"] / tot["n"]
-        return {"features": feats, "coef": [float(v) for v in w], "intercept": float(b)}
-    finally:
-        base.unpersist()
+    learner = IN.Learner(loss, tuple(features), lr=lr, alpha=alpha, batch=batch)
+    rows = IN.dense_rows(df, features, [F.col(label)], [F.col(weight_col)] if weight_col else None)
+    return IN.train(rows, learner, path or scratch_path(df.sparkSession, "sgd"), epochs).models()["0"]
+
+
+def hinge_rows(bow: DataFrame, label: str) -> DataFrame:
+    """``bucket, value, y``: the rows of a hinge learner from a bag of words and a 0/1 label; unlabelled rows go."""
+    return bow.where(F.col(label).isNotNull() & F.col("bow").isNotNull()).select(
+        F.col("bow.bucket").cast("array<int>").alias("bucket"), F.col("bow.value").alias("value"),
+        (F.col(label) * 2 - 1).cast("double").alias("y"))
 
 
 def fit_passive_aggressive(bow: DataFrame, labels: DataFrame | None, key: str, label: str, epochs: int = 5,
-                           c: float = PA_C, n_features: int = N_HASH_FEATURES) -> DataFrame:
+                           c: float = PA_C, n_features: int = N_HASH_FEATURES, batch: int | None = 1,
+                           path: str | None = None) -> DataFrame:
     """PA-I (hinge) over sparse hashed features with parameter mixing per epoch.
 
     ``bow`` has a row per document, with its bag of words in ``bow`` (an array,
     as ``with_bow`` attaches it) and its 0/1 label; or it is the long ``(key,
-    bucket, value)`` form with the labels beside it, regrouped here.  Each partition runs PA in order
-    over its documents against a dense NumPy weight vector (the update is
-    inherently sequential; each step is a vectorised gather/scatter), and
-    emits its non-zero weights times its row count; the mixed weights stay a
-    distributed ``(bucket, weight)`` table and only the model (bounded by
-    ``n_features``) reaches the driver.  Returns ``(bucket, weight)`` rows plus
-    ``bucket = -1`` for the intercept.
+    bucket, value)`` form with the labels beside it, regrouped here.  Each
+    task runs PA in order over its documents against a dense weight vector
+    (``batch=None``: the mean of the steps from the epoch's first weights);
+    the vectors are summed by a tree.  Returns the ``(bucket, weight)`` rows
+    that are not zero, plus ``bucket = -1`` for the intercept.
     """
-    spark = bow.sparkSession
     if "bucket" in bow.columns:  # the long form, one row per bucket
         bow = bow.groupBy(key).agg(F.collect_list(F.struct("bucket", "value")).alias("bow")).join(labels.select(key, label), key)
-    docs = bow.select(F.col("bow.bucket").alias("_b"), F.col("bow.value").alias("_v"),
-                      (F.col(label) * 2 - 1).cast("double").alias("_y")).persist()
-    idx, val, intercept = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-    schema = "bucket long, w double, n long"
-    n_total = docs.count()
-    try:
-        for _ in range(epochs):
-            bc = spark.sparkContext.broadcast((idx, val, intercept))
-
-            def run(batches, bc=bc, c=c):
-                import pandas as pd
-                i0, v0, b = bc.value
-                w = np.zeros(n_features)
-                w[i0] = v0
-                n = 0
-                for pdf in batches:
-                    for bs, vs, y in zip(pdf["_b"], pdf["_v"], pdf["_y"], strict=True):
-                        bs = np.asarray(bs, dtype=np.int64)
-                        vs = np.asarray(vs, dtype=np.float64)
-                        loss = max(0.0, 1.0 - y * (b + float(w[bs] @ vs)))
-                        sq = float(vs @ vs)
-                        if loss > 0 and sq > 0:
-                            tau = min(c, loss / sq)
-                            np.add.at(w, bs, tau * y * vs)
-                            b += tau * y
-                    n += len(pdf)
-                if n:
-                    nz = np.flatnonzero(w)
-                    yield pd.DataFrame({"bucket": np.append(nz, -1).astype(np.int64),
-                                        "w": np.append(w[nz], b) * n, "n": np.full(len(nz) + 1, n)})
-
-            part = docs.select("_b", "_v", "_y").mapInPandas(run, schema)
-            mixed = part.groupBy("bucket").agg((F.sum("w") / F.lit(float(n_total))).alias("w")).collect()
-            bc.unpersist()
-            pairs = sorted((int(r["bucket"]), float(r["w"])) for r in mixed)
-            intercept = next((w for k, w in pairs if k == -1), 0.0)
-            idx = np.array([k for k, _ in pairs if k >= 0], dtype=np.int64)
-            val = np.array([w for k, w in pairs if k >= 0], dtype=np.float64)
-        rows = [(int(k), float(v)) for k, v in zip(idx, val, strict=True)] + [(-1, float(intercept))]
-        return spark.createDataFrame(rows, "bucket long, weight double")
-    finally:
-        docs.unpersist()
+    learner = IN.Learner("hinge", c=c, n_features=n_features, batch=batch)
+    done = IN.train(hinge_rows(bow, label), learner, path or scratch_path(bow.sparkSession, "hinge"), epochs)
+    last = done.table().where(F.col("version") == (done.latest() or 0))
+    bucket = F.when(F.col("feature") == "_intercept", F.lit(-1)).otherwise(F.col("feature").try_cast("long")).cast("long")
+    return last.select(bucket.alias("bucket"), F.col("coef").alias("weight")).where((F.col("weight") != 0) | (F.col("bucket") == -1))

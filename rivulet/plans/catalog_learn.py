@@ -9,8 +9,10 @@ optimum).  The closed-form ridge fit has an exact oracle.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..functions.constants import N_COMPONENTS, RBF_GAMMA
 from ..operators import features as FE
 from ..operators import labels as L
 from ..operators import learners as LR
@@ -18,7 +20,7 @@ from ..operators import text as TX
 from ..sources import models as MS
 from ..session import scratch_path
 from .catalog_model import train_rows
-from ..functions.exprs import r6
+from ..functions.exprs import r6, unit_hash_sql
 from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, lit_sql, load, r6_sql
 from .registry import query
 
@@ -71,10 +73,9 @@ def q_fit_ovr(spark, d):
 
 @query("fit_passive_aggressive", "M9,M10")
 def q_fit_passive_aggressive(spark, d):
-    docs = load(spark, d, "documents")
-    lab = load(spark, d, "labels").select("doc_id", "quality")
-    train = docs.join(lab, "doc_id").where(~L.holdout_flag("doc_id", TEST_RATIO, SEED))
-    bow = TX.with_bow(train.join(lab, "doc_id"), "text").select("doc_id", "bow", "quality")
+    docs = load(spark, d, "documents").select("doc_id", "text").where(~L.holdout_flag("doc_id", TEST_RATIO, SEED))
+    train = docs.join(load(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+    bow = TX.with_bow(train, "text").select("doc_id", "bow", "quality")
     return LR.fit_passive_aggressive(bow, None, "doc_id", "quality", epochs=5, c=1.0)
 
 
@@ -86,6 +87,40 @@ def q_nystroem_map(spark, d):
     return FE.nystroem_map(li, BINARY_FEATURES, basis, gamma=0.1).select("l_orderkey", "l_linenumber", "phi")
 
 
+KERNEL_CHUNK, KERNEL_BASIS = 5_000, N_COMPONENTS
+
+
+def _gram_sql() -> str:
+    key = f"md5('{SEED}|' || CAST(o_orderkey AS VARCHAR))"
+    return f"""
+WITH x AS (SELECT o_orderkey, o_totalprice / CAST(100000 AS DOUBLE) AS x1, o_custkey / CAST(1000 AS DOUBLE) AS x2 FROM orders),
+     c AS (SELECT * FROM x ORDER BY o_orderkey LIMIT {KERNEL_CHUNK}),
+     b AS (SELECT x1 AS b1, x2 AS b2 FROM c WHERE NOT ({unit_hash_sql('o_orderkey', SEED)} < CAST({TEST_RATIO} AS DOUBLE))
+           ORDER BY {key}, o_orderkey LIMIT {KERNEL_BASIS})
+SELECT o_orderkey, round(sum(exp({lit_sql(-RBF_GAMMA)} * ((x1 - b1) * (x1 - b1) + (x2 - b2) * (x2 - b2)))), 2) AS gram
+FROM x, b GROUP BY o_orderkey
+"""
+
+
+@query("nystroem_gram", "M2", _gram_sql)
+def q_nystroem_gram(spark, d):
+    """The map at its full width, from a basis of the first chunk's train rows: the products of
+    each row's components with those of the basis rows are the kernel itself (their sum here)."""
+    x = load(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / F.lit(100000.0)).alias("x1"),
+                                        (F.col("o_custkey") / F.lit(1000.0)).alias("x2"))
+    chunk = x.orderBy("o_orderkey").limit(KERNEL_CHUNK)
+    basis = FE.select_basis(chunk.where(~L.holdout_flag("o_orderkey", TEST_RATIO, SEED)), "o_orderkey", ["x1", "x2"], KERNEL_BASIS, SEED)
+    total = (FE.rbf(basis, basis, RBF_GAMMA) @ FE.nystroem_normalisation(basis, RBF_GAMMA).T).sum(axis=0)
+    shared = spark.sparkContext.broadcast(total)
+
+    @F.arrow_udf("double")
+    def with_basis(phi: pa.Array) -> pa.Array:
+        return pa.array(phi.flatten().to_numpy().reshape(len(phi), -1) @ shared.value)
+
+    mapped = FE.nystroem_map(x, ["x1", "x2"], basis, RBF_GAMMA)
+    return mapped.select("o_orderkey", F.round(with_basis("phi"), 2).alias("gram"))
+
+
 @query("model_params", "S10")
 def q_model_params(spark, d):
     tr, mom = scaled_train(spark, d)

@@ -76,6 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/rivulet-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever store its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
     folder and return the table read back.
