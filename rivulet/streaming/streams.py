@@ -1,5 +1,6 @@
 """Structured Streaming forms of ingestion, dedup, audit, histograms, moments,
-quarantine, scoring and online fitting (T1-T8).
+quarantine and scoring (T1-T5, T7, T8); online fitting (T6) is
+``operators.incremental.online_batches``.
 
 Streams read a file source (``maxFilesPerTrigger`` = micro-batch size,
 ``pathGlobFilter`` to pick files), run with ``trigger(availableNow=True)``
@@ -11,21 +12,23 @@ batch replaces its own output instead of duplicating it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contract as C
 from ..operators.audit import nan_to_null
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
-def file_stream(spark: SparkSession, directory: str, glob: str, max_files: int = 1,
+def file_stream(spark: SparkSession, directory: str, glob: str = "*.parquet", max_files: int = 1,
                 fmt: str = "parquet") -> DataFrame:
-    """A file-source stream over ``directory`` restricted to files matching ``glob``."""
-    schema = spark.read.format(fmt).option("pathGlobFilter", glob).load(directory).schema
-    return (spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
+    """A file-source stream over ``directory`` and the folders in it, restricted to files matching ``glob``."""
+    options = {"pathGlobFilter": glob, "recursiveFileLookup": True}
+    schema = spark.read.format(fmt).options(**options).load(directory).schema
+    return (spark.readStream.format(fmt).schema(schema).options(**options)
             .option("maxFilesPerTrigger", max_files).load(directory))
 
 
@@ -61,34 +64,59 @@ def per_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def split_table(df: DataFrame, order: str, parts: int, name: str) -> str:
-    """Write a table in ``parts`` ranges of ``order``, one after the other: a source of several micro-batches.
+    """Write a table once, in folders ``part=0, 1, ...`` for equal ranges of ``order``: a source of several micro-batches.
 
     Each range keeps Spark's own partitions; null keys are in the first one; an
-    empty table gives an empty source.
+    empty table gives an empty source.  The files hold the columns of ``df``.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    if "part" in df.columns:
+        raise ValueError("a column named part would be replaced")
+    path = scratch_path(df.sparkSession, name)
     low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:  # no key at all
-        df.write.parquet(path)
-        return path
-    width = (high - low) // parts + 1
-    part = F.coalesce(F.least(F.floor((F.col(order) - low) / width), F.lit(parts - 1)), F.lit(0))
-    for i in range(parts):
-        df.where(part == i).write.mode("append").parquet(path)
+    part = F.lit(0)
+    if low is not None:
+        width = (high - low) // parts + 1
+        part = F.coalesce(F.least(F.floor((F.col(order) - low) / width), F.lit(parts - 1)), F.lit(0)).cast("int")
+    df.withColumn("part", part).write.partitionBy("part").parquet(path)
+    if not path_exists(df.sparkSession, f"{path}/part=0"):  # an empty table has written no folder
+        df.limit(0).write.parquet(f"{path}/part=0")
     return path
 
 
+class Arrivals:
+    """A table whose ranges of ``order`` arrive one after the other in a folder that a stream watches.
+
+    The ranges are written once and then moved into the folder, one before
+    each run of the stream; a run goes on from its checkpoint and finds one new
+    micro-batch, as if it were started anew whenever files have arrived.
+    """
+
+    def __init__(self, df: DataFrame, order: str, parts: int, name: str):
+        self.spark, self.schema, self.parts = df.sparkSession, df.schema, parts
+        self.staged = split_table(df, order, parts, f"{name}-staged")
+        self.folder = scratch_path(self.spark, f"{name}-source")
+        jvm = self.spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._path(self.folder))
+
+    def stream(self) -> DataFrame:
+        return (self.spark.readStream.schema(self.schema).option("recursiveFileLookup", True)
+                .option("maxFilesPerTrigger", 1 << 20).parquet(self.folder))
+
+    def run(self, start: Callable[[DataFrame], object]) -> None:
+        """Move in the ranges that hold rows, one by one, and ``start`` a run of the stream for each."""
+        for i in range(self.parts):
+            if path_exists(self.spark, f"{self.staged}/part={i}"):
+                self._fs.rename(self._path(f"{self.staged}/part={i}"), self._path(f"{self.folder}/range-{i}"))
+                start(self.stream())
+
+
 def files_per_batch(spark: SparkSession, path: str, parts: int) -> int:
     """Files of each micro-batch with which a source is read in at most ``parts`` of them."""
     return max(1, -(-len(spark.read.parquet(path).inputFiles()) // parts))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 # ------------------------------------------------------------------ operators
 
 
@@ -116,35 +144,43 @@ def stream_moments(stream: DataFrame, group: str, features: Sequence[str]) -> Da
     return stream.groupBy(group).agg(*aggs)
 
 
-def audit_batches(stream: DataFrame, key: str, state_path: str, counters_path: str) -> Callable:
-    """foreachBatch auditor: null rows and first-seen duplicates across batches.
+#: What a record of an audited stream stands for.
+ROW, NULL_ROW, KEPT = "row", "null row", "kept"
+
 
-    Seen keys live in a distributed table (``state_path``), one folder per
-    batch; a batch is compared only with keys of *earlier* batches, so a
-    replayed batch recomputes the same counts and overwrites its own output.
+def audited(stream: DataFrame, key: str) -> DataFrame:
+    """One record for each row of the stream (``row`` or ``null row``) and one ``kept`` for each key seen first.
+
+    Seen keys live in the state store, so a micro-batch costs its own rows and
+    the keys that it holds, however many came before.  The keys of an Arrow
+    batch are made distinct before the shuffle, so that a hot key does not
+    fill one task.
     """
-    cols = stream.columns
-
-    def audit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = nan_to_null(batch)
-        any_null = F.lit(False)
-        for c in cols:
-            any_null = any_null | F.col(c).isNull()
-        flagged = batch.withColumn("_null", any_null).persist()
-        clean_keys = flagged.where(~F.col("_null")).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        new_keys = clean_keys
-        if _exists(spark, state_path):  # each key is in it once; a state that cannot be read fails the batch
-            seen = spark.read.parquet(state_path).where(F.col("batch_id") < batch_id).select(key)
-            new_keys = clean_keys.join(seen, key, "left_anti")
-        new_keys.select(key).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        kept = spark.read.parquet(f"{state_path}/batch_id={batch_id}").count()
-        row = flagged.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("_null").alias("null_rows"))
-        row = row.withColumn("duplicates_dropped", F.col("total_rows") - F.col("null_rows") - F.lit(kept))
-        row.write.mode("overwrite").parquet(f"{counters_path}/batch_id={batch_id}")
-        flagged.unpersist()
-
-    return audit
+    clean = nan_to_null(stream)
+    any_null = F.lit(False)
+    for c in clean.columns:
+        any_null = any_null | F.col(c).isNull()
+    flagged = clean.select(F.col(key).alias("key"), any_null.alias("bad"))
+    rows = flagged.select(F.when(F.col("bad"), F.lit(NULL_ROW)).otherwise(F.lit(ROW)).alias("record"))
+    keys = flagged.where(~F.col("bad")).select("key")
+    first = keys.mapInArrow(_distinct_keys, keys.schema).dropDuplicates(["key"])
+    return rows.unionByName(first.select(F.lit(KEPT).alias("record")))
+
+
+def _distinct_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0).unique()], schema=batch.schema)
+
+
+def audit_counters(counters_path: str) -> Callable:
+    """foreachBatch writer: the counts of an audited micro-batch (P7, W2) under its ``batch_id``."""
+    def count(batch: DataFrame, batch_id: int) -> None:
+        kinds = {k: F.count_if(F.col("record") == k) for k in (ROW, NULL_ROW, KEPT)}
+        batch.agg((kinds[ROW] + kinds[NULL_ROW]).alias("total_rows"), kinds[NULL_ROW].alias("null_rows"),
+                  (kinds[ROW] - kinds[KEPT]).alias("duplicates_dropped")).write.mode("overwrite").parquet(
+            f"{counters_path}/batch_id={batch_id}")
+
+    return count
 
 
 def quarantine_batches(rules_fn: Callable[[], Mapping[str, Column]], valid_path: str,
@@ -156,34 +192,3 @@ def quarantine_batches(rules_fn: Callable[[], Mapping[str, Column]], valid_path:
         C.quarantine_branch(routed).write.mode("overwrite").parquet(f"{dlq_path}/batch_id={batch_id}")
         routed.unpersist()
     return route
-
-
-def online_fit_batches(features: Sequence[str], label: str, params_path: str, lr: float = 0.1,
-                       alpha: float = 1e-4, init: dict | None = None) -> Callable:
-    """foreachBatch learner: one exact gradient step per micro-batch.
-
-    The gradient is a distributed aggregate over the batch; the new version is
-    appended to a parameter table keyed by ``batch_id`` (the previous version
-    is read back from it, so the model survives a driver restart).
-    """
-    from ..operators.learners import logistic_gradient
-
-    feats = list(features)
-
-    def fit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        model = dict(init) if init else {"features": feats, "coef": [0.0] * len(feats), "intercept": 0.0}
-        if _exists(spark, params_path):  # parameters that cannot be read fail the batch; the model never restarts
-            prev = spark.read.parquet(params_path).where(F.col("batch_id") < batch_id)
-            last = prev.agg(F.max("batch_id")).collect()[0][0]
-            if last is not None:
-                rows = {r["feature"]: r["coef"] for r in prev.where(F.col("batch_id") == last).collect()}
-                model = {"features": feats, "coef": [rows[f] for f in feats], "intercept": rows["_intercept"]}
-        grads = {r["feature"]: r["grad"] for r in logistic_gradient(batch, model, label, None, alpha).collect()}
-        coef = [c - lr * grads[f] for f, c in zip(feats, model["coef"], strict=True)]
-        b = model["intercept"] - lr * grads["_intercept"]
-        rows = [(f, float(c)) for f, c in zip(feats, coef, strict=True)] + [("_intercept", float(b))]
-        spark.createDataFrame(rows, "feature string, coef double").write.mode("overwrite").parquet(
-            f"{params_path}/batch_id={batch_id}")
-
-    return fit

@@ -27,8 +27,8 @@ def _stream(spark, d):
 def test_stream_audit_across_batches_equals_batch(spark):
     d, ev = _split_files(spark)
     s = _stream(spark, d)
-    state, counters = scratch_path(spark, "t-st"), scratch_path(spark, "t-ct")
-    ST.run_available_now(s, counters, foreach_batch=ST.audit_batches(s, "user_id", state, counters))
+    counters = scratch_path(spark, "t-ct")
+    ST.run_available_now(ST.audited(s, "user_id"), counters, foreach_batch=ST.audit_counters(counters))
     c = spark.read.parquet(counters)
     assert c.select("batch_id").distinct().count() == 3
     got = c.agg(F.sum("total_rows"), F.sum("null_rows"), F.sum("duplicates_dropped")).collect()[0]
@@ -73,23 +73,45 @@ def test_stream_dedup_within_watermark_bounds_state(spark):
     assert out.count() >= ev.select("user_id").distinct().count()
 
 
-def test_state_that_cannot_be_read_fails_the_batch(spark, tmp_path):
+def test_weights_that_cannot_be_read_fail_the_batch(spark, tmp_path):
     import pytest
-    for name in ("state", "params"):
-        (tmp_path / name / "batch_id=0").mkdir(parents=True)
-        (tmp_path / name / "batch_id=0" / "part-0.parquet").write_bytes(b"not a table")
-    batch = spark.createDataFrame([(1, 0.5, 1.0)], "k int, x double, label double")
+    from rivulet.operators import incremental as IN
+    for n, mark in ((0, True), (1, False)):
+        (tmp_path / f"version={n}").mkdir()
+        (tmp_path / f"version={n}" / "part-0.parquet").write_bytes(b"not a table")
+        if mark:
+            (tmp_path / f"version={n}" / "_SUCCESS").touch()
+    batch = spark.createDataFrame([(0.5, 1.0)], "x double, label double")
+    learner = IN.Learner("log", ("x",))
+    assert IN.Versions(spark, str(tmp_path), learner).latest() == 0  # an unfinished version does not count
     with pytest.raises(Exception):
-        ST.audit_batches(batch, "k", str(tmp_path / "state"), str(tmp_path / "c"))(batch, 1)
-    with pytest.raises(Exception):
-        ST.online_fit_batches(["x"], "label", str(tmp_path / "params"))(batch, 1)
+        IN.online_batches(learner, str(tmp_path), lambda b: IN.dense_rows(b, ["x"], [F.col("label")]))(batch, 2)
 
 
-def test_nan_counts_as_null(spark):
+def test_nan_counts_as_null_and_null_keys_are_null_rows(spark):
     counters = scratch_path(spark, "t-nan")
-    batch = spark.createDataFrame([(1, float("nan")), (2, 1.0), (2, 2.0)], "k int, x double")
-    ST.audit_batches(batch, "k", scratch_path(spark, "t-nan-state"), counters)(batch, 0)
-    assert tuple(spark.read.parquet(counters).select("total_rows", "null_rows", "duplicates_dropped").first()) == (3, 1, 1)
+    batch = spark.createDataFrame([(1, float("nan")), (2, 1.0), (2, 2.0), (None, 3.0)], "k int, x double")
+    ST.audit_counters(counters)(ST.audited(batch, "k"), 0)
+    assert tuple(spark.read.parquet(counters).select("total_rows", "null_rows", "duplicates_dropped").first()) == (4, 2, 1)
+
+
+def test_audit_of_a_batch_reads_no_earlier_batch_and_goes_on_after_a_restart(spark):
+    """Five arrivals, each with a run of its own: the state store remembers the keys, the input stays the batch."""
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "value")
+    counters, ckpt = scratch_path(spark, "t-arr"), scratch_path(spark, "t-arr-ck")
+    read = []
+
+    def start(stream):
+        q = (ST.audited(stream, "user_id").writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+             .foreachBatch(ST.audit_counters(counters)).start())
+        q.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in q.recentProgress))
+
+    ST.Arrivals(ev, "event_id", 5, "t-arr").run(start)
+    rows = spark.read.parquet(counters).orderBy("batch_id").collect()
+    assert len(rows) == 5 and len(set(read)) <= 3 and max(read) <= 2 * max(r["total_rows"] for r in rows)
+    assert sum(r["total_rows"] for r in rows) == ev.count()
+    assert sum(r["total_rows"] - r["duplicates_dropped"] for r in rows) == ev.select("user_id").distinct().count()
 
 
 def test_split_table_keeps_null_keys_and_partitions(spark):
