@@ -47,10 +47,10 @@ def first_seen_dedup(df: DataFrame, key: str, seq: str) -> DataFrame:
 
     ``seq`` must be unique (a row sequence such as an event id).
     """
-    return _matching(df, first_seen(df, key, seq), key, seq)
+    return matching(df, first_seen(df, key, seq), key, seq)
 
 
-def _matching(df: DataFrame, kept: DataFrame, key: str, seq: str) -> DataFrame:
+def matching(df: DataFrame, kept: DataFrame, key: str, seq: str) -> DataFrame:
     """Rows of ``df`` whose key and sequence are in ``kept``; a null key equals a null key."""
     k = kept.select(F.col(key).alias("_key"), F.col(seq).alias("_seq"))
     return df.join(k, F.col(key).eqNullSafe(F.col("_key")) & (F.col(seq) == F.col("_seq")), "left_semi")
@@ -100,7 +100,7 @@ def bloom_survivors(df: DataFrame, key: str, seq: str, n_items: int,
 
 def bloom_dedup(df: DataFrame, key: str, seq: str, n_items: int, p: float = 0.01) -> DataFrame:
     """Rows kept by the Bloom-filter first-seen dedup (false positives included)."""
-    return _matching(df, bloom_survivors(df, key, seq, n_items, p), key, seq)
+    return matching(df, bloom_survivors(df, key, seq, n_items, p), key, seq)
 
 
 def bloom_capacity(df: DataFrame, key: str, n_items: int) -> DataFrame:

@@ -170,17 +170,25 @@ def etl_counts(routed: DataFrame) -> DataFrame:
 
 
 def dry_run_chunks(routed: DataFrame, chunk_col: str, limit: int) -> DataFrame:
-    """Chunk-grain dry-run cap on the valid branch.
+    """Chunk-grain dry-run cap on the valid branch of a table that has its chunk numbers.
 
     Valid chunks are taken in chunk order while the rows already taken are
     below ``limit`` (quarantined chunks do not count), so a chunk that crosses
-    the limit is kept whole.  Only the first ``limit`` valid chunks can
-    qualify, so the ordered window runs over at most ``limit`` rows.
+    the limit is kept whole.  Ranges of chunk numbers, each four times wider,
+    are counted until the cap is met, so a scan that can skip by the chunk
+    column reads no more; the result is a plain filter.
     """
     valid = valid_branch(routed)
-    per_chunk = valid.groupBy(chunk_col).agg(F.count(F.lit(1)).alias("_n"))
-    head = per_chunk.orderBy(chunk_col).limit(int(limit))
-    w = Window.orderBy(chunk_col).rowsBetween(Window.unboundedPreceding, -1)
-    keep = (head.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-            .where(F.col("_before") < F.lit(int(limit))).select(chunk_col))
-    return valid.join(keep, chunk_col, "left_semi")
+    low, high = valid.agg(F.min(chunk_col), F.max(chunk_col)).first()
+    if low is None or limit <= 0:
+        return valid.limit(0)
+    total, start, width, last = 0, low, 4, high
+    while start <= high:
+        part = valid.where(F.col(chunk_col).between(start, start + width - 1))
+        head = part.groupBy(chunk_col).agg(F.count(F.lit(1)).alias("n")).orderBy(chunk_col).limit(int(limit)).collect()
+        for r in head:
+            total += r["n"]
+            if total >= limit:
+                return valid.where(F.col(chunk_col) <= r[chunk_col])
+        start, width = start + width, width * 4
+    return valid.where(F.col(chunk_col) <= last)

@@ -14,6 +14,7 @@ from ..operators import audit as A
 from ..operators import contract as C
 from ..operators import labels as L
 from .fixtures import BINARY_LABEL_SQL, SEED, TEST_RATIO, binary_label, load
+from ..session import scratch_path
 from .registry import query
 
 # --------------------------------------------------------------------- labels
@@ -319,6 +320,20 @@ def q_bloom_dedup_design(spark, d):
     return A.bloom_dedup(ev, "user_id", "event_id", BLOOM_DESIGN, BLOOM_P)
 
 
+@query("bloom_resume", "W1", _bloom_sql)
+def q_bloom_resume(spark, d):
+    """Two runs over the halves of the events, the second from the bits that the first has left."""
+    from ..operators.bloom_state import BloomStore
+
+    ev = load(spark, d, "events").select("event_id", "user_id")
+    low, high = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    middle = 0 if low is None else (low + high) // 2
+    store = BloomStore(spark, scratch_path(spark, "bloom"), BLOOM_N, BLOOM_P)
+    first = store.dedup(ev.where(F.col("event_id") <= middle), "user_id", "event_id", run=1)
+    second = store.dedup(ev.where(F.col("event_id") > middle), "user_id", "event_id", run=2, after=1)
+    return first.unionByName(second)
+
+
 @query("audit_summary", "G5", """
 WITH e AS (SELECT event_id, user_id, nullif(event_type, 'error') AS event_type, value FROM events),
      c AS (SELECT * FROM e WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL

@@ -57,6 +57,73 @@ def q_row_identity(spark, d):
     return back.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"), "row_index")
 
 
+FILES, BATCH, CAP, IN_FLIGHT = 24, 50, 300, 6
+
+
+def _dry_run_sql(in_flight: int) -> str:
+    return f"""
+WITH r AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // {BATCH} AS chunk_id,
+                  o_orderstatus <> 'P' AS ok FROM orders),
+     per AS (SELECT chunk_id, count(*) FILTER (ok) AS n FROM r GROUP BY chunk_id),
+     cum AS (SELECT chunk_id, sum(n) OVER (ORDER BY chunk_id) AS upto FROM per),
+     met AS (SELECT min(chunk_id) AS c FROM cum WHERE upto >= {CAP})
+SELECT o_orderkey, chunk_id FROM r, met WHERE ok AND (c IS NULL OR chunk_id <= c + {in_flight})
+"""
+
+
+def _dry_run(spark, d, in_flight):
+    """A dry run over order files, of which only the first ones are read."""
+    from ..operators.dry_run import dry_run_files
+
+    orders = load(spark, d, "orders").select("o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"))
+    path = scratch_path(spark, "p10")
+    orders.repartitionByRange(FILES, "o_orderkey").sortWithinPartitions("o_orderkey").write.option("header", True).csv(path)
+    files = spark.read.csv(path).inputFiles()
+
+    def read(some):
+        return CSV.read_csv(spark, some, orders.columns)
+
+    run = dry_run_files(read, files, {"no status": F.col("o_orderstatus").isNull()}, BATCH, CAP, in_flight)
+    return run.rows.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"), "chunk_id")
+
+
+@query("dry_run_early", "P10", _dry_run_sql(0))
+def q_dry_run_early(spark, d):
+    return _dry_run(spark, d, 0)
+
+
+@query("dry_run_in_flight", "P11", _dry_run_sql(IN_FLIGHT))
+def q_dry_run_in_flight(spark, d):
+    return _dry_run(spark, d, IN_FLIGHT)
+
+
+GUARDED = 6
+
+
+@query("files_without_target", "P4", f"""
+WITH o AS (SELECT *, CAST(least((o_orderkey - lo) // ((hi - lo) // {GUARDED} + 1), {GUARDED - 1}) AS BIGINT) AS part
+           FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders))
+SELECT 'row' AS kind, o_orderkey AS id, o_orderstatus AS target, o_totalprice AS price FROM o WHERE part NOT IN (1, 4)
+UNION ALL SELECT 'skipped', part, 'o_orderstatus', NULL FROM o WHERE part IN (1, 4) GROUP BY part
+""")
+def q_files_without_target(spark, d):
+    """Order files of which two lack the target column, and one has its columns in another order."""
+    orders = load(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    part = F.least(F.floor((F.col("o_orderkey") - low) / ((high - low) // GUARDED + 1)), F.lit(GUARDED - 1)).cast("int")
+    path = scratch_path(spark, "p4")
+    for i in range(GUARDED):
+        columns = ["o_totalprice", " o_orderkey "] if i in (1, 4) else ["o_totalprice", "o_orderstatus", "o_orderkey"] if i == 2 else orders.columns
+        rows = orders.where(part == i).withColumn(" o_orderkey ", F.col("o_orderkey")).select(*columns)
+        rows.write.option("header", True).csv(f"{path}/part-{i}")
+    kept, skipped = CSV.read_csv_with(spark, f"{path}/*", ["o_orderkey", "o_orderstatus"])
+    rows = kept.select(F.lit("row").alias("kind"), F.col("o_orderkey").try_cast("bigint").alias("id"),
+                       F.col("o_orderstatus").alias("target"), F.col("o_totalprice").try_cast("double").alias("price"))
+    gone = skipped.groupBy(F.regexp_extract("file", r"/part-(\d)/", 1).cast("bigint").alias("id"), F.array_join("missing", ",").alias("target")).agg(
+        F.lit("skipped").alias("kind"), F.lit(None).cast("double").alias("price"))
+    return rows.unionByName(gone)
+
+
 @query("csv_bad_line_skip", "S4", """
 SELECT p_partkey, p_name, CASE WHEN p_size < 5 THEN NULL ELSE p_size END AS p_size FROM part WHERE p_size <= 45
 """)
@@ -207,12 +274,19 @@ def q_union_chunks(spark, d):
     return first.unionByName(rest, allowMissingColumns=True)
 
 
-@query("file_inventory", "S15")
+@query("file_inventory", "S15", """
+SELECT 'source=' || source || '/lang=' || lang || '/group=' || CAST(doc_id // 50 AS VARCHAR) AS folder,
+       CAST(sum(coalesce(octet_length(encode(text)), 0) + 1) AS BIGINT) AS size_bytes, 'VALID' AS status
+FROM documents GROUP BY source, lang, doc_id // 50
+UNION ALL SELECT '', 0, 'CORRUPT (0 Bytes)'
+""")
 def q_file_inventory(spark, d):
-    docs = load(spark, d, "documents").select("source", "lang", "text")
+    """Every file of a tree that is four levels deep, with its size; the mark of success is empty."""
+    docs = load(spark, d, "documents").select("source", "lang", F.expr("doc_id div 50").alias("group"), "text")
     root = scratch_path(spark, "s15")
-    docs.write.mode("overwrite").partitionBy("source", "lang").text(root)
-    return INV.file_status(INV.list_files(spark, [root], ordered=True))
+    docs.repartition("source", "lang", "group").write.partitionBy("source", "lang", "group").text(root)
+    files = INV.file_status(INV.list_files(spark, [root])).where(~F.col("path").rlike(r"(^|/)\.[^/]*$"))  # checksums are hidden files
+    return files.select(F.regexp_replace("path", "/?[^/]*$", "").alias("folder"), "size_bytes", "status")
 
 
 @query("inventory_counts", "S15,P17", """

@@ -8,15 +8,23 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import NULL_TOKENS, null_if_token
+from ..operators.contract import normalise_header
+from ..session import materialize
 
 OVERFLOW_COL = "_overflow"
+#: Lines of a file that a look at its header takes at most at once.
+HEAD_LINES = 64
+#: Splits whose offsets (two longs each) are sent to all executors; beyond them rows are shuffled to their offset.
+MOST_SPLITS = 2_000_000
 
 
 def string_schema(columns: Sequence[str], extra: Sequence[str] = ()) -> T.StructType:
@@ -57,25 +65,85 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
     return _reader(spark, string_schema(cols), True, multiline, sep).option("enforceSchema", False).csv(path)
 
 
+def header_directory(spark: SparkSession, path: str | Sequence[str], line_no: int = 0) -> DataFrame:
+    """``file, header``: line ``line_no`` of every file, in a distributed read of the heads only.
+
+    Every split is a task of its own and stops after its first lines, so that
+    the files' bodies are not read (where a session fixes the size of its
+    partitions, tasks read on to the next file).  A file with fewer lines has a
+    null header, one without any line no row.
+    """
+    one, most, batch = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = {k: spark.conf.get(k) for k in (one, batch)}
+    spark.conf.set(one, spark.conf.get(most))  # an opened file fills a partition
+    spark.conf.set(batch, str(HEAD_LINES))
+    alone = spark.conf.get(one) == spark.conf.get(most)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines: dict[str, list[str]] = {}
+        for rows in batches:
+            files, starts = rows.column("file"), rows.column("start").to_numpy()
+            for i in np.flatnonzero(starts == 0).tolist():
+                head = lines.setdefault(files[i].as_py(), [])
+                if len(head) <= line_no:
+                    head.append(rows.column("value")[i].as_py())
+            if alone and rows.num_rows and (starts[0] > 0 or len(lines[files[0].as_py()]) > line_no):
+                break
+        if lines:
+            heads = [(x + [None] * (line_no + 1))[line_no] for x in lines.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(lines), pa.string()), pa.array(heads, pa.string())], names=["file", "header"])
+
+    try:
+        found = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                             F.col("_metadata.file_block_start").alias("start")).mapInArrow(first, "file string, header string")
+        rows = [tuple(r) for r in found.collect()]  # a line for each file
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.createDataFrame(rows, "file string, header string")
+
+
+def _by_header(directory: DataFrame) -> list[tuple[str, list[str]]]:
+    """Files of each distinct header, by header."""
+    groups = directory.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [(g["header"], g["files"]) for g in groups]
+
+
 def read_csv_by_header(spark: SparkSession, path: str, multiline: bool = False, sep: str = ",") -> DataFrame:
     """Files whose headers order or choose their columns differently, matched by name (absent columns are null).
 
-    One pass reads each file's first line; files of one header are read together.
+    The heads of the files are read first; files of one header are read together.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_block_start").alias("at"),
-                                         F.monotonically_increasing_id().alias("line"))
-    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     out = None
-    for g in groups:  # one read for each distinct header
-        part = read_csv(spark, g["files"], parse_csv_line(g["header"], sep), multiline, sep)
+    for header, files in _by_header(header_directory(spark, path)):  # one read for each distinct header
+        part = read_csv(spark, files, parse_csv_line(header or "", sep), multiline, sep)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"{path}: no header")
     return out
 
 
+def read_csv_with(spark: SparkSession, path: str, required: Sequence[str], multiline: bool = False,
+                  sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """The rows of the files that have all ``required`` columns, and ``file, missing`` of the files left out.
+
+    The decision is taken from the heads of the files, after the headers are
+    normalised, so a file that lacks its target or text is not scanned at all.
+    """
+    out, skipped, columns = None, [], set()
+    for header, files in _by_header(header_directory(spark, path)):
+        names = [normalise_header(c) for c in parse_csv_line(header or "", sep)]
+        missing = [c for c in required if c not in names]
+        if missing:
+            skipped += [(f, missing) for f in files]
+            continue
+        columns.update(names)
+        part = read_csv(spark, files, parse_csv_line(header, sep), multiline, sep).toDF(*names)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    left_out = spark.createDataFrame(skipped, "file string, missing array<string>")
+    return (spark.createDataFrame([], string_schema(required)) if out is None else out), left_out
+
+
 def read_csv_preamble(spark: SparkSession, path: str, sep: str = ",",
                       multiline: bool = False) -> DataFrame:
     """Line 0 of each file is a preamble, line 1 the header.
@@ -112,23 +180,33 @@ def normalise_null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS,
     return df.withColumns({c: null_if_token(c, tokens) for c in targets}) if targets else df
 
 
-def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+def with_file_row_index(df: DataFrame, name: str = "row_index", most_broadcast: int = MOST_SPLITS) -> DataFrame:
     """Gap-free 0-based row number in file order (file path, then line order).
 
     Built from the scan's hidden ``_metadata`` (file path, split start) and
     the per-partition row position: rows of one split are consecutive in one
-    partition, so a split's first id is its ``min``.  Split sizes give each
-    split its offset (a window over one row per split); no row is sorted.
+    partition, so a split's first id is its ``min``.  A first scan counts the
+    rows of every split; the offsets (three numbers for a split, that is one
+    millionth of the data or less) are sent to the scan's own tasks, so no row
+    leaves its partition.  Only beyond ``most_broadcast`` splits are they
+    joined by a shuffle.  Columns of ``df`` keep their names and values.
     """
-    src = df.select("*", F.col("_metadata.file_path").alias("_fp"),
-                    F.col("_metadata.file_block_start").alias("_bs"),
-                    F.monotonically_increasing_id().alias("_mid"))
-    blocks = src.groupBy("_fp", "_bs").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    before = Window.orderBy("_fp", "_bs").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_fp", "_bs", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (src.join(offsets, ["_fp", "_bs"])
-            .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
-            .drop("_fp", "_bs", "_mid", "_m0", "_off"))
+    own = "_".join(["at", *df.columns])  # names that no column has
+    split, shift = f"{own}_split", f"{own}_shift"
+    number = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    src = df.select("*", number.alias(own), F.monotonically_increasing_id().alias(f"{own}_id"))
+    blocks = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                       number.alias(split), F.monotonically_increasing_id().alias("id")).groupBy("path", "start", split).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = Window.orderBy("path", "start").rowsBetween(Window.unboundedPreceding, -1)  # one row for each split
+    offsets = blocks.select(split, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias(shift))
+    offsets = materialize(offsets, "splits")
+    known, distinct = offsets.agg(F.count(F.lit(1)), F.count_distinct(split)).first()
+    if known != distinct:
+        raise ValueError("two splits of the input share a 64-bit name")
+    joined = src.join(F.broadcast(offsets) if known <= most_broadcast else offsets, F.col(own) == F.col(split))
+    return joined.withColumn(name, (F.col(shift) + F.col(f"{own}_id")).cast("long")).select(
+        *[c for c in df.columns if c != name], name)
 
 
 # ------------------------------------------------------------------- sinks

@@ -1,26 +1,35 @@
 """File inventory, integrity status, manifests and missing assets.
 
-The listing itself is distributed: each root's sub-directories become rows
-walked inside ``mapInPandas`` on executors (``os`` for mounted shared
-storage, ``pyarrow.fs`` for URIs).  ``binaryFile`` is not used because it
-skips zero-byte files -- exactly the files the integrity check must flag.
-Everything after the listing is plain DataFrame work.
+A tree is listed level by level: the folders of a level are a DataFrame whose
+rows tasks open on executors (``os`` for mounted shared storage, ``pyarrow.fs``
+for URIs), and the folders they find are the next level.  A task that opens a
+folder only reads its names; the files are then dealt out by ranges of their
+names and measured there, so a flat folder of millions of files is not one
+task's work.  ``binaryFile`` is not used because it skips zero-byte files --
+exactly the files the integrity check must flag.  Everything after the listing
+is plain DataFrame work.
 """
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import STATUS_CORRUPT as CORRUPT
 from ..functions.constants import STATUS_VALID as VALID
+from ..session import materialize
 
-#: Files that a task lists before it hands them on.
+#: Names that a task reads from a folder before it hands them on, and files that one task measures.
 PIECE = 10_000
+#: Folders that one task opens.
+FOLDERS = 64
+
 LISTING_SCHEMA = "root string, path string, size_bytes long"
+_ENTRY = "root string, path string, folder boolean, size_bytes long"
 
 
 def _fs(root: str):
@@ -31,63 +40,69 @@ def _fs(root: str):
     return None, (root[len("file://"):] if root.startswith("file://") else root)
 
 
-def _walk(root: str, sub: str = "", recursive: bool = True):
-    """Yield (path relative to root, size) under ``root/sub``."""
-    import os
+def _entries(root: str, sub: str) -> Iterator[tuple[str, bool, int | None]]:
+    """(path relative to the root, whether it is a folder, size if the listing tells it) in one folder."""
     fsys, base = _fs(root)
     start = os.path.join(base, sub) if sub else base
     if fsys is not None:
         from pyarrow import fs as pafs
-        for info in fsys.get_file_info(pafs.FileSelector(start, recursive=recursive)):
-            if info.type == pafs.FileType.File:
-                yield os.path.relpath(info.path, base), int(info.size)
-        return
-    if not recursive:
-        for e in os.scandir(start):
-            if e.is_file():
-                yield os.path.relpath(e.path, base), e.stat().st_size
+        for info in fsys.get_file_info(pafs.FileSelector(start)):
+            folder = info.type == pafs.FileType.Directory
+            yield os.path.relpath(info.path, base), folder, None if folder else int(info.size)
         return
-    for dirpath, _dirs, files in os.walk(start):
-        for f in files:
-            full = os.path.join(dirpath, f)
-            yield os.path.relpath(full, base), os.path.getsize(full)
-
-
-def _units(root: str) -> list[tuple[str, str, bool]]:
-    """Work units of a root: its top-level files (one unit) + one unit per
-    immediate sub-directory, walked recursively.  Only the top level is
-    listed on the driver."""
-    import os
-    fsys, base = _fs(root)
-    if fsys is not None:
-        from pyarrow import fs as pafs
-        subs = [os.path.relpath(i.path, base) for i in fsys.get_file_info(pafs.FileSelector(base))
-                if i.type == pafs.FileType.Directory]
-    else:
-        subs = [e.name for e in os.scandir(base) if e.is_dir()]
-    return [(root, "", False)] + [(root, d, True) for d in sorted(subs)]
+    with os.scandir(start) as found:
+        for e in found:  # a link to a folder is not followed, one to a file is measured
+            if e.is_dir(follow_symlinks=False) or e.is_file():
+                yield os.path.join(sub, e.name), e.is_dir(follow_symlinks=False), None
+
+
+def _open_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of folders, handed on in pieces."""
+    names = ["root", "path", "folder", "size_bytes"]
+    types = [pa.string(), pa.string(), pa.bool_(), pa.int64()]
+    for batch in batches:
+        rows: list[tuple] = []
+        for root, sub in zip(batch.column("root").to_pylist(), batch.column("path").to_pylist(), strict=True):
+            for entry in _entries(root, sub):
+                rows.append((root, *entry))
+                if len(rows) == PIECE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of the files whose listing told none."""
+    for batch in batches:
+        sizes = [os.path.getsize(os.path.join(_fs(r)[1], p)) if s is None else s for r, p, s in zip(
+            *(batch.column(c).to_pylist() for c in ("root", "path", "size_bytes")), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("path"), pa.array(sizes, pa.int64())],
+                                         names=["root", "path", "size_bytes"])
 
 
 def list_files(spark: SparkSession, roots: Sequence[str], ordered: bool = False) -> DataFrame:
-    """``(root, path, size_bytes)`` for every file under each root, recursively.
+    """``(root, path, size_bytes)`` for every file under each root, at any depth.
 
-    Each root is split into its top-level files and its sub-directories; every
-    unit is a row walked by an executor, so a wide tree lists in parallel.
-    ``ordered`` sorts the listing by (root, path) -- a distributed range sort.
+    Each level of folders is written as it is found; the loop ends with the
+    first level that holds none.  ``ordered`` sorts the listing by (root,
+    path) -- a distributed range sort.
     """
-    units = [u for r in roots for u in _units(r)]
-    units_df = spark.createDataFrame(units, "root string, sub string, recursive boolean").repartition(
-        max(1, min(len(units), spark.sparkContext.defaultParallelism * 4)))
-
-    def walk(batches):
-        import pandas as pd
-        for pdf in batches:
-            rows = ((r, p, s) for r, sub, rec in zip(pdf["root"], pdf["sub"], pdf["recursive"], strict=True)
-                    for p, s in _walk(r, sub, bool(rec)))
-            while part := list(itertools.islice(rows, PIECE)):  # a flat folder leaves in pieces
-                yield pd.DataFrame(part, columns=["root", "path", "size_bytes"])
-
-    listing = units_df.mapInPandas(walk, LISTING_SCHEMA)
+    level = spark.createDataFrame([(r, "") for r in roots], "root string, path string")
+    n, levels = len(roots), []
+    while n:
+        opened = level.repartition(-(-n // FOLDERS) if n > FOLDERS else n, "root", "path").mapInArrow(_open_folders, _ENTRY)
+        levels.append(materialize(opened, "level"))
+        level = levels[-1].where("folder").select("root", "path")
+        n = level.count()
+    if not levels:
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    found = levels[0]
+    for one in levels[1:]:
+        found = found.unionByName(one)
+    files = found.where("NOT folder").select("root", "path", "size_bytes")
+    tasks = max(1, -(-files.count() // PIECE))
+    listing = files.repartitionByRange(tasks, "root", "path").mapInArrow(_measure, LISTING_SCHEMA)
     return listing.orderBy("root", "path") if ordered else listing
 
 
