@@ -31,13 +31,6 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def pinned(value: Column) -> Column:
-    """The value, computed where it stands: neither merged into the projections above
-    it nor written out again by a filter that is pushed down, inside every lambda
-    that reads it."""
-    return F.when(F.monotonically_increasing_id() >= 0, value)
-
-
 def key_text(c: str | Column) -> Column:
     """Text form of a key, as Python's ``str(int)`` / ``str(text)`` would give."""
     return col_of(c).cast("string")

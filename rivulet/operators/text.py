@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import N_HASH_FEATURES, SEGMENT_NEGATIVE, SEGMENT_POSITIVE, TOP_ALERTS, TOP_PHRASES
-from ..functions.exprs import hex_mod, pinned
+from ..functions.exprs import hex_mod
 from ..functions.text import default_stop_words, drop_stop_words, tokens, uni_and_bigrams
 
 N_FEATURES = N_HASH_FEATURES
+#: ``TOKEN_PATTERN`` as Python writes it: its word characters are letters, numbers and the underscore.
+WORD = re.compile(r"\w{2,}")
 
 
 def bucket_of(token, n_features: int = N_FEATURES):
@@ -22,28 +26,58 @@ def bucket_of(token, n_features: int = N_FEATURES):
 
 
 def bucket_of_py(token: str, n_features: int = N_FEATURES) -> int:
-    import hashlib
-    return int(hashlib.md5(token.encode("utf-8")).hexdigest(), 16) % n_features
+    return int.from_bytes(hashlib.md5(token.encode()).digest()) % n_features
+
+
+class _Buckets(dict):
+    """Buckets of the tokens met so far; a task forgets them when they are too many."""
+
+    MOST = 1 << 20
+
+    def __init__(self, n_features: int):
+        self.n_features = n_features
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        found = self[token] = bucket_of_py(token, self.n_features)
+        return found
+
+
+def _counted(texts: pa.Array, buckets: _Buckets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and count of every bucket of a batch of lower-case texts, in order of row and bucket.
+
+    Every distinct token is hashed once for a task, not once for an occurrence.
+    """
+    sizes, found = np.zeros(len(texts), np.int64), []
+    for i, text in enumerate(texts.to_pylist()):
+        if text:
+            at = list(map(buckets.__getitem__, WORD.findall(text)))
+            sizes[i] = len(at)
+            found.append(np.array(at, np.int64))
+    keys = np.repeat(np.arange(len(texts)), sizes) * buckets.n_features + np.concatenate([np.zeros(0, np.int64), *found])
+    keys, counts = np.unique(keys, return_counts=True)
+    return keys // buckets.n_features, keys % buckets.n_features, counts.astype(np.float64)
 
 
 def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FEATURES) -> DataFrame:
     """Attach each row's hashed bag of words: ``array<struct<bucket, value>>``, L2-normalised.
 
     Lower-case word tokens, counts per bucket (unsigned), divided by the row's
-    L2 norm, all inside the row: the buckets are sorted and their runs measured, so
+    L2 norm; null text has an empty bag.  One Arrow function per batch of rows:
     nothing is shuffled and rows that share a key stay apart.
     """
-    buckets = F.array_sort(F.transform(tokens(text), lambda t: bucket_of(t, n_features)))
-    out = df.withColumn("_b", pinned(buckets))
-    starts = F.filter(F.sequence(F.lit(0), F.size("_b") - 1), lambda i: (i == 0) | (F.get("_b", i) != F.get("_b", i - 1)))
-    none = F.array().cast("array<int>")
-    out = out.withColumn("_s", pinned(F.when(F.size("_b") > 0, starts).otherwise(none)))
-    counts = F.transform("_s", lambda i, k: (F.coalesce(F.get("_s", k + 1), F.size("_b")) - i).cast("double"))
-    out = out.withColumn("_c", pinned(counts))
-    norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, c: a + c * c))
-    out = out.withColumn("_n", pinned(norm))
-    return out.withColumn(name, F.zip_with("_s", "_c", lambda i, c: F.struct(
-        F.get("_b", i).alias("bucket"), (c / F.col("_n")).alias("value")))).drop("_b", "_s", "_c", "_n")
+    buckets = _Buckets(n_features)
+
+    @F.arrow_udf("array<struct<bucket: bigint, value: double>>")
+    def bag(texts: pa.Array) -> pa.Array:
+        rows, at, counts = _counted(texts, buckets)
+        norms = np.sqrt(np.bincount(rows, counts * counts, minlength=len(texts)))
+        cells = pa.StructArray.from_arrays([pa.array(at), pa.array(counts / norms[rows])], names=["bucket", "value"])
+        ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), cells)
+
+    return df.withColumn(name, bag(F.lower(F.col(text))))
 
 
 def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES) -> DataFrame:
@@ -66,34 +100,50 @@ def coerce_text(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, F.col(text).cast("string"))
 
 
+def _dense_weights(weights: Mapping[str, float] | np.ndarray, n_features: int) -> np.ndarray:
+    """A dense vector of weights, from one or from words with weights."""
+    if not isinstance(weights, Mapping):
+        return np.asarray(weights, dtype=np.float64)
+    dense = np.zeros(n_features)
+    for w, v in weights.items():
+        dense[bucket_of_py(w, n_features)] += float(v)
+    return dense
+
+
 def linear_text_decision(df: DataFrame, text: str, weights: Mapping[str, float] | np.ndarray, intercept: float,
                          name: str = "decision", n_features: int = N_FEATURES) -> DataFrame:
     """Attach ``b + sum(value * w[bucket])``, row by row.
 
     The model is a dense vector of ``n_features`` weights (or words with
     weights, hashed into one) sent once to each executor; rows without a
-    weighted token get the intercept.  Arrow batches, no shuffle and no join.
+    weighted token get the intercept.  Bag and product are made in one Arrow
+    function, so the bag never leaves it; no shuffle and no join.
     """
-    if isinstance(weights, Mapping):
-        dense = np.zeros(n_features)
-        for w, v in weights.items():
-            dense[bucket_of_py(w, n_features)] += float(v)
-    else:
-        dense = np.asarray(weights, dtype=np.float64)
-    shared = df.sparkSession.sparkContext.broadcast(dense)
-
-    @F.pandas_udf("double")
-    def dot(buckets: pd.Series, values: pd.Series) -> pd.Series:
-        sizes = buckets.str.len().to_numpy()
-        total = np.zeros(len(buckets))
-        if sizes.sum():
-            w = shared.value[np.concatenate(buckets.to_numpy()).astype(np.int64)] * np.concatenate(values.to_numpy())
-            some = sizes > 0
-            total[some] = np.add.reduceat(w, (np.cumsum(sizes) - sizes)[some])
-        return pd.Series(total + intercept)
-
-    return (with_bow(df, text, "_bow", n_features)
-            .withColumn(name, dot(F.col("_bow.bucket"), F.col("_bow.value"))).drop("_bow"))
+    shared = df.sparkSession.sparkContext.broadcast(_dense_weights(weights, n_features))
+    buckets = _Buckets(n_features)
+
+    @F.arrow_udf("double")
+    def decide(texts: pa.Array) -> pa.Array:
+        rows, at, counts = _counted(texts, buckets)
+        norms = np.sqrt(np.bincount(rows, counts * counts, minlength=len(texts)))
+        dots = np.bincount(rows, counts * shared.value[at], minlength=len(texts))
+        return pa.array(intercept + np.divide(dots, norms, out=np.zeros(len(texts)), where=norms > 0))
+
+    return df.withColumn(name, decide(F.lower(F.col(text))))
+
+
+def linear_bow_decision(df: DataFrame, weights: Mapping[str, float] | np.ndarray, intercept: float, bow: str = "bow",
+                        name: str = "decision", n_features: int = N_FEATURES) -> DataFrame:
+    """The same from a bag of words that is at hand (``with_bow``)."""
+    shared = df.sparkSession.sparkContext.broadcast(_dense_weights(weights, n_features))
+
+    @F.arrow_udf("double")
+    def decide(buckets: pa.Array, values: pa.Array) -> pa.Array:
+        sizes = buckets.value_lengths().fill_null(0).to_numpy()
+        products = shared.value[buckets.flatten().to_numpy()] * values.flatten().to_numpy()
+        return pa.array(intercept + np.bincount(np.repeat(np.arange(len(sizes)), sizes), products, minlength=len(sizes)))
+
+    return df.withColumn(name, decide(F.col(f"{bow}.bucket"), F.col(f"{bow}.value")))
 
 
 def phrase_drivers(df: DataFrame, text: str, label: str, top_n: int = TOP_PHRASES,

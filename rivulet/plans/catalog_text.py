@@ -72,8 +72,8 @@ FROM j
 def q_pa_update(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "text")
     sq = F.aggregate(F.col("bow.value"), F.lit(0.0), lambda a, v: a + v * v)
-    dec = TX.with_bow(TX.linear_text_decision(docs, "text", TEXT_WEIGHTS, TEXT_INTERCEPT), "text").select(
-        "doc_id", "decision", sq.alias("sq"))
+    bags = TX.with_bow(docs, "text").select("doc_id", "bow")
+    dec = TX.linear_bow_decision(bags, TEXT_WEIGHTS, TEXT_INTERCEPT).select("doc_id", "decision", sq.alias("sq"))
     lab = load(spark, d, "labels").select("doc_id", (F.col("quality") * 2 - 1).cast("double").alias("y"))
     j = dec.join(lab, "doc_id")
     tau = LR.pa_step_size(F.col("y"), F.col("decision"), F.col("sq"), 1.0)
