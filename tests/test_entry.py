@@ -30,3 +30,19 @@ def test_another_function_cannot_take_a_name():
     registry.entries()
     with pytest.raises(ValueError, match="duplicate query"):
         registry.query("hashed_bow", "M8")(lambda spark, d: None)
+
+
+@pytest.mark.parametrize("library", ["zstandard", "xxhash", "regex", "tokenizers"])
+def test_a_library_that_training_data_operators_lack_leaves_the_other_queries(library):
+    """In a fresh interpreter in which the library cannot be imported."""
+    import os
+    import subprocess
+    code = (f"import sys; sys.modules[{library!r}] = None; import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.oracle_sql()), any(n.startswith('op') or n == 'pipeline' for n in E.queries()))")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    n, n_sql, with_operators = out.stdout.split()
+    alone = set(E.queries()) - set(E.LLM_QUERIES)
+    assert int(n_sql) >= 80
+    assert (int(n), with_operators) in ((len(alone), "False"), (len(E.queries()), "True"))  # True: no operator imports it at once
