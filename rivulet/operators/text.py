@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import N_HASH_FEATURES, SEGMENT_NEGATIVE, SEGMENT_POSITIVE, TOP_ALERTS, TOP_PHRASES
 from ..functions.exprs import hex_mod
 from ..functions.text import default_stop_words, drop_stop_words, tokens, uni_and_bigrams
 
 N_FEATURES = N_HASH_FEATURES
-#: ``TOKEN_PATTERN`` as Python writes it: its word characters are letters, numbers and the underscore.
-WORD = re.compile(r"\w{2,}")
+#: What lies between the tokens of ``TOKEN_PATTERN``, and their least length: runs of letters, numbers and underscores.
+NO_WORD = r"[^\p{L}\p{N}_]+"
+MIN_TOKEN = 2
 
 
 def bucket_of(token, n_features: int = N_FEATURES):
@@ -29,35 +31,37 @@ def bucket_of_py(token: str, n_features: int = N_FEATURES) -> int:
     return int.from_bytes(hashlib.md5(token.encode()).digest()) % n_features
 
 
-class _Buckets(dict):
-    """Buckets of the tokens met so far; a task forgets them when they are too many."""
+def _buckets(tokens: pa.Array, n_features: int) -> np.ndarray:
+    """``bucket_of_py`` of many tokens; a power of two needs only the digests' last bytes."""
+    digests = [hashlib.md5(t.encode()).digest() for t in tokens.to_pylist()]
+    if n_features & (n_features - 1) == 0 and n_features < 1 << 63:
+        return (np.frombuffer(b"".join(d[8:] for d in digests), ">u8") % np.uint64(n_features)).astype(np.int64)
+    return np.array([int.from_bytes(d) % n_features for d in digests], np.int64)
 
-    MOST = 1 << 20
 
-    def __init__(self, n_features: int):
-        self.n_features = n_features
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        found = self[token] = bucket_of_py(token, self.n_features)
-        return found
-
-
-def _counted(texts: pa.Array, buckets: _Buckets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counted(texts: pa.Array, n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, bucket and count of every bucket of a batch of lower-case texts, in order of row and bucket.
 
-    Every distinct token is hashed once for a task, not once for an occurrence.
+    Arrow cuts the texts and numbers their distinct tokens; each of these is hashed once for the batch.
     """
-    sizes, found = np.zeros(len(texts), np.int64), []
-    for i, text in enumerate(texts.to_pylist()):
-        if text:
-            at = list(map(buckets.__getitem__, WORD.findall(text)))
-            sizes[i] = len(at)
-            found.append(np.array(at, np.int64))
-    keys = np.repeat(np.arange(len(texts)), sizes) * buckets.n_features + np.concatenate([np.zeros(0, np.int64), *found])
-    keys, counts = np.unique(keys, return_counts=True)
-    return keys // buckets.n_features, keys % buckets.n_features, counts.astype(np.float64)
+    words = pc.split_pattern_regex(texts, NO_WORD)
+    found = words.flatten().dictionary_encode()
+    long = pc.utf8_length(found.dictionary).to_numpy(zero_copy_only=False) >= MIN_TOKEN
+    at = found.indices.to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(texts)), words.value_lengths().fill_null(0).to_numpy())
+    kept = long[at] if len(at) else np.zeros(0, bool)
+    keys = rows[kept] * n_features + (_buckets(found.dictionary, n_features)[at[kept]] if len(at) else 0)
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.r_[first, len(keys)]).astype(np.float64)
+    return keys[first] // n_features, keys[first] % n_features, counts
+
+
+def _normalised(texts: pa.Array, n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value: the counts divided by their row's L2 norm."""
+    rows, at, counts = _counted(texts, n_features)
+    norms = np.sqrt(np.bincount(rows, counts * counts, minlength=len(texts)))
+    return rows, at, counts / norms[rows]
 
 
 def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FEATURES) -> DataFrame:
@@ -67,32 +71,28 @@ def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FE
     L2 norm; null text has an empty bag.  One Arrow function per batch of rows:
     nothing is shuffled and rows that share a key stay apart.
     """
-    buckets = _Buckets(n_features)
-
     @F.arrow_udf("array<struct<bucket: bigint, value: double>>")
     def bag(texts: pa.Array) -> pa.Array:
-        rows, at, counts = _counted(texts, buckets)
-        norms = np.sqrt(np.bincount(rows, counts * counts, minlength=len(texts)))
-        cells = pa.StructArray.from_arrays([pa.array(at), pa.array(counts / norms[rows])], names=["bucket", "value"])
+        rows, at, values = _normalised(texts, n_features)
+        cells = pa.StructArray.from_arrays([pa.array(at), pa.array(values)], names=["bucket", "value"])
         ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
         return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), cells)
 
-    return df.withColumn(name, bag(F.lower(F.col(text))))
+    return df.withColumn(name, bag.asNondeterministic()(F.lower(F.col(text))))  # evaluated once, wherever it is read
 
 
 def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES) -> DataFrame:
-    """Sparse hashed bag of words, one row per bucket: ``(key, bucket, value)`` (a projection and an explode)."""
-    return with_bow(df.select(key, text), text, "_bow", n_features).select(key, F.inline("_bow"))
-
+    """Sparse hashed bag of words, one row per bucket: ``(key, bucket, value)`` (no shuffle; rows leave Arrow as columns)."""
+    rows = df.select(F.col(key), F.lower(F.col(text)).alias("text" if key != "text" else "_text"))
+    schema = T.StructType([rows.schema.fields[0], T.StructField("bucket", T.LongType()), T.StructField("value", T.DoubleType())])
 
-def hashed_vector_ml(df: DataFrame, text: str, out_col: str = "features",
-                     n_features: int = N_FEATURES) -> DataFrame:
-    """Spark ML form of the same map (murmur3 buckets): tokenizer -> HashingTF -> L2."""
-    from pyspark.ml.feature import HashingTF, Normalizer
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, buckets, values = _normalised(batch.column(1), n_features)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(buckets), pa.array(values)],
+                                             names=[key, "bucket", "value"])
 
-    tok = df.withColumn("_toks", tokens(text))
-    tf = HashingTF(inputCol="_toks", outputCol="_tf", numFeatures=n_features).transform(tok)
-    return Normalizer(inputCol="_tf", outputCol=out_col, p=2.0).transform(tf).drop("_toks", "_tf")
+    return rows.mapInArrow(run, schema)
 
 
 def coerce_text(df: DataFrame, text: str) -> DataFrame:
@@ -120,16 +120,13 @@ def linear_text_decision(df: DataFrame, text: str, weights: Mapping[str, float]
     function, so the bag never leaves it; no shuffle and no join.
     """
     shared = df.sparkSession.sparkContext.broadcast(_dense_weights(weights, n_features))
-    buckets = _Buckets(n_features)
 
     @F.arrow_udf("double")
     def decide(texts: pa.Array) -> pa.Array:
-        rows, at, counts = _counted(texts, buckets)
-        norms = np.sqrt(np.bincount(rows, counts * counts, minlength=len(texts)))
-        dots = np.bincount(rows, counts * shared.value[at], minlength=len(texts))
-        return pa.array(intercept + np.divide(dots, norms, out=np.zeros(len(texts)), where=norms > 0))
+        rows, at, values = _normalised(texts, n_features)
+        return pa.array(intercept + np.bincount(rows, values * shared.value[at], minlength=len(texts)))
 
-    return df.withColumn(name, decide(F.lower(F.col(text))))
+    return df.withColumn(name, decide.asNondeterministic()(F.lower(F.col(text))))  # evaluated once, wherever it is read
 
 
 def linear_bow_decision(df: DataFrame, weights: Mapping[str, float] | np.ndarray, intercept: float, bow: str = "bow",

@@ -88,16 +88,24 @@ def test_metrics_long(spark):
     assert got == {"accuracy": 0.5, "f1": 0.25}
 
 
-def test_hashing_tf_path_is_unit_norm(spark):
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.sql import functions as F
-
-    from rivulet.operators.text import hashed_bow, hashed_vector_ml
-    df = spark.createDataFrame([(1, "Été été de la mer"), (2, "a b cc cc dd")], "doc_id long, text string")
-    v = hashed_vector_ml(df, "text").select("doc_id", vector_to_array("features").alias("a"))
-    norms = {r["doc_id"]: r["n"] for r in v.select("doc_id", F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x)
-                                                  .alias("n")).collect()}
-    assert all(abs(n - 1.0) < 1e-12 for n in norms.values())
-    nnz = {r["doc_id"]: r["c"] for r in hashed_bow(df, "doc_id", "text").groupBy("doc_id").count()
-           .withColumnRenamed("count", "c").collect()}
-    assert nnz == {1: 4, 2: 2}
+def test_hashed_bags_equal_a_plain_count(spark):
+    import math
+    import re
+    from collections import Counter
+
+    from rivulet.operators.text import bucket_of_py, hashed_bow, linear_text_decision, with_bow
+    texts = ["Été été de la mer", "a b cc cc dd", None, "", "x y z", "日本語 ünïcode_x 12 1 ½½ 𝔘𝔫 é́é", "a" * 9000 + " bb" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "text_id int, text string")
+    for n in (1 << 20, 1000):  # a power of two and another size
+        want = {}
+        for i, t in enumerate(texts):
+            counts = Counter(bucket_of_py(w, n) for w in re.findall(r"\w{2,}", (t or "").lower()))
+            norm = math.sqrt(sum(c * c for c in counts.values()))
+            want |= {(i, b): c / norm for b, c in counts.items()}
+        got = {(r["text_id"], r["bucket"]): r["value"] for r in hashed_bow(df, "text_id", "text", n).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
+        bags = {(r["text_id"], b["bucket"]): b["value"] for r in with_bow(df, "text", "bag", n).collect() for b in r["bag"]}
+        assert bags == got
+        for r in linear_text_decision(df, "text", {"cc": 2.0, "été": -1.0}, 0.25, n_features=n).collect():
+            z = sum(v * (2.0 * (b == bucket_of_py("cc", n)) - (b == bucket_of_py("été", n))) for (i, b), v in want.items() if i == r["text_id"])
+            assert abs(r["decision"] - 0.25 - z) < 1e-12
