@@ -8,8 +8,8 @@ texts are compressed in blocks of ``BLOCK_BYTES``, each with the fresh
 dictionary, and the sizes are summed: in one piece, a text soon is its own
 dictionary and the margin would shrink with its length.
 
-The dictionaries are fitted on a bounded sample: about ``SAMPLE_ROWS`` labelled
-rows for each language, chosen by a hash of id and text among texts of every
+The dictionaries are fitted on a bounded sample: the ``SAMPLE_ROWS`` labelled
+rows of each language whose hash of id and text is least, among texts of every
 length, and ``DICTIONARY_BYTES`` of their text.  A text gives its first
 ``SAMPLE_TEXT_BYTES``, or more where a language has too few rows to fill its
 dictionary otherwise.  Prediction is row-local over whole texts; what is sent
@@ -23,12 +23,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 DICTIONARY_BYTES = 256 << 10
 SAMPLE_ROWS = 300
+#: Languages that are learned at most: those with the most different labelled rows.
+MOST_LANGUAGES = 256
 #: Bytes that one text gives to a dictionary which has texts enough.
 SAMPLE_TEXT_BYTES = 8 << 10
 LEVEL = 6
@@ -46,34 +49,34 @@ def normalised(text: str) -> bytes:
 
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         dictionary_bytes: int = DICTIONARY_BYTES, sample_rows: int = SAMPLE_ROWS,
-        sample_text_bytes: int = SAMPLE_TEXT_BYTES) -> dict[str, bytes]:
+        sample_text_bytes: int = SAMPLE_TEXT_BYTES, most_languages: int = MOST_LANGUAGES) -> dict[str, bytes]:
     """Raw dictionary content of each language, from rows whose text and language are not null.
 
-    Every language that labels a text is learned, however long its texts are.
-    Of a chosen text the first ``sample_text_bytes`` are taken; of each text of
-    a language with fewer than ``dictionary_bytes / sample_text_bytes`` rows,
-    an equal share of the dictionary.
+    Every language that labels a text is learned, however long its texts are
+    and however often a row is repeated: a row counts once for its language.
+    Only where a label column holds more than ``most_languages`` values the
+    ones with the fewest different rows are left out (ties by name), so that
+    what the driver holds and sends stays bounded.  Of a chosen text the first
+    ``sample_text_bytes`` are taken; of each text of a language with fewer than
+    ``dictionary_bytes / sample_text_bytes`` rows, an equal share of the dictionary.
     """
-    rows = labelled.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
+    rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each language
-    if not counts:
+    keys = rows.select("lang", "key").distinct()  # numbers only: repeated rows leave each task once
+    found = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    if not found:
         return {}
-    shares = {name: min(1.0, sample_rows / n) for name, n in counts.items()}
-    takes = {name: max(sample_text_bytes, dictionary_bytes // min(n, sample_rows)) for name, n in counts.items()}
-
-    def of_lang(values: dict[str, int]) -> Column:
-        return F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])[F.col("lang")]
-
-    key = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
-    bound = of_lang({name: int(share * (1 << 30)) for name, share in shares.items()})
-    sample = rows.withColumn("key", key).where(F.col("key") < bound).select(
-        "lang", "key", F.substring("text", F.lit(1), of_lang(takes)).alias("text"))
-    found: dict[str, bytes] = {name: b"" for name in sorted(counts)}
-    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["key"], r["text"])):
-        if len(found[r["lang"]]) < dictionary_bytes:
-            found[r["lang"]] += normalised(r["text"])[:takes[r["lang"]]] + b" "
-    return {name: content for name, content in found.items() if content}
+    takes = {r["lang"]: max(sample_text_bytes, dictionary_bytes // min(r["n"], sample_rows)) for r in found}
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("key"))
+    chosen = keys.where(F.col("lang").isin(sorted(takes))).withColumn("rank", rank).where(F.col("rank") <= sample_rows)
+    take = F.create_map(*[F.lit(x) for pair in sorted(takes.items()) for x in pair])[F.col("lang")]
+    sample = rows.join(F.broadcast(chosen.drop("rank")), ["lang", "key"]).groupBy("lang", "key").agg(
+        F.min(F.substring("text", F.lit(1), take)).alias("text"))
+    content: dict[str, bytes] = {name: b"" for name in sorted(takes)}
+    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["key"])):  # at most sample_rows of each language
+        if len(content[r["lang"]]) < dictionary_bytes:
+            content[r["lang"]] += normalised(r["text"])[:takes[r["lang"]]] + b" "
+    return {name: c for name, c in content.items() if c}
 
 
 def classifier(dictionaries: dict[str, bytes]):

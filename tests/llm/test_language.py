@@ -76,3 +76,55 @@ def test_languages_whose_texts_are_all_long_are_learned(spark, table):
     assert [(r["lang_pred"], r["rejected"]) for r in found] == [("de", False), ("fr", False)]
     less = L.fit(make_docs(spark, texts, langs=["de", "en", "en", "fr", "en"]), dictionary_bytes=3000, sample_text_bytes=100)
     assert len(less["de"]) == 3001 and len(less["en"]) <= 3003
+
+
+@pytest.mark.parametrize("times", [50_000, 200_000])
+def test_a_labelled_row_that_is_repeated_counts_once(spark, table, times):
+    train = table.where(F.col("doc_id") % 5 > 0)
+    one = train.where((F.col("lang") == "en") & (F.octet_length("text") < 500)).orderBy("doc_id").limit(1)
+    again = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("copy")
+    assert L.fit(train.unionByName(again)) == L.fit(train)
+
+
+def test_languages_beyond_the_limit_are_those_with_the_fewest_rows(spark):
+    texts = [f"word{i} and more" for i in range(9)]
+    docs = make_docs(spark, texts, langs=["a", "a", "a", "b", "b", "c", "d", "d", "d"])
+    assert sorted(L.fit(docs, most_languages=3)) == ["a", "b", "d"]
+    assert sorted(L.fit(docs)) == ["a", "b", "c", "d"]
+
+
+def slow_classify(dictionaries, text):
+    """The language and margin of one text, block by block with coders made anew for each."""
+    import zstandard
+
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    if not dictionaries or not any(map(str.isalpha, text or "")):
+        return "und", 0.0
+    data = L.normalised(text)
+    assert data.decode().split() == words.split()
+    sizes = []
+    for name, content in dictionaries.items():
+        size = 0
+        for i in range(0, len(data), 32 * 1024):
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=6)
+            coder = zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_dict_id=False, write_checksum=False)
+            size += len(coder.compress(data[i:i + 32 * 1024]))
+        sizes.append((size, name))
+    best, second = sorted(sizes)[:2]
+    return best[1], 1 - best[0] / second[0]
+
+
+def test_predictions_equal_the_slow_classifier_and_dictionaries_the_slow_choice(spark, table):
+    few = table.where(F.col("doc_id") % 4 == 0)
+    learned = L.fit(few, sample_rows=20)
+    rows = few.where("lang IS NOT NULL AND text <> ''").select("lang", "text", F.xxhash64("doc_id", "text").alias("key")).collect()
+    for lang in ("de", "en", "es", "fr"):
+        least = sorted({(r["key"], r["text"]) for r in rows if r["lang"] == lang})[:20]
+        content, take = b"", max(L.SAMPLE_TEXT_BYTES, L.DICTIONARY_BYTES // 20)
+        for _, text in least:
+            if len(content) < L.DICTIONARY_BYTES:
+                content += L.normalised(text[:take])[:take] + b" "
+        assert learned[lang] == content
+    found = L.predict(few, learned).select("text", "lang_pred", "score").collect()
+    assert [(r["lang_pred"], r["score"]) for r in found] == [slow_classify(learned, r["text"]) for r in found]
