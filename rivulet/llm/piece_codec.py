@@ -163,8 +163,10 @@ class _Numbers(dict):
 class Codec:
     """Ids from texts and texts from ids."""
 
-    def __init__(self, data: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
+    def __init__(self, data: bytes, threads: int = 1):
+        # the library's pool is made at its first call in a process: as many threads as Spark gives a task cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
+        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         self.model = Model.parse(data)
         self.tokenizer = self.model.tokenizer()
         self.known = _Numbers()
@@ -243,8 +245,8 @@ class Codec:
 
 
 @functools.lru_cache(1)
-def _codec(data: bytes) -> Codec:
-    return Codec(data)
+def _codec(data: bytes, threads: int) -> Codec:
+    return Codec(data, threads)
 
 
 @functools.lru_cache(1)
@@ -258,16 +260,18 @@ def encode_decode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
     """``doc_id, ids, decoded, n_tokens, ids_crc32, parity`` of every row.
 
     ``model`` is the content of a model file.  ``parity`` says whether
-    sentencepiece gives the same ids (null without ``verify``).  Null text
+    sentencepiece gives the same ids (null without ``verify``).  Both
+    libraries encode a batch with as many threads as ``spark.task.cpus`` gives a task.  Null text
     counts as empty and has no ids; null ids and repeated rows pass; further
     columns are ignored; an empty table gives no rows.
     """
     frame = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    context = docs.sparkSession.sparkContext
+    shared, threads = context.broadcast(model), int(context.getConf().get("spark.task.cpus", "1"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
+        codec = _codec(shared.value, threads)
         for batch in batches:
             texts = batch.column("__text")
             for a, b in chunks(pc.binary_length(texts).to_pylist()):
@@ -276,7 +280,7 @@ def encode_decode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
                 ids = [x.tolist() for x in arrays]
                 parity: list = [None] * len(some)
                 if verify:
-                    parity = [x == y for x, y in zip(ids, _library(shared.value).encode(some, num_threads=1), strict=True)]
+                    parity = [x == y for x, y in zip(ids, _library(shared.value).encode(some, num_threads=threads), strict=True)]
                 ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
                 listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays)))
                 yield pa.RecordBatch.from_arrays(
