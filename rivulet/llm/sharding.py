@@ -23,14 +23,26 @@ from ..session import scratch_path
 SLOTS = 1 << 14
 SHARDS = 40
 OVERHEAD = 16
+#: Copies of a repeated row that are written out together.
+COPIES = 1024
 
 
 def records(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, slot``: rows with the same id and text share a slot."""
+    """``doc_id, size, text_crc32, slot`` of every row.
+
+    The slot is a hash of id and text; further copies of a row that is
+    repeated whole are hashed with their number, so that no record, however
+    often it is repeated, fills a slot.  Equal rows are counted before they are
+    shuffled and written out again copy by copy.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
     kept = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(t).cast("long") + OVERHEAD).alias("size"),
                        F.crc32(t.cast("binary")).alias("text_crc32"))
-    return kept.withColumn("slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int"))
+    counted = kept.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}"))))
+    copies = runs.withColumn("copy", F.explode(F.sequence(F.col("run") * COPIES, F.least(F.col("n"), (F.col("run") + 1) * COPIES) - 1)))
+    name = F.when(F.col("copy") == 0, F.xxhash64("doc_id", "text_crc32")).otherwise(F.xxhash64("doc_id", "text_crc32", "copy"))
+    return copies.select("doc_id", "size", "text_crc32", F.pmod(name, F.lit(slots)).cast("int").alias("slot"))
 
 
 def rebalance(places: list[int], sizes: list[int], shards: int) -> list[int]:
@@ -92,8 +104,8 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
     ``ordinal`` counts each shard's rows from 0 without gaps.  If ``map_path``
     holds a map, its latest version is edited to fit this table and appended
     as the next one; otherwise version 0 is written first.  Null text has no bytes;
-    null ids are hashed as null; a record repeated whole stays in one slot,
-    which is the finest the map can move; an empty table gives no rows and
+    null ids are hashed as null; the copies of a record repeated whole are
+    spread over the slots; an empty table gives no rows and
     leaves the map as it was dealt; further columns are ignored.
     """
     spark = docs.sparkSession
