@@ -203,62 +203,93 @@ def _place(at: np.ndarray, seeds: tuple[np.ndarray, np.ndarray, np.ndarray], k:
     return run
 
 
-def _bounded(at: np.ndarray, clusters: np.ndarray, widest: np.ndarray, need: np.ndarray):
-    """Each candidate with the clusters that can use it and its bound there."""
+def packs(sizes: dict[int, int]) -> tuple[dict[int, int], list[int]]:
+    """The pack of each cluster, and the blocks of each pack: small clusters share one, a large one is cut.
+
+    A candidate is copied once for each block, whatever clusters the block holds.
+    """
+    own, blocks, room = {}, [], 0
+    for cluster, n in sorted(sizes.items()):
+        if n > room:
+            blocks.append(-(-n // BLOCK_MEMBERS))
+            room = BLOCK_MEMBERS if n <= BLOCK_MEMBERS else 0
+        own[cluster] = len(blocks) - 1
+        room -= min(n, room)
+    return own, blocks
+
+
+def _usable(at: np.ndarray, widest: np.ndarray, need: np.ndarray, own: np.ndarray, n_packs: int):
+    """Each candidate with the packs in which some cluster can use it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bound = bounds(*V.same_width(V.matrix(batch.column("vec")), at[clusters]), widest)
-            r, c = np.nonzero(bound >= need[None, :])
+            usable = bounds(*V.same_width(V.matrix(batch.column("vec")), at), widest) >= need[None, :]
+            some = np.zeros((batch.num_rows, n_packs), bool)
+            for cluster, pack in enumerate(own.tolist()):
+                some[:, pack] |= usable[:, cluster]
+            r, c = np.nonzero(some)
             yield pa.RecordBatch.from_arrays(
-                [*(x.take(pa.array(r)) for x in _columns(batch, ["vec_id", "label", "vec", "block"])),
-                 pa.array(clusters[c].astype(np.int32)), pa.array(bound[r, c])],
-                names=["vec_id", "label", "vec", "block", "cluster", "bound"])
+                [*(x.take(pa.array(r)) for x in _columns(batch, ["vec_id", "label", "vec", "block"])), pa.array(c.astype(np.int32))],
+                names=["vec_id", "label", "vec", "block", "pack"])
 
     return run
 
 
-def _walk_block(k: int, same: bool):
-    """One block of a cluster's members walks one block of its list."""
+def _walk_block(at: np.ndarray, widest: dict[int, float], k: int, same: bool):
+    """The clusters of one block of members walk one block of candidates, each in the order of its own bounds."""
+    names = ["vec_id", "digest", "label", "own", "slot", "candidate", "score"]
+
     def run(anchors: pa.Table, rows: pa.Table) -> pa.Table:
-        m = _members(anchors, k, same)
-        m.rows, listed = V.same_width(m.rows, V.matrix(rows.column("vec")))
-        walk(m, listed, V.ids(rows.column("vec_id")), rows.column("label").to_numpy(), rows.column("bound").to_numpy())
-        who, slot, score, name = m.result()
-        own = np.einsum("ij,ij->i", m.rows, m.rows)
-        at = pa.array(who)
-        return pa.Table.from_arrays([anchors.column("vec_id").take(at), anchors.column("digest").take(at),
-                                     anchors.column("label").take(at), pa.array(own[who]), pa.array(slot.astype(np.int32)),
-                                     V.id_array(name), pa.array(score)],
-                                    names=["vec_id", "digest", "label", "own", "slot", "candidate", "score"])
+        listed, labels, ids = V.matrix(rows.column("vec")), rows.column("label").to_numpy(), V.ids(rows.column("vec_id"))
+        clusters = anchors.column("cluster").to_numpy()
+        out = []
+        for cluster in np.unique(clusters).tolist():
+            table = anchors.filter(pa.array(clusters == cluster))
+            m = _members(table, k, same)
+            m.rows, own_rows, centre = V.same_width(m.rows, listed, at[cluster:cluster + 1])
+            walk(m, own_rows, ids, labels, bounds(own_rows, centre, np.array([widest[cluster]]))[:, 0])
+            who, slot, score, name = m.result()
+            own, place = np.einsum("ij,ij->i", m.rows, m.rows), pa.array(who)
+            out.append(pa.Table.from_arrays(
+                [*(table.column(n).take(place) for n in names[:3]), pa.array(own[who]), pa.array(slot.astype(np.int32)),
+                 V.id_array(name), pa.array(score)], names=names))
+        return pa.concat_tables(out) if out else _FOUND.empty_table()
 
     return run
 
 
+_FOUND = pa.schema([("vec_id", pa.int64()), ("digest", pa.int64()), ("label", pa.int32()), ("own", pa.int64()),
+                    ("slot", pa.int32()), ("candidate", pa.int64()), ("score", pa.int64())])
+
+
 def _walked(rows: DataFrame, anchors: DataFrame, at: np.ndarray, seeds, k: int, same: bool) -> DataFrame:
     """What each window of each anchor keeps, block by block: ``vec_id, digest, label, own, slot, candidate, score``."""
     spark = rows.sparkSession
     placed = materialize(anchors.mapInArrow(_place(at, seeds, k, same), _PLACED), "anchors")
     found = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("widest").alias("widest"),
-                                          F.min("unit_need").alias("need")).orderBy("cluster").collect()
+                                          F.min("unit_need").alias("need")).orderBy("cluster").collect()  # one row for each cluster
+    own, blocks = packs({r["cluster"]: r["n"] for r in found})
     clusters = np.array([r["cluster"] for r in found], np.int64)
-    splits = [0] * len(at)
-    for r in found:
-        splits[r["cluster"]] = -(-r["n"] // BLOCK_MEMBERS)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = rows.count()
-    n_blocks = max(1, -(-n // BLOCK_ROWS), min(-(-tasks // max(1, sum(splits))), n // LEAST_ROWS))
+    n_blocks = max(1, -(-n // BLOCK_ROWS), min(-(-tasks // max(1, sum(blocks))), n // LEAST_ROWS))
     here = F.monotonically_increasing_id()  # of written tables: the same in every attempt
-    split_of = F.element_at(F.array(*[F.lit(s) for s in splits]), F.col("cluster") + 1)
-    left = (placed.withColumn("part", (here % split_of).cast("int"))
+
+    def pick(values: list[int], index: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values or [0]]), index + 1)
+
+    left = (placed.withColumn("pack", pick([own.get(c, 0) for c in range(len(at))], F.col("cluster")))
+            .withColumn("part", (here % pick(blocks, F.col("pack"))).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-            .select("cluster", "part", "block", "vec_id", "digest", "label", "vec", "low", "high"))
+            .select("pack", "part", "block", "vec_id", "digest", "label", "vec", "low", "high", "cluster"))
+    usable = _usable(at[clusters], np.array([r["widest"] for r in found]), np.array([r["need"] for r in found]),
+                     np.array([own[c] for c in clusters.tolist()], np.int64), len(blocks))
     right = (rows.withColumn("block", (here % n_blocks).cast("int")).select("vec_id", "label", "vec", "block")
-             .mapInArrow(_bounded(at, clusters, np.array([r["widest"] for r in found]), np.array([r["need"] for r in found])),
-                         "vec_id long, label int, vec array<long>, block int, cluster int, bound double")
-             .withColumn("part", F.explode(F.sequence(F.lit(0), split_of - 1))))
-    key = ["cluster", "part", "block"]
+             .mapInArrow(usable, "vec_id long, label int, vec array<long>, block int, pack int")
+             .withColumn("part", F.explode(F.sequence(F.lit(0), pick(blocks, F.col("pack")) - 1))))
+    key = ["pack", "part", "block"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _walk_block(k, same), "vec_id long, digest long, label int, own long, slot int, candidate long, score long")
+        _walk_block(at, {r["cluster"]: r["widest"] for r in found}, k, same),
+        "vec_id long, digest long, label int, own long, slot int, candidate long, score long")
 
 
 def _padded(rows: list[list[int]]) -> np.ndarray:
