@@ -199,18 +199,38 @@ def blocks(rows: int, most: int, least: int, tasks: int) -> int:
     return max(1, -(-rows // most), min(tasks, rows // least))
 
 
-def _numbered(counts: dict[int, int], most: int, least: int, tasks: int, top: int) -> tuple[list[int], list[int]]:
+def _row_blocks(counts: dict[int, int], tasks: int, top: int) -> tuple[list[int], list[int]]:
     """Per class 0 to ``top``: the number of its first block and its blocks; the last entry of the first is their sum."""
     total = max(1, sum(counts.values()))
     first, splits = [0], []
     for c in range(top + 1):
         n = counts.get(c, 0)
-        share = max(1, round(tasks * n / total))
-        splits.append(blocks(n, most, least, share) if n else 0)
+        splits.append(blocks(n, BLOCK_ROWS, LEAST_ROWS, max(1, round(tasks * n / total))) if n else 0)
         first.append(first[-1] + splits[-1])
     return first, splits
 
 
+def _query_blocks(counts: dict[int, int], top: int) -> tuple[list[int], list[int], list[int]]:
+    """Per class of needed length: its first block, its blocks, and the blocks that classes up to it begin.
+
+    Neighbouring classes share a block while they fill no block of their own,
+    so that rows are not copied to many small ones.
+    """
+    first, splits, begun, group = [0] * (top + 1), [0] * (top + 1), [], []
+    used = size = 0
+    for c in range(top + 1):
+        n = counts.get(c, 0)
+        if n and group and size + n > BLOCK_QUERIES:
+            used, size, group = used + splits[group[0]], 0, []
+        if n:
+            group.append(c)
+            size += n
+            for g in group:
+                first[g], splits[g] = used, -(-size // BLOCK_QUERIES)
+        begun.append(used + (splits[group[0]] if group else 0))
+    return first, splits, begun
+
+
 def _pick(values: list[int], at: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), at + 1)
 
@@ -242,15 +262,15 @@ def top_products(frame: DataFrame, is_query: Column, k: int = K, scale: int = SC
     n_rows, n_asked = ({r["class"]: r["count"] for r in x.groupBy("class").count().collect()} for x in (rows, asked))
     top = max([0, *n_rows, *n_asked])
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first_row, row_splits = _numbered(n_rows, BLOCK_ROWS, LEAST_ROWS, tasks, top)
-    first_asked, asked_splits = _numbered(n_asked, BLOCK_QUERIES, BLOCK_QUERIES, 1, top)
+    first_row, row_splits = _row_blocks(n_rows, tasks, top)
+    first_asked, asked_splits, begun = _query_blocks(n_asked, top)
     here = F.monotonically_increasing_id()  # of a written table: the same in every attempt
     left = (asked.withColumn("q_block", (_pick(first_asked, F.col("class")) + here % _pick(asked_splits, F.col("class"))).cast("int"))
             .withColumn("from", _pick(first_row, F.col("class"))).where(F.col("from") < first_row[-1])
             .withColumn("p_block", F.explode(F.sequence("from", F.lit(first_row[-1] - 1))))
             .select("q_block", "p_block", "vec_id", "digest", "vec", "least"))
     right = (rows.withColumn("p_block", (_pick(first_row, F.col("class")) + here % _pick(row_splits, F.col("class"))).cast("int"))
-             .withColumn("to", _pick(first_asked[1:], F.col("class"))).where(F.col("to") > 0)
+             .withColumn("to", _pick(begun, F.col("class"))).where(F.col("to") > 0)
              .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("to") - 1)))
              .select("q_block", "p_block", "vec_id", "vec"))
     hits = left.groupBy("q_block", "p_block").cogroup(right.groupBy("q_block", "p_block")).applyInArrow(

@@ -138,6 +138,20 @@ def test_components_past_a_long_do_not_stop_the_job(spark):
     mined(table(spark, rows), 10)
 
 
+def test_small_query_classes_share_a_block_and_large_ones_are_cut(monkeypatch):
+    monkeypatch.setattr(TP, "BLOCK_QUERIES", 10)
+    first, splits, begun = TP._query_blocks({1: 4, 2: 5, 4: 3, 5: 25, 7: 1}, 8)
+    assert [first[c] for c in (1, 2, 4, 5, 7)] == [0, 0, 1, 2, 5]
+    assert [splits[c] for c in (1, 2, 4, 5, 7)] == [1, 1, 1, 3, 1]
+    assert begun == [0, 1, 1, 1, 2, 5, 5, 6, 6]  # blocks whose queries a row of that class may serve
+
+
+def test_small_clusters_share_a_pack_and_large_ones_are_cut(monkeypatch):
+    monkeypatch.setattr(HN, "BLOCK_MEMBERS", 10)
+    assert HN.packs({0: 4, 1: 6, 3: 2, 4: 25, 5: 9}) == ({0: 0, 1: 0, 3: 1, 4: 2, 5: 3}, [1, 1, 3, 1])
+    assert HN.packs({}) == ({}, [])
+
+
 def test_both_prunings_are_chosen_and_leave_out_products():
     """Narrow cosines go by coordinates, wide ones by length, and either verifies fewer products than there are."""
     g = np.random.default_rng(1)
