@@ -60,7 +60,8 @@ def pa_step_size(y_pm: F.Column, decision: F.Column, sqnorm: F.Column, c: float
 
 # ------------------------------------------------------------ batch learners
 
-FIT_TOLERANCE = 1e-12  # so that the gradient vanishes at the fitted weights
+TOLERANCE = 1e-6
+EXACT = 1e-12  # the solver runs on until the gradient vanishes at the fitted weights
 
 
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -69,7 +70,7 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def fit_logistic(df: DataFrame, features: Sequence[str], label: str, weight_col: str | None = None,
-                 alpha: float = ALPHA, max_iter: int = 100) -> dict:
+                 alpha: float = ALPHA, max_iter: int = 100, tol: float = TOLERANCE) -> dict:
     """Weighted L2 logistic regression; ``standardization=False`` keeps alpha's meaning.
 
     Spark ML's L-BFGS at any width (gradients are summed by tree aggregation,
@@ -78,7 +79,7 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, weight_col:
     """
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(featuresCol="_x", labelCol=label, regParam=alpha, elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=FIT_TOLERANCE, family="binomial")
+                            standardization=False, maxIter=max_iter, tol=tol, family="binomial")
     if weight_col:
         lr = lr.setWeightCol(weight_col)
     cols = [c for c in df.columns if c in {*features, "_x", label, weight_col}]
@@ -92,19 +93,19 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, alpha: float
     """L2 least squares: minimise (1/2n)||y - Xw - b||^2 + (alpha/2)||w||^2 (Spark ML)."""
     from pyspark.ml.regression import LinearRegression
     lr = LinearRegression(featuresCol="_x", labelCol=label, regParam=alpha, elasticNetParam=0.0,
-                          standardization=False, tol=FIT_TOLERANCE)
+                          standardization=False, tol=EXACT)
     m = lr.fit(_assemble(df.select(*features, label), features))
     return {"features": list(features), "coef": [float(v) for v in m.coefficients],
             "intercept": float(m.intercept)}
 
 
 def fit_ovr(df: DataFrame, features: Sequence[str], label: str, classes: Sequence,
-            alpha: float = ALPHA) -> dict:
+            alpha: float = ALPHA, tol: float = TOLERANCE) -> dict:
     """One-vs-rest: one binary logistic model per class over a frame cached once."""
     base = _assemble(df.select(*features, label), features).select("_x", label).persist()
     try:
         return {c: fit_logistic(base.select("_x", (F.col(label) == F.lit(c)).cast("double").alias("_y")),
-                                features, "_y", alpha=alpha) for c in classes}
+                                features, "_y", alpha=alpha, tol=tol) for c in classes}
     finally:
         base.unpersist()
 
@@ -125,7 +126,7 @@ def poisson_weight(key: str | F.Column, seed: int) -> F.Column:
 
 def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n_members: int = N_MEMBERS,
                  weight_col: str | None = None, seed: int = SEED, alpha: float = ALPHA,
-                 max_iter: int = 100) -> list[dict]:
+                 max_iter: int = 100, tol: float = TOLERANCE) -> list[dict]:
     """``n_members`` logistic fits that differ by a Poisson(1) bootstrap weight.
 
     (A convex solver on identical data would return identical members; the
@@ -141,7 +142,7 @@ def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n
             if weight_col:
                 w = w * F.col(weight_col)
             b = base.select("_x", label, w.alias("_bw")).where(F.col("_bw") > 0)
-            members.append(fit_logistic(b, features, label, "_bw", alpha=alpha, max_iter=max_iter))
+            members.append(fit_logistic(b, features, label, "_bw", alpha=alpha, max_iter=max_iter, tol=tol))
         return members
     finally:
         base.unpersist()

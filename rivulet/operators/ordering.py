@@ -26,22 +26,24 @@ def with_row_index(df: DataFrame, order_col: str, name: str = "row_index",
     ``spark.sql.shuffle.partitions``.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(order_col), *(F.col(c) for c in tiebreak or []), F.col("_in")]
-    dealt = (df.withColumn("_in", F.monotonically_increasing_id())
-             .repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_in")
-             .withColumn("_mid", F.monotonically_increasing_id()))
+    own = "_".join(["at", *df.columns])  # names that no column has
+    rest = [c for c in df.columns if c != name]
+    order = [F.col(order_col), *(F.col(c) for c in tiebreak or []), F.col(own)]
+    dealt = (df.withColumn(own, F.monotonically_increasing_id())
+             .repartitionByRange(n, *order).sortWithinPartitions(*order)
+             .withColumn(own, F.monotonically_increasing_id()))
     placed = materialize(dealt, "row-index")
-    part = F.shiftright("_mid", _PLACE_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (placed.withColumn("_part", part).join(offsets, "_part")
-            .withColumn(name, (F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).cast("long"))
-            .drop("_part", "_mid", "_off"))
+    part, known = F.shiftright(own, _PLACE_BITS), f"{own}_part"
+    sizes = placed.groupBy(part.alias(known)).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(known).rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    offsets = sizes.select(known, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(f"{own}_before"))
+    return (placed.join(offsets, part == F.col(known))
+            .withColumn(name, (F.col(f"{own}_before") + F.col(own).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).cast("long"))
+            .select(*rest, name))
 
 
 def chunk_numbers(df: DataFrame, order_col: str, batch_size: int, name: str = "chunk_id",
                   **kw) -> DataFrame:
     """Chunk id of each row: ``floor(position / batch_size)`` in ``order_col`` order."""
-    idx = with_row_index(df, order_col, name="_pos", **kw)
-    return idx.withColumn(name, F.floor(F.col("_pos") / F.lit(batch_size)).cast("long")).drop("_pos")
+    idx = with_row_index(df, order_col, name=name, **kw)
+    return idx.withColumn(name, F.floor(F.col(name) / F.lit(batch_size)).cast("long"))

@@ -6,13 +6,18 @@ load the latest run and score with what the row holds.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions.constants import ALPHA
 from ..functions.exprs import r6
 from ..operators import features as FE
+from ..operators import incremental as IN
 from ..session import scratch_path
 from ..sources import artefacts as AR
+from .catalog_learn import scaled_train
 from .catalog_model import OVR_CONF_SQL, OVR_PRED_SQL, moments_sql, ovr_base_sql, scaled_select_sql, train_rows
+from .catalog_train import EPOCHS, RATE, SCALED_ROWS_SQL, resumed, trace_sql
 from .fixtures import (BINARY_FEATURES, MULTI_CLASSES, REGRESSION, lit_sql, load, ovr_models, r6_sql, sigmoid_sql)
 from .registry import query
 
@@ -38,15 +43,11 @@ def _store(spark, name: str, artefact) -> str:
 
 
 def _credit_sql() -> str:
-    kernel = [f"exp({lit_sql(-GAMMA)} * (" + " + ".join(
-        f"({f} - {lit_sql(v)}) * ({f} - {lit_sql(v)})" for f, v in zip(BINARY_FEATURES, b, strict=True)) + f")) AS k{j}" for j, b in enumerate(BASIS)]
-    phi = [" + ".join(f"{lit_sql(n)} * k{j}" for j, n in enumerate(row)) + f" AS phi{i}" for i, row in enumerate(NORMALISER)]
+    rows = f"SELECT l.l_orderkey, l.l_linenumber, {scaled_select_sql()} FROM lineitem l, {moments_sql()} m"
     members = [sigmoid_sql(" + ".join([lit_sql(m["intercept"])] + [f"{lit_sql(c)} * {f}" for f, c in zip(m["features"], m["coef"], strict=True)]))
                for m in credit_members()]
     return f"""
-WITH z AS (SELECT l.l_orderkey, l.l_linenumber, {scaled_select_sql()} FROM lineitem l, {moments_sql()} m),
-     k AS (SELECT l_orderkey, l_linenumber, {', '.join(kernel)} FROM z),
-     f AS (SELECT l_orderkey, l_linenumber, {', '.join(phi)} FROM k),
+WITH f AS ({_phi_sql(rows, ['l_orderkey', 'l_linenumber'])}),
      p AS (SELECT l_orderkey, l_linenumber, ({' + '.join(members)}) / {lit_sql(len(members))} AS p FROM f)
 SELECT l_orderkey, l_linenumber, {r6_sql('p')} AS probability, CAST(p >= 0.45 AS INTEGER) AS predicted FROM p
 """
@@ -110,3 +111,48 @@ def q_artefact_stamp(spark, d):
     table = spark.createDataFrame(rows, "feature string, mean double, scale double, run_id string, mode string, same_engine boolean, later_than_stored boolean")
     stamp = spark.read.schema(AR.SCHEMA).parquet(f"{path}/runs").agg(F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss")).first()[0]
     return table.withColumn("created_at", F.lit(stamp)).withColumns({"mean": r6("mean"), "scale": r6("scale")})
+
+
+KERNEL = {"gamma": GAMMA, "features": BINARY_FEATURES, "basis": np.array(BASIS), "normaliser": np.array(NORMALISER)}
+
+
+def _phi_sql(rows: str, keep: list[str]) -> str:
+    """The kernel's components of scaled rows, beside the columns ``keep``."""
+    kernel = [f"exp({lit_sql(-GAMMA)} * (" + " + ".join(
+        f"({f} - {lit_sql(v)}) * ({f} - {lit_sql(v)})" for f, v in zip(BINARY_FEATURES, b, strict=True)) + f")) AS k{j}" for j, b in enumerate(BASIS)]
+    phi = [" + ".join(f"{lit_sql(n)} * k{j}" for j, n in enumerate(row)) + f" AS phi{i}" for i, row in enumerate(NORMALISER)]
+    return f"SELECT {', '.join(keep + phi)} FROM (SELECT {', '.join(keep + kernel)} FROM ({rows}))"
+
+
+@query("train_kernel_epochs", "M2,M3,M10", lambda: trace_sql(
+    _phi_sql(SCALED_ROWS_SQL, ["y", "cw"]), COMPONENTS, {"0": ("y", "cw")}, "log", RATE, ALPHA))
+def q_train_kernel_epochs(spark, d):
+    """Training over kernel components that are made block by block inside the pass and never stored."""
+    tr, _ = scaled_train(spark, d)
+    rows = IN.dense_rows(tr, BINARY_FEATURES, [F.col("label")], [F.col("cw")])
+    learner = IN.Learner("log", tuple(COMPONENTS), lr=RATE, feature_map=IN.mapped_features(KERNEL))
+    return resumed(spark, rows, learner, "m2")
+
+
+def _trained_score_sql() -> str:
+    trace = trace_sql(_phi_sql(SCALED_ROWS_SQL, ["y", "cw"]), COMPONENTS, {"0": ("y", "cw")}, "log", RATE, ALPHA, rounded=False)
+    last = f"SELECT feature, coef FROM ({trace}) WHERE version = {EPOCHS}"
+    wide = ", ".join(f"max(CASE WHEN feature = '{c}' THEN coef END) AS w_{c}" for c in [*COMPONENTS, "_intercept"])
+    z = " + ".join([f"w_{c} * {c}" for c in COMPONENTS] + ["w__intercept"])
+    rows = f"SELECT l.l_orderkey, l.l_linenumber, {scaled_select_sql()} FROM lineitem l, {moments_sql()} m"
+    return f"""
+WITH w AS (SELECT {wide} FROM ({last})), p AS ({_phi_sql(rows, ['l_orderkey', 'l_linenumber'])})
+SELECT l_orderkey, l_linenumber, {r6_sql(sigmoid_sql(z))} AS probability FROM p, w
+"""
+
+
+@query("train_store_score", "M2,M3,M10,M11,S10,S11", _trained_score_sql)
+def q_train_store_score(spark, d):
+    """The whole way: trained by epochs over kernel components, stored with scaler and kernel, loaded and scored."""
+    tr, mom = scaled_train(spark, d)
+    learner = IN.Learner("log", tuple(COMPONENTS), lr=RATE, feature_map=IN.mapped_features(KERNEL))
+    done = IN.train(IN.dense_rows(tr, BINARY_FEATURES, [F.col("label")], [F.col("cw")]), learner, scratch_path(spark, "m3"), EPOCHS)
+    path = scratch_path(spark, "trained")
+    AR.save(spark, path, AR.Artefact("credit", AR.ENSEMBLE, list(done.models().values()), mom, KERNEL, threshold=0.5), "run-1")
+    out = AR.score(load(spark, d, "lineitem"), AR.load(spark, path, "credit"))
+    return out.select("l_orderkey", "l_linenumber", r6("probability").alias("probability"))

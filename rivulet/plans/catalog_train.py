@@ -35,7 +35,7 @@ def resumed(spark, rows, learner, name, epochs=EPOCHS):
 
 
 def trace_sql(rows: str, features: list[str], outputs: dict[str, tuple[str, str]], loss: str, lr: float, alpha: float,
-              epochs: int = EPOCHS) -> str:
+              epochs: int = EPOCHS, rounded: bool = True) -> str:
     """Weights after every epoch of exact gradient steps; outputs: name -> (target, weight) over the columns of ``rows``."""
     names = [*features, "_intercept"]
     cells = {(o, f): f"w{k}_{j}" for k, o in enumerate(outputs) for j, f in enumerate(names)}
@@ -54,7 +54,7 @@ def trace_sql(rows: str, features: list[str], outputs: dict[str, tuple[str, str]
             step.append(f"{shrink} - {lit_sql(lr)} * {grad} AS {c}")
         ctes.append(f"s{e} AS (SELECT r.*, p.*, {', '.join(resid)} FROM r, e{e - 1} p)")
         ctes.append(f"e{e} AS (SELECT {', '.join(step)} FROM s{e})")
-    out = [f"SELECT CAST({e} AS INTEGER) AS version, '{o}' AS output, '{f}' AS feature, {r6_sql(c)} AS coef FROM e{e}"
+    out = [f"SELECT CAST({e} AS INTEGER) AS version, '{o}' AS output, '{f}' AS feature, {r6_sql(c) if rounded else c} AS coef FROM e{e}"
            for e in range(1, epochs + 1) for (o, f), c in cells.items()]
     return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(out)
 

@@ -133,7 +133,9 @@ def manifest(listing: DataFrame, job_col: str = "job_id") -> DataFrame:
     """One JSON manifest per job: ``{job_id, files[], integrity_warnings[]}``.
 
     Files are sorted by path; warnings hold the names of zero-byte files.  The
-    document of a job is one row; :func:`manifest_rows` keeps its files apart.
+    document of a job is one row, so this form is for jobs of up to some
+    hundred thousand files (a row holds at most 2 GB);
+    :func:`manifest_rows` keeps the files of any job apart.
     """
     st = file_status(listing)
     entry = F.struct(F.col("path"), F.col("size_bytes"), F.col("status"))

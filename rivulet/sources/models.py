@@ -48,15 +48,6 @@ def write_params(spark: SparkSession, path: str, run_id: str, created_at: str, r
     out.write.mode("append").parquet(path)
 
 
-def write_param_frame(params: DataFrame, path: str, run_id: str, created_at: str,
-                      engine_version: str | None = None) -> None:
-    """Append an already distributed ``(member, feature, mean, scale, coef)`` frame."""
-    out = params.select(F.lit(run_id).alias("run_id"), F.to_timestamp(F.lit(created_at)).alias("created_at"),
-                        F.lit(engine_version or pyspark.__version__).alias("engine_version"),
-                        "member", "feature", "mean", "scale", "coef")
-    out.write.mode("append").parquet(path)
-
-
 def latest_params(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the most recent run (by ``created_at``) of a parameter table."""
     table = spark.read.parquet(path)

@@ -124,7 +124,7 @@ def test_sgd_mixing_close_to_batch(spark):
 
 def test_gradient_zero_at_optimum(spark):
     df = _planted(spark)
-    m = LR.fit_logistic(df, ["a", "b"], "y", alpha=1e-4)
+    m = LR.fit_logistic(df, ["a", "b"], "y", alpha=1e-4, tol=LR.EXACT)
     g = {r["feature"]: r["grad"] for r in LR.logistic_gradient(df, m, "y", None, 1e-4).collect()}
     assert all(abs(v) < 1e-4 for v in g.values())
 
@@ -169,16 +169,16 @@ def _gradient(df, model, label, weight=None):
 def test_gradient_vanishes_at_the_weights(spark):
     df = _planted(spark).withColumn("w", F.lit(1.0) + (F.col("a") > 0).cast("double"))
     w = df.select((F.col("w") / df.agg(F.avg("w")).first()[0]).alias("w"), "a", "b", "y")
-    assert _gradient(w, LR.fit_logistic(df, ["a", "b"], "y", "w"), "y", "w") < 1e-6
+    assert _gradient(w, LR.fit_logistic(df, ["a", "b"], "y", "w", tol=LR.EXACT), "y", "w") < 1e-6
 
 
 def test_ovr_and_ensemble_members(spark):
     df = _planted(spark).withColumn("cls", F.when(F.col("a") > 0.5, "hi").when(F.col("a") < -0.5, "lo")
                                     .otherwise("mid")).withColumn("k", F.monotonically_increasing_id())
-    models = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"])
+    models = LR.fit_ovr(df, ["a", "b"], "cls", ["hi", "lo", "mid"], tol=LR.EXACT)
     for c, m in models.items():
         assert _gradient(df.withColumn("t", (F.col("cls") == c).cast("double")), m, "t") < 1e-6
-    members = LR.fit_ensemble(df, ["a", "b"], "y", "k", n_members=3)
+    members = LR.fit_ensemble(df, ["a", "b"], "y", "k", n_members=3, tol=LR.EXACT)
     assert len(members) == 3 and len({round(m["coef"][0], 6) for m in members}) == 3
 
 
@@ -188,7 +188,7 @@ def test_three_hundred_features(spark):
     y = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=400) > 0).astype(float)
     names = [f"x{i}" for i in range(300)]
     df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], [*names, "y"])
-    assert _gradient(df, LR.fit_logistic(df, names, "y", alpha=LR.ALPHA), "y") < 1e-5
+    assert _gradient(df, LR.fit_logistic(df, names, "y", alpha=LR.ALPHA, tol=LR.EXACT), "y") < 1e-5
 
 
 def test_minibatch_sgd_converges_with_more_epochs(spark):
