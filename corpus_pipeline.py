@@ -31,9 +31,9 @@ def _ready(spark: SparkSession) -> None:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose length, repeats and distributions pass; the references are fitted on this stage's input."""
     _ready(spark)
-    whole = docs.withColumn("__document", F.struct(*docs.columns))
-    judged = quality.judged(whole, quality.references(docs), keep=("__document",))
-    return judged.where("kept").select("__document.*")
+    whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("document"))
+    judged = quality.judged(whole, quality.references(docs), keep=("document",))
+    return judged.where("kept").select("document.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +45,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by id, then place in the table) of each group of near copies."""
     _ready(spark)
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
-    named = placed.select(F.struct("doc_id", "__row").alias("doc_id"), "text")
+    # written once: the numbers are read twice, and a frame that is computed twice may number its rows in another order
+    placed = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("document")), "numbered")
+    named = placed.select(F.struct(F.col("document.doc_id").alias("doc_id"), "row").alias("doc_id"), F.col("document.text").alias("text"))
     groups = simhash.near_duplicates(named)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.__row").alias("__row"))
-    return placed.join(gone.hint("shuffle_hash"), "__row", "left_anti").select(*docs.columns)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias("row"))
+    return placed.join(gone.hint("shuffle_hash"), "row", "left_anti").select("document.*")
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
