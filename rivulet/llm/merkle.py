@@ -176,8 +176,7 @@ def descend(found: Manifest, requests: DataFrame | None = None) -> DataFrame:
             .groupBy("in_grp", "run").agg(F.collect_list("entry").alias("entries")))
     if requests is not None:
         runs = materialize(runs, "requests")
-    frontier = spark.range(1).select(F.lit(found.root).alias("digest"), F.lit(0).cast("long").alias("prefix"),
-                                     F.lit(len(found.top.records)).alias("left"), F.array().cast(_PATH).alias("path"))
+    frontier = spark.createDataFrame([(found.root, 0, len(found.top.records), [])], f"digest string, prefix long, left int, path {_PATH}")
     for records in found.top.records:
         frontier = _descend(frontier, records, 0, ())
     frontier = frontier.withColumnRenamed("prefix", "rank").join(found.subroots.drop("digest"), "rank").select(

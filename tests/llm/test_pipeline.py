@@ -16,7 +16,7 @@ def test_each_stage_works_on_what_its_predecessor_kept(spark, docs):
         after = stage(spark, before, "")
         assert after.columns == columns
         kept[name] = (before.collect(), after.collect())
-        before = spark.createDataFrame(kept[name][1], docs.schema).coalesce(1)
+        before = spark.createDataFrame(kept[name][1], docs.schema)
     for name in ("quality rules", "language ID"):
         old, new = kept[name]
         assert set(new) <= set(old) and len(new) >= 0.7 * len(old)
@@ -49,3 +49,28 @@ def test_odd_rows_and_empty_tables(spark, stage):
         groups = slow_components([(i, slow_fingerprint(t)) for i, t in enumerate([*ODD, None])])
         assert len(rows) == len({c for _, c in groups})
     assert P.STAGES[stage][1](spark, docs.limit(0), "").count() == 0
+
+
+def test_simhash_stage_does_not_depend_on_how_often_its_input_is_computed(spark, docs):
+    """Input that comes from a shuffle, which is cut otherwise for each set of columns that a reader asks for."""
+    copies = docs.withColumn("doc_id", F.col("doc_id") + 10_000).where(F.col("doc_id") % 3 == 0)
+    rows = docs.unionByName(copies).withColumn("__row", F.lit("the user's"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        dealt = rows.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in rows.columns if c != "doc_id"])
+        kept = P.simhash_dedup(spark, dealt, "")
+        found = sorted(r["doc_id"] for r in kept.select("doc_id").collect())
+        whole = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    first = slow_components([(r["doc_id"], slow_fingerprint(r["text"])) for r in rows.collect()])
+    assert found == sorted(i for i, c in first if i == c) == sorted(r["doc_id"] for r in whole)
+    assert {r["__row"] for r in whole} == {"the user's"}
+
+
+def test_quality_stage_keeps_columns_of_any_name(spark, docs):
+    named = docs.withColumn("document", F.lit("a")).withColumn("__document", F.lit("b"))
+    kept = P.quality_rules(spark, named, "")
+    assert kept.columns == named.columns
+    assert {(r["document"], r["__document"]) for r in kept.collect()} == {("a", "b")}
