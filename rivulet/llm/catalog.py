@@ -51,10 +51,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain counts and the verdict by distribution divergence."""
+    """Plain counts and the verdict by distribution distance."""
     judged = quality.quality(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         "kept", "char_divergence", "word_divergence")
+                         "kept", "char_distance", "word_distance")
 
 
 @query

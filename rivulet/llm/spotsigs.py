@@ -29,8 +29,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import table_bytes
-from .quality import COMMON_WORDS
 
+#: Frequent function words, the anchors of texts in these languages.
+COMMON_WORDS = {
+    "en": "the of and to in that is was for on with be by at from or".split(),
+    "de": "der die und den von zu das mit sich des auf ist dem nicht ein eine".split(),
+    "fr": "de la le et les des en un une du que est dans qui par au".split(),
+    "es": "de la que el en y los del se las por un para con una su".split(),
+}
 ANCHORS = frozenset(w for words in COMMON_WORDS.values() for w in words)
 CHAIN = 2
 DISTANCE = 1
