@@ -2,8 +2,10 @@
 
 Words that are common in running text (the anchors) mark spots; each spot's
 signature is its anchor and the chain of the next content words, taken every
-``DISTANCE`` words among those that are not anchors.  A document's fingerprint
-is the set of its signatures.  Two sets are compared by Jaccard similarity,
+``DISTANCE`` words among those that are not anchors.  Where more than ``GAP`` words
+pass without an anchor (other languages, code, tables), words chosen by their
+hash mark spots as well; the rule is local, so what is cut out or put in
+elsewhere moves no spot.  A document's fingerprint is the set of its signatures.  Two sets are compared by Jaccard similarity,
 pruned by what their lengths alone allow, and copies and near copies share
 most spots whatever surrounds them.
 
@@ -40,6 +42,9 @@ COMMON_WORDS = {
 ANCHORS = frozenset(w for words in COMMON_WORDS.values() for w in words)
 CHAIN = 2
 DISTANCE = 1
+#: Words without an anchor from which on a word in SHARE (by its hash) marks a spot too.
+GAP = 12
+SHARE = 4
 #: Bytes of text in one partition of the sorted table.
 PARTITION_BYTES = 8 << 20
 WORD = re.compile(r"\w+")
@@ -49,13 +54,17 @@ FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerp
 def signatures(text: str, chain: int = CHAIN, distance: int = DISTANCE, anchors: frozenset[str] = ANCHORS) -> np.ndarray:
     """Sorted distinct 64-bit signatures.  A text without any has one, of all its words."""
     words = WORD.findall(text.lower())
-    content, spots = [], []
+    content, spots, since = [], [], 0
+    hashed, reach = xxhash.xxh64_intdigest, chain * distance
     for w in words:
         if w in anchors:
             spots.append((w, len(content)))
+            since = 0
         else:
             content.append(w)
-    hashed, reach = xxhash.xxh64_intdigest, chain * distance
+            since += 1
+            if since > GAP and hashed(w) % SHARE == 0:
+                spots.append((w, len(content)))
     last = len(content) - reach + distance  # spots from here on have no whole chain
     found = {hashed(" ".join((w, *content[i:i + reach:distance]))) for w, i in spots if i < last}
     if not found:

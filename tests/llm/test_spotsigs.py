@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+import xxhash
 from odd_docs import ODD, make_docs
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ def slow_spots(text):
     words = S.WORD.findall(text.lower())
     out = set()
     for i, w in enumerate(words):
-        if w in S.ANCHORS:
+        bare = len(words[:i + 1]) > S.GAP and not S.ANCHORS & set(words[i - S.GAP:i + 1])
+        if w in S.ANCHORS or (bare and xxhash.xxh64_intdigest(w) % S.SHARE == 0):
             chain = [x for x in words[i + 1:] if x not in S.ANCHORS][:S.CHAIN]
             if len(chain) == S.CHAIN:
                 out.add((w, *chain))
@@ -62,6 +64,15 @@ def test_odd_rows(spark):
     assert S.with_next(repeated).count() == 3
 
 
+def test_spots_without_a_word_list(docs):
+    texts = [" ".join(w for w in S.WORD.findall(r["text"].lower()) if w not in S.ANCHORS) for r in docs.where("lang = 'en' AND n_chars > 800").limit(20).collect()]
+    texts = [t for t in texts if len(set(t.split())) > 80]  # a repeated line has few spots
+    assert len(texts) > 5
+    for a, b in zip(texts, texts[1:], strict=False):
+        own, changed = S.signatures(a), S.signatures(S.edited(a, b))
+        assert len(own) > 5 and S.likeness(own, changed) > 0.1 > S.likeness(own, S.signatures(b))
+
+
 def test_likeness_is_pruned_by_length():
     a, b = S.signatures("the cat sat of dog ran"), S.signatures("the cat sat")
     assert S.likeness(a, b) > 0 and S.likeness(a, b, floor=0.9) == 0.0
