@@ -41,11 +41,12 @@ def collect_classes(df: DataFrame, target: str) -> list:
 def weight_column(df: DataFrame, target: str, name: str = "class_weight") -> DataFrame:
     """Attach the balanced class weight to every row (null labels get none).
 
-    A join with the weight table, one row per class; AQE broadcasts that side
-    by its measured size and splits a hot class's rows otherwise.
+    A broadcast join with the weight table, one row per class.  The rows stay
+    where they are: dealt by their label, they would be the work of as many
+    tasks as there are classes.
     """
     w = class_weights(df, target).select(F.col(target).alias("_label"), F.col("weight").alias(name))
-    return df.join(w, F.col(target) == F.col("_label"), "left").drop("_label")
+    return df.join(F.broadcast(w), F.col(target) == F.col("_label"), "left").drop("_label")
 
 
 def binarise(c: str | Column, threshold: float) -> Column:
