@@ -131,17 +131,18 @@ def fit_ensemble(df: DataFrame, features: Sequence[str], label: str, key: str, n
 
     (A convex solver on identical data would return identical members; the
     key-hash bootstrap gives diversity that is reproducible and
-    partition-independent.)  One fit per member over a frame cached once.
+    partition-independent.)  One fit per member over a frame cached once, which
+    holds the members' weights: a key is hashed once for each of them.
     """
-    cols = [*features, label, key] + ([weight_col] if weight_col else [])
-    base = _assemble(df.select(*cols), features).drop(*features).persist()
+    weights = {}
+    for i in range(n_members):
+        w = poisson_weight(key, seed + i)
+        weights[f"_bw{i}"] = w * F.col(weight_col) if weight_col else w
+    base = _assemble(df.select(*features, label, *(w.alias(c) for c, w in weights.items())), features).drop(*features).persist()
     try:
         members = []
-        for i in range(n_members):
-            w = poisson_weight(key, seed + i)
-            if weight_col:
-                w = w * F.col(weight_col)
-            b = base.select("_x", label, w.alias("_bw")).where(F.col("_bw") > 0)
+        for c in weights:
+            b = base.select("_x", label, F.col(c).alias("_bw")).where(F.col("_bw") > 0)
             members.append(fit_logistic(b, features, label, "_bw", alpha=alpha, max_iter=max_iter, tol=tol))
         return members
     finally:

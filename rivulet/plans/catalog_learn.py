@@ -18,7 +18,7 @@ from ..operators import labels as L
 from ..operators import learners as LR
 from ..operators import text as TX
 from ..sources import models as MS
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .catalog_model import train_rows
 from ..functions.exprs import r6, unit_hash_sql
 from .fixtures import BINARY_FEATURES, SEED, TEST_RATIO, binary_label, lineitem_key, lit_sql, load, r6_sql
@@ -132,13 +132,20 @@ def q_model_params(spark, d):
 
 
 def _gradient_rows(spark, df, models: dict, label: str, weight: str | None = None):
-    """``(member, feature, grad)`` of each model's objective at its fitted weights, to 6 places."""
+    """``(member, feature, grad)`` of each model's objective at its fitted weights, to 6 places.
+
+    What the models read of the rows is written once: each gradient is a pass of its own.
+    """
+    weights = {name: weight or m.get("weight") for name, m in models.items()}
+    read = {c for m in models.values() for c in [*m["features"], m.get("label", label)]} | {w for w in weights.values() if w}
+    df = materialize(df.select(*sorted(read)), "gradient-rows")
+    used = sorted({w for w in weights.values() if w})
+    means = dict(zip(used, df.agg(*[F.avg(w) for w in used]).first(), strict=True)) if used else {}
     out = None
     for name, m in models.items():
-        w = weight or m.get("weight")
+        w = weights[name]
         if w:  # the objective is the weighted mean: scale the weights to mean one
-            mean = df.agg(F.avg(w)).first()[0]
-            g = LR.logistic_gradient(df.withColumn("_w1", F.col(w) / F.lit(mean)), m, m.get("label", label), "_w1")
+            g = LR.logistic_gradient(df.withColumn("_w1", F.col(w) / F.lit(means[w])), m, m.get("label", label), "_w1")
         else:
             g = LR.logistic_gradient(df, m, m.get("label", label))
         rows = g.select(F.lit(str(name)).alias("member"), "feature", r6("grad").alias("grad"))
