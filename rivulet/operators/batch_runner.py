@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,22 +36,31 @@ def _attempt(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str]) -> pd.D
 
 
 def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """``rows`` with the outputs and ``error``, piece by piece in order."""
-    waiting = [rows.reset_index(drop=True)]
+    """``rows`` with the outputs and ``error``, in order and as one frame: what leaves a
+    task are batches as large as those that came, however many pieces were scored."""
+    rows = rows.reset_index(drop=True)
+    waiting, good, at, failed = [(0, len(rows))], [], [], {}
     while waiting:
-        piece = waiting.pop()
+        start, end = waiting.pop()
         try:
-            found = _attempt(scorer, piece, outputs)
+            good.append(_attempt(scorer, rows.iloc[start:end], outputs))
+            at.append(np.arange(start, end))
         except Exception as failure:  # whatever a scorer raises concerns its rows only
-            if len(piece) > 1:
-                half = len(piece) // 2
-                waiting += [piece.iloc[half:], piece.iloc[:half]]
-                continue
-            found = pd.DataFrame({c: [None] for c in outputs}, dtype=object)
-            message = f"{type(failure).__name__}: {failure}"
-        else:
-            message = None
-        yield pd.concat([piece.reset_index(drop=True), found.assign(**{ERROR: pd.Series([message] * len(found), dtype=object)})], axis=1)
+            if end - start > 1:
+                half = start + (end - start) // 2
+                waiting += [(half, end), (start, half)]
+            else:
+                failed[start] = f"{type(failure).__name__}: {failure}"
+    if failed:  # objects, so that whole numbers stay whole beside the missing ones
+        good.append(pd.DataFrame({c: [None] * len(failed) for c in outputs}, dtype=object))
+        at.append(np.array(list(failed)))
+        columns = {c: np.concatenate([np.asarray(g[c].astype(object)) for g in good]) for c in outputs}
+        order = np.argsort(np.concatenate(at))
+        found = pd.DataFrame({c: pd.Series(x[order], dtype=object) for c, x in columns.items()})
+    else:
+        found = good[0]
+    message = pd.Series([failed.get(i) for i in range(len(rows))], dtype=object)
+    yield pd.concat([rows, found.assign(**{ERROR: message})], axis=1)
 
 
 def score_batches(df: DataFrame, scorer: Scorer, outputs: str) -> DataFrame:
