@@ -14,12 +14,15 @@ from pyspark.sql import types as T
 
 from ..functions.constants import N_HASH_FEATURES, SEGMENT_NEGATIVE, SEGMENT_POSITIVE, TOP_ALERTS, TOP_PHRASES
 from ..functions.exprs import hex_mod
+from ..llm.common import chunks
 from ..functions.text import default_stop_words, drop_stop_words, tokens, uni_and_bigrams
 
 N_FEATURES = N_HASH_FEATURES
 #: What lies between the tokens of ``TOKEN_PATTERN``, and their least length: runs of letters, numbers and underscores.
 NO_WORD = r"[^\p{L}\p{N}_]+"
 MIN_TOKEN = 2
+#: Bytes of text that a task cuts into words at once.
+PART_BYTES = 1 << 20
 
 
 def bucket_of(token, n_features: int = N_FEATURES):
@@ -64,6 +67,14 @@ def _normalised(texts: pa.Array, n_features: int) -> tuple[np.ndarray, np.ndarra
     return rows, at, counts / norms[rows]
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """First row and texts of neighbouring rows of about ``PART_BYTES``: their words, many
+    times as large as they are, are only held for one part of a batch."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for start, end in chunks(sizes.tolist(), PART_BYTES):
+        yield start, texts.slice(start, end - start)
+
+
 def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FEATURES) -> DataFrame:
     """Attach each row's hashed bag of words: ``array<struct<bucket, value>>``, L2-normalised.
 
@@ -73,10 +84,14 @@ def with_bow(df: DataFrame, text: str, name: str = "bow", n_features: int = N_FE
     """
     @F.arrow_udf("array<struct<bucket: bigint, value: double>>")
     def bag(texts: pa.Array) -> pa.Array:
-        rows, at, values = _normalised(texts, n_features)
-        cells = pa.StructArray.from_arrays([pa.array(at), pa.array(values)], names=["bucket", "value"])
-        ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), cells)
+        sizes, buckets, found = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for _, part in _parts(texts):
+            rows, at, values = _normalised(part, n_features)
+            sizes.append(np.bincount(rows, minlength=len(part)))
+            buckets.append(at)
+            found.append(values)
+        cells = pa.StructArray.from_arrays([pa.array(np.concatenate(buckets)), pa.array(np.concatenate(found))], names=["bucket", "value"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32)), cells)
 
     return df.withColumn(name, bag.asNondeterministic()(F.lower(F.col(text))))  # evaluated once, wherever it is read
 
@@ -88,9 +103,10 @@ def hashed_bow(df: DataFrame, key: str, text: str, n_features: int = N_FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, buckets, values = _normalised(batch.column(1), n_features)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(buckets), pa.array(values)],
-                                             names=[key, "bucket", "value"])
+            for start, part in _parts(batch.column(1)):
+                at, buckets, values = _normalised(part, n_features)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + start)), pa.array(buckets), pa.array(values)],
+                                                 names=[key, "bucket", "value"])
 
     return rows.mapInArrow(run, schema)
 
@@ -123,8 +139,11 @@ def linear_text_decision(df: DataFrame, text: str, weights: Mapping[str, float]
 
     @F.arrow_udf("double")
     def decide(texts: pa.Array) -> pa.Array:
-        rows, at, values = _normalised(texts, n_features)
-        return pa.array(intercept + np.bincount(rows, values * shared.value[at], minlength=len(texts)))
+        dots = [np.zeros(0)]
+        for _, part in _parts(texts):
+            rows, at, values = _normalised(part, n_features)
+            dots.append(np.bincount(rows, values * shared.value[at], minlength=len(part)))
+        return pa.array(intercept + np.concatenate(dots))
 
     return df.withColumn(name, decide.asNondeterministic()(F.lower(F.col(text))))  # evaluated once, wherever it is read
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hex_mod_sql, r6, unit_hash_sql
 from ..functions.text import TOKEN_PATTERN, default_stop_words
+from ..llm.common import small_batches
 from ..operators import labels as L
 from ..operators import learners as LR
 from ..operators import text as TX
@@ -37,6 +38,7 @@ DECISION_CTE = BOW_CTE + f""",
 
 
 def decisions(spark, d):
+    small_batches(spark)
     docs = load(spark, d, "documents").select("doc_id", "text")
     return TX.linear_text_decision(docs, "text", TEXT_WEIGHTS, TEXT_INTERCEPT).drop("text")
 
@@ -48,6 +50,7 @@ TEST_DOC_SQL = f"{unit_hash_sql('doc_id', SEED)} < CAST({TEST_RATIO} AS DOUBLE)"
 SELECT doc_id, bucket, {r6_sql('value')} AS value FROM bow
 """)
 def q_hashed_bow(spark, d):
+    small_batches(spark)
     bow = TX.hashed_bow(load(spark, d, "documents"), "doc_id", "text")
     return bow.select("doc_id", "bucket", r6("value").alias("value"))
 
@@ -70,6 +73,7 @@ SELECT doc_id, {r6_sql("CASE WHEN sq > 0 THEN least(1.0, greatest(0.0, 1.0 - y *
 FROM j
 """)
 def q_pa_update(spark, d):
+    small_batches(spark)
     docs = load(spark, d, "documents").select("doc_id", "text")
     sq = F.aggregate(F.col("bow.value"), F.lit(0.0), lambda a, v: a + v * v)
     bags = TX.with_bow(docs, "text").select("doc_id", "bow")
