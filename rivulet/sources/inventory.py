@@ -25,8 +25,8 @@ from ..session import materialize
 
 #: Names that a task reads from a folder before it hands them on, and files that one task measures.
 PIECE = 10_000
-#: Folders that one task opens.
-FOLDERS = 64
+#: Folders that one task opens where there are enough for every core.
+FOLDERS = 1024
 
 LISTING_SCHEMA = "root string, path string, size_bytes long"
 _ENTRY = "root string, path string, folder boolean, size_bytes long"
@@ -91,7 +91,8 @@ def list_files(spark: SparkSession, roots: Sequence[str], ordered: bool = False)
     level = spark.createDataFrame([(r, "") for r in roots], "root string, path string")
     n, levels = len(roots), []
     while n:
-        opened = level.repartition(-(-n // FOLDERS) if n > FOLDERS else n, "root", "path").mapInArrow(_open_folders, _ENTRY)
+        tasks = min(n, max(spark.sparkContext.defaultParallelism, -(-n // FOLDERS)))
+        opened = level.repartition(tasks, "root", "path").mapInArrow(_open_folders, _ENTRY)
         levels.append(materialize(opened, "level"))
         level = levels[-1].where("folder").select("root", "path")
         n = level.count()
