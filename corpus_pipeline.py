@@ -32,8 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose length, repeats and distributions pass; the references are fitted on this stage's input."""
     _ready(spark)
     whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("document"))
-    judged = quality.judged(whole, quality.references(docs), keep=("document",))
-    return judged.where("kept").select("document.*")
+    return quality.quality(whole, keep=("document",)).where("kept").select("document.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

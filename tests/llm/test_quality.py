@@ -222,3 +222,16 @@ def test_a_rare_language_is_judged_beside_many_rows_of_others(spark):
     assert not rows[len(texts) - 1] and not rows[len(texts) - 2]
     alone = make_docs(spark, texts[400:408], langs=langs[400:408])
     assert sorted(Q.references(alone, limits=limits)) == ["so"]
+
+
+def test_references_are_fitted_on_every_row_and_rows_measured_once(spark):
+    texts = [" ".join(f"w{chr(97 + (i * k) % 23)}{chr(97 + (i + 7 * k) % 26)}" for k in range(60)) for i in range(60)]
+    frame = make_docs(spark, texts * 400, langs=["en"] * 24_000)
+    late = make_docs(spark, [" ".join(["zebra", *t.split()]) for t in texts], ids=range(30_000, 30_060), langs=["en"] * 60)
+    table = frame.unionByName(late)
+    assert Q.references(table)["en"] == Q.references(table, limits=Q.Limits(sample_rows=100_000))["en"]
+    few = make_docs(spark, texts, langs=["en"] * 60)
+    known = Q.references(few)
+    want = {r["doc_id"]: r.asDict() for r in Q.judged(few, known).collect()}
+    got = {r["doc_id"]: r.asDict() for r in Q.quality(few).collect()}
+    assert got == want
