@@ -141,7 +141,7 @@ def price_ratio(rows):
     import pandas as pd
 
     with np.errstate(divide="raise", invalid="raise"):
-        return pd.DataFrame({"ratio": rows["l_extendedprice"].to_numpy() / (rows["l_discount"] + rows["l_tax"]).to_numpy()})
+        return pd.DataFrame({"ratio": rows["l_extendedprice"].to_numpy() / (rows["l_discount"].to_numpy() + rows["l_tax"].to_numpy())})
 
 
 def _both_sinks(spark, valid, dead):

@@ -1,5 +1,7 @@
 """Scoring that continues on error: which rows end where, and at what cost."""
 
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +74,35 @@ def test_a_replayed_batch_replaces_its_own_sinks(spark):
         run(table(spark, 20), batch)
     assert spark.read.parquet(valid).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 18), (1, 18)]
     assert spark.read.parquet(dead).count() == 4
+
+
+def test_many_failing_rows_cost_few_calls_each():
+    bad = [i for i in range(10_000) if (i * 7919) % 101 == 5]
+    rows, calls = pd.DataFrame({"id": range(10_000), "v": [3.0 if i in set(bad) else 10.0 * i for i in range(10_000)]}), []
+
+    def counted(part):
+        calls.append(len(part))
+        return picky(part)
+
+    out = pd.concat(BR.score_pieces(counted, rows, ["twice"]))
+    assert out["id"].tolist() == list(range(10_000)) and out.index[out["error"].notna()].tolist() == bad
+    assert out["error"][bad].tolist() == [f"ValueError: cannot score {i}" for i in bad]
+    assert [x for i, x in enumerate(out["twice"]) if i not in set(bad)] == [20.0 * i for i in range(10_000) if i not in set(bad)]
+    assert len(calls) <= 10 * len(bad)  # halving alone: about 15
+
+
+def test_any_pattern_of_failing_rows_and_pieces():
+    rng = random.Random(3)
+    for n in [1, 2, 3, 7, 64, 100] * 20:
+        bad, most = {i for i in range(n) if rng.random() < rng.choice([0.0, 0.05, 0.5, 1.0])}, rng.choice([1, 5, 1000])
+
+        def scorer(part, bad=bad, most=most):
+            if len(part) > most or bad & set(part["id"]):
+                raise ValueError(f"{len(part)}")
+            return pd.DataFrame({"v": part["id"] * 2, "s": part["id"].astype(str)})
+
+        out, = BR.score_pieces(scorer, pd.DataFrame({"id": range(n)}), ["v", "s"])
+        assert out["id"].tolist() == list(range(n))
+        assert out["error"].tolist() == ["ValueError: 1" if i in bad else None for i in range(n)]
+        assert out["v"].tolist() == [None if i in bad else 2 * i for i in range(n)]
+        assert out["s"].tolist() == [None if i in bad else str(i) for i in range(n)]
