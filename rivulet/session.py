@@ -82,17 +82,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", compression: str | None = None):
     """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
     folder and return the table read back.
 
     One job computes the frame (an RDD checkpoint computes it twice unless it
     is also cached), the copy is columnar, so later reads are pruned, and it
     lives on shared storage, so losing an executor loses nothing.
+    ``compression`` names another codec than the session's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -235,3 +236,24 @@ def test_references_are_fitted_on_every_row_and_rows_measured_once(spark):
     want = {r["doc_id"]: r.asDict() for r in Q.judged(few, known).collect()}
     got = {r["doc_id"]: r.asDict() for r in Q.quality(few).collect()}
     assert got == want
+
+
+def test_only_words_that_may_be_common_are_written(spark):
+    texts = ODD + EXTRA + ["l'été naïve étude x1 1x foo, (bar) baz- \U0001d400\U0001d401 'tis tis’ " + "y" * 40 + " " + "z" * 41 + "\x0bend"]
+    rows = Q.measures(make_docs(spark, texts)).collect()
+
+    def looks_common(w):
+        marks = [c for c in w[1:] if unicodedata.category(c)[0] not in "LM" and c not in "'’"]
+        return unicodedata.category(w[0])[0] == "L" and not marks and len(w) <= 40
+
+    for r in rows:
+        assert r["words"] == [w for w in re.findall(r"[^\x20\x09-\x0D]+", texts[r["doc_id"]] or "") if looks_common(w)]
+
+
+def test_common_words_are_counted_from_their_numbers(spark):
+    common = ["the", "of", "a", "l'", "zz"]
+    texts = ["the the of zz", "", "a", "x y", None, "of the a the l' zz zz zz the"]
+    rows = Q.measures(make_docs(spark, texts), common=common).collect()
+    assert {r["doc_id"]: r["commons"] for r in rows} == {i: [(t or "").split().count(w) for w in common] for i, t in enumerate(texts)}
+    known = {"en": Q.Reference((1.0,) + (0.0,) * 6, ("rare", "often"), (0.1, 0.4)), None: Q.Reference((1.0,) + (0.0,) * 6, ("rare", "mid"), (0.3, 0.2))}
+    assert Q._common(known) == ["often", "rare", "mid"]
