@@ -315,7 +315,8 @@ def _verdicts(m: DataFrame, known: References, common: Sequence[str], limits: Li
     for k, most, allowed, n in (("char_distance", limits.char_distance, limits.char_allowance, "n_chars"),
                                 ("word_distance", limits.word_distance, limits.word_allowance, "n_words")):
         far = far | F.coalesce(F.col(k) > F.lit(most) + F.lit(allowed) / F.sqrt(F.greatest(F.col(n), F.lit(1))), F.lit(False))
-    return (m.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~far)
+    # pinned: a caller's filter by the verdict would else be computed below, with the common words counted anew for each that a reference reads
+    return (m.withColumn("base_failed", base_failed()).withColumn("kept", _pinned(~F.col("base_failed") & ~far))
             .drop("chars", "commons", "n_chars"))
 
 
