@@ -9,6 +9,7 @@ none vanishes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -41,16 +42,57 @@ def _objects(column: pd.Series) -> np.ndarray:
     return values if values.dtype.kind in "biuf" else column.astype(object).to_numpy()
 
 
-def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """``rows`` with the outputs and ``error``, in order and as one frame: what leaves a
-    task are batches as large as those that came, however many pieces were scored.
+class Suspicion:
+    """What the failing rows of a task so far have in common, by the kind of their message.
+
+    The values in which all failing rows of a kind agree say which rows are tried
+    apart from the others.  It is a guess that only orders the calls: every row is
+    scored or raises by itself.
+    """
 
-    From the first row that raised by itself on, a piece is as long as the failing
+    #: Kinds of messages that are followed.
+    MOST_KINDS = 16
+
+    def __init__(self) -> None:
+        self._shared: dict[str, dict] = {}
+        self._rows: dict[str, int] = {}
+
+    def learn(self, row: pd.Series, message: str) -> bool:
+        """Take up a failing row; whether other rows than before are suspected."""
+        kind = re.sub(r"'[^']*'|\d+", "", message)
+        if kind not in self._shared:
+            if len(self._shared) < self.MOST_KINDS:
+                self._shared[kind] = {c: v for c, v in row.items() if pd.api.types.is_scalar(v)}
+                self._rows[kind] = 1
+            return False
+        shared = self._shared[kind]
+        agreed = {c: v for c, v in shared.items() if pd.api.types.is_scalar(x := row[c]) and (pd.isna(v) and pd.isna(x) or bool(v == x))}
+        self._shared[kind] = agreed
+        self._rows[kind] += 1
+        return len(agreed) < len(shared) or self._rows[kind] == 2
+
+    def of(self, rows: pd.DataFrame) -> np.ndarray:
+        """Which rows agree with the failing rows of a kind; one failing row alone says nothing."""
+        found = np.zeros(len(rows), dtype=bool)
+        for kind, shared in self._shared.items():
+            if shared and self._rows[kind] > 1:
+                like = np.ones(len(rows), dtype=bool)
+                for c, v in shared.items():
+                    like &= (rows[c].isna() if pd.isna(v) else rows[c] == v).to_numpy(dtype=bool, na_value=False)
+                found |= like
+        return found
+
+
+def _search(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str],
+            suspicion: Suspicion) -> tuple[list[tuple[int, int, pd.DataFrame]], dict[int, str], int]:
+    """Scored pieces, messages of the rows that raised by themselves, and how many rows are done:
+    all, or those up to a failing row that changed the suspicion.
+
+    From the first such row on, a piece is as long as the failing
     rows are apart, a half whose other half went well is halved without a call (the
     failing row is in it), and what lies behind a failing half is tried with the rows
     that follow: a failing row costs about as many calls as its place needs bits.
     """
-    rows = rows.reset_index(drop=True).copy()  # a copy holds the columns of a type together, so that pieces are cut cheaply
     waiting, good, failed = [(0, len(rows), False)], [], {}
     sure = False  # the failing row of the piece before lies in the one on top
     while waiting:
@@ -75,14 +117,42 @@ def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str]) ->
             waiting += [(half, end, False), (start, half, True)]
         else:
             failed[start] = message
+            if suspicion.learn(rows.iloc[start], message):
+                return good, failed, end
+    return good, failed, len(rows)
+
+
+def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str], suspicion: Suspicion | None = None) -> Iterator[pd.DataFrame]:
+    """``rows`` with the outputs and ``error``, in order and as one frame: what leaves a
+    task are batches as large as those that came, however many pieces were scored.
+
+    Rows that agree with those that failed before are tried apart from the
+    others (see :class:`Suspicion`), so that a failing row costs about one call where failing
+    rows share a value, and as many as its place needs bits where they share none.
+    """
+    rows = rows.reset_index(drop=True).copy()  # a copy holds the columns of a type together, so that pieces are cut cheaply
+    suspicion = suspicion or Suspicion()
+    todo, good, failed = [np.arange(len(rows))], [], {}
+    while todo:
+        places = todo.pop()
+        part = rows if len(places) == len(rows) else rows.iloc[places]
+        like = suspicion.of(part)
+        if like.any() and not like.all():
+            todo += [places[like], places[~like]]
+            continue
+        pieces, messages, done = _search(scorer, part, outputs, suspicion)
+        good += [(places[start:end], piece) for start, end, piece in pieces]
+        failed |= {int(places[i]): message for i, message in messages.items()}
+        if done < len(places):
+            todo.append(places[done:])
     if failed or len(good) > 1:
         columns = {c: np.full(len(rows), None, dtype=object) for c in outputs}
-        for start, end, piece in good:
+        for places, piece in good:
             for c in outputs:
-                columns[c][start:end] = _objects(piece[c])
+                columns[c][places] = _objects(piece[c])
         found = pd.DataFrame({c: pd.Series(x, dtype=object) for c, x in columns.items()})
     else:
-        found = good[0][2][list(outputs)].reset_index(drop=True)
+        found = good[0][1][list(outputs)].reset_index(drop=True)
     message = pd.Series([failed.get(i) for i in range(len(rows))], dtype=object)
     yield pd.concat([rows, found.assign(**{ERROR: message})], axis=1)
 
@@ -91,9 +161,9 @@ def score_batches(df: DataFrame, scorer: Scorer, outputs: str) -> DataFrame:
     """``df`` with the scorer's ``outputs`` (a DDL text) and ``error``, null where scoring went well.
 
     Outputs and ``error`` replace columns of their names.  A batch costs one
-    call, and its first failing row two calls more for every halving; one among
-    some hundred rows then costs about eight (see :func:`score_pieces`).
-    An empty batch is not scored.
+    call, and a task's first failing row two calls more for every halving; one among
+    some hundred rows then costs about eight, or one where failing rows share
+    a value (see :func:`score_pieces`).  An empty batch is not scored.
     """
     added = T.StructType(T.StructType.fromDDL(outputs).fields + [T.StructField(ERROR, T.StringType())])
     rest = df.select(*[c for c in df.columns if c not in added.names])
@@ -101,9 +171,10 @@ def score_batches(df: DataFrame, scorer: Scorer, outputs: str) -> DataFrame:
     names = [f.name for f in added.fields[:-1]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        suspicion = Suspicion()
         for rows in batches:
             if len(rows):
-                yield from (piece[schema.names] for piece in score_pieces(scorer, rows, names))
+                yield from (piece[schema.names] for piece in score_pieces(scorer, rows, names, suspicion))
 
     return rest.mapInPandas(run, schema)
 

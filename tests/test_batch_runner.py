@@ -106,3 +106,24 @@ def test_any_pattern_of_failing_rows_and_pieces():
         assert out["error"].tolist() == ["ValueError: 1" if i in bad else None for i in range(n)]
         assert out["v"].tolist() == [None if i in bad else 2 * i for i in range(n)]
         assert out["s"].tolist() == [None if i in bad else str(i) for i in range(n)]
+
+
+def test_failing_rows_that_share_a_value_cost_about_one_call_each():
+    rng, calls, suspicion = random.Random(4), [], BR.Suspicion()
+
+    def scorer(part):
+        calls.append(len(part))
+        if (part["a"] + part["b"] == 0).any() or part["c"].isna().any():
+            raise ValueError(f"zero or null in {len(part)}")
+        return pd.DataFrame({"v": part["id"] * 2})
+
+    bad = 0
+    for _ in range(3):
+        rows = pd.DataFrame({"id": range(5000), "same": "x", "a": [rng.randrange(10) for _ in range(5000)],
+                             "b": [float(rng.randrange(10)) for _ in range(5000)], "c": [["l"]] * 5000})
+        out, = BR.score_pieces(scorer, rows, ["v"], suspicion)
+        wrong = rows["a"] + rows["b"] == 0
+        bad += wrong.sum()
+        assert out["id"].tolist() == list(range(5000)) and out["error"].notna().tolist() == wrong.tolist()
+        assert [v for v, w in zip(out["v"], wrong, strict=True) if not w] == [2 * i for i in range(5000) if not wrong[i]]
+    assert len(calls) <= 2 * bad + 60  # places alone: about eight for each
