@@ -45,7 +45,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The first document (by id, then place in the table) of each group of near copies."""
     _ready(spark)
     # written once: the numbers are read twice, and a frame that is computed twice may number its rows in another order
-    placed = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("document")), "numbered")
+    placed = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("document")), "numbered", "zstd")
     named = placed.select(F.struct(F.col("document.doc_id").alias("doc_id"), "row").alias("doc_id"), F.col("document.text").alias("text"))
     groups = simhash.near_duplicates(named)
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias("row"))
