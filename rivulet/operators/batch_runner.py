@@ -66,7 +66,7 @@ class Suspicion:
                 self._rows[kind] = 1
             return False
         shared = self._shared[kind]
-        agreed = {c: v for c, v in shared.items() if pd.api.types.is_scalar(x := row[c]) and (pd.isna(v) and pd.isna(x) or bool(v == x))}
+        agreed = {c: v for c, v in shared.items() if pd.api.types.is_scalar(x := row[c]) and (pd.isna(x) if pd.isna(v) else not pd.isna(x) and bool(v == x))}
         self._shared[kind] = agreed
         self._rows[kind] += 1
         return len(agreed) < len(shared) or self._rows[kind] == 2

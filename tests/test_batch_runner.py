@@ -127,3 +127,16 @@ def test_failing_rows_that_share_a_value_cost_about_one_call_each():
         assert out["id"].tolist() == list(range(5000)) and out["error"].notna().tolist() == wrong.tolist()
         assert [v for v, w in zip(out["v"], wrong, strict=True) if not w] == [2 * i for i in range(5000) if not wrong[i]]
     assert len(calls) <= 2 * bad + 60  # places alone: about eight for each
+
+
+def test_missing_values_of_any_kind_may_be_shared():
+    def scorer(part):
+        if part["a"].isna().any():
+            raise ValueError("missing")
+        return pd.DataFrame({"v": part["id"].to_numpy()})
+
+    for a in (pd.Series([1, pd.NA, 2, pd.NA, pd.NA] * 20, dtype="Int64"), pd.Series(["x", None, "y", None, None] * 20), pd.Series([[1], None, [2], None, None] * 20)):
+        rows = pd.DataFrame({"id": range(100), "a": a, "b": pd.Series([pd.NA, 1, 1, pd.NA, 1] * 20, dtype="Int64")})
+        out, = BR.score_pieces(scorer, rows, ["v"])
+        assert out["error"].notna().tolist() == a.isna().tolist()
+        assert out["v"].dropna().tolist() == [i for i in range(100) if not a.isna()[i]]
