@@ -42,6 +42,20 @@ def _objects(column: pd.Series) -> np.ndarray:
     return values if values.dtype.kind in "biuf" else column.astype(object).to_numpy()
 
 
+def _joined(pieces: Sequence[tuple[np.ndarray, pd.Series]], n: int) -> np.ndarray:
+    """A column of ``n`` rows from pieces at their places, missing elsewhere.
+
+    Floats of one type stay what they are, as in a batch that was scored at once; all
+    others become objects.
+    """
+    types = {str(piece.dtype) for _, piece in pieces}
+    plain = len(types) == 1 and types <= {"float32", "float64"}
+    column = np.full(n, np.nan, dtype=types.pop()) if plain else np.full(n, None, dtype=object)
+    for places, piece in pieces:
+        column[places] = piece.to_numpy() if plain else _objects(piece)
+    return column
+
+
 class Suspicion:
     """What the failing rows of a task so far have in common, by the kind of their message.
 
@@ -57,16 +71,17 @@ class Suspicion:
         self._shared: dict[str, dict] = {}
         self._rows: dict[str, int] = {}
 
-    def learn(self, row: pd.Series, message: str) -> bool:
-        """Take up a failing row; whether other rows than before are suspected."""
+    def learn(self, rows: pd.DataFrame, place: int, message: str) -> bool:
+        """Take up the failing row at ``place``; whether other rows than before are suspected."""
         kind = re.sub(r"'[^']*'|\d+", "", message)
         if kind not in self._shared:
             if len(self._shared) < self.MOST_KINDS:
-                self._shared[kind] = {c: v for c, v in row.items() if pd.api.types.is_scalar(v)}
+                self._shared[kind] = {c: v for c in rows.columns if pd.api.types.is_scalar(v := rows[c].array[place])}
                 self._rows[kind] = 1
             return False
-        shared = self._shared[kind]
-        agreed = {c: v for c, v in shared.items() if pd.api.types.is_scalar(x := row[c]) and (pd.isna(x) if pd.isna(v) else not pd.isna(x) and bool(v == x))}
+        shared = self._shared[kind]  # only its columns are looked up, each by itself: a row of several types costs more than the call
+        agreed = {c: v for c, v in shared.items()
+                  if pd.api.types.is_scalar(x := rows[c].array[place]) and (pd.isna(x) if pd.isna(v) else not pd.isna(x) and bool(v == x))}
         self._shared[kind] = agreed
         self._rows[kind] += 1
         return len(agreed) < len(shared) or self._rows[kind] == 2
@@ -78,10 +93,19 @@ class Suspicion:
             if shared and self._rows[kind] > 1:
                 like = np.ones(len(rows), dtype=bool)
                 for c, v in shared.items():
-                    like &= (rows[c].isna() if pd.isna(v) else rows[c] == v).to_numpy(dtype=bool, na_value=False)
+                    like &= self._agrees(rows[c], v)
                 found |= like
         return found
 
+    @staticmethod
+    def _agrees(column: pd.Series, value) -> np.ndarray:
+        """Which values of a column are ``value``, or missing if it is."""
+        if pd.isna(value):
+            return column.isna().to_numpy()
+        if isinstance(column.dtype, np.dtype) and column.dtype.kind in "biuf":
+            return column.to_numpy() == value
+        return (column == value).to_numpy(dtype=bool, na_value=False)
+
 
 def _search(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str],
             suspicion: Suspicion) -> tuple[list[tuple[int, int, pd.DataFrame]], dict[int, str], int]:
@@ -117,7 +141,7 @@ def _search(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str],
             waiting += [(half, end, False), (start, half, True)]
         else:
             failed[start] = message
-            if suspicion.learn(rows.iloc[start], message):
+            if suspicion.learn(rows, start, message):
                 return good, failed, end
     return good, failed, len(rows)
 
@@ -130,7 +154,8 @@ def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str], sus
     others (see :class:`Suspicion`), so that a failing row costs about one call where failing
     rows share a value, and as many as its place needs bits where they share none.
     """
-    rows = rows.reset_index(drop=True).copy()  # a copy holds the columns of a type together, so that pieces are cut cheaply
+    rows = rows.copy()  # a copy holds the columns of a type together, so that pieces are cut cheaply
+    rows.index = pd.RangeIndex(len(rows))
     suspicion = suspicion or Suspicion()
     todo, good, failed = [np.arange(len(rows))], [], {}
     while todo:
@@ -146,15 +171,14 @@ def score_pieces(scorer: Scorer, rows: pd.DataFrame, outputs: Sequence[str], sus
         if done < len(places):
             todo.append(places[done:])
     if failed or len(good) > 1:
-        columns = {c: np.full(len(rows), None, dtype=object) for c in outputs}
-        for places, piece in good:
-            for c in outputs:
-                columns[c][places] = _objects(piece[c])
-        found = pd.DataFrame({c: pd.Series(x, dtype=object) for c, x in columns.items()})
+        found = pd.DataFrame({c: _joined([(places, piece[c]) for places, piece in good], len(rows)) for c in outputs})
     else:
         found = good[0][1][list(outputs)].reset_index(drop=True)
-    message = pd.Series([failed.get(i) for i in range(len(rows))], dtype=object)
-    yield pd.concat([rows, found.assign(**{ERROR: message})], axis=1)
+    message = np.full(len(rows), None, dtype=object)
+    for place, text in failed.items():
+        message[place] = text
+    found[ERROR] = pd.Series(message, dtype=object)
+    yield pd.concat([rows, found], axis=1)
 
 
 def score_batches(df: DataFrame, scorer: Scorer, outputs: str) -> DataFrame:
@@ -174,7 +198,7 @@ def score_batches(df: DataFrame, scorer: Scorer, outputs: str) -> DataFrame:
         suspicion = Suspicion()
         for rows in batches:
             if len(rows):
-                yield from (piece[schema.names] for piece in score_pieces(scorer, rows, names, suspicion))
+                yield from score_pieces(scorer, rows, names, suspicion)  # columns in the order of the schema
 
     return rest.mapInPandas(run, schema)
 

@@ -65,3 +65,19 @@ def test_words_are_held_for_a_part_of_a_batch(spark, monkeypatch):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "id long, t string").coalesce(1)
     bags = {r["id"]: [(c["bucket"], c["value"]) for c in r["bow"]] for r in TX.with_bow(frame, "t", n_features=1 << 20).collect()}
     assert [(i, *c) for i in sorted(bags) for c in bags[i]] == list(zip(*want, strict=True))
+
+
+def test_floats_of_a_batch_with_failing_rows_stay_floats():
+    def scorer(rows):
+        if (rows["v"] % 10 == 3).any():
+            raise ValueError("three")
+        half = rows["v"] / 2
+        return pd.DataFrame({"half": half.where(rows["v"] % 10 != 4), "whole": rows["v"],  # a missing result is no failure
+                             "mixed": half if len(rows) % 2 else rows["v"]})
+
+    out, = BR.score_pieces(scorer, pd.DataFrame({"v": range(500)}), ["half", "whole", "mixed"])
+    assert out["half"].dtype == "float64" and out["whole"].dtype == object
+    for v, half, whole, mixed, error in out.itertuples(index=False):
+        assert error == ("ValueError: three" if v % 10 == 3 else None)
+        assert pd.isna(half) if v % 10 in (3, 4) else half == v / 2
+        assert (whole, mixed) == (None, None) if error else (whole == v and mixed in (v, v / 2))
