@@ -283,11 +283,8 @@ UNION ALL SELECT '', 0, 'CORRUPT (0 Bytes)'
 def q_file_inventory(spark, d):
     """Every file of a tree that is four levels deep, with its size; the mark of success is empty."""
     docs = load(spark, d, "documents").select("source", "lang", F.expr("doc_id div 50").alias("group"), "text")
-    root = scratch_path(spark, "s15")
-    # tasks put their files in place; by the older rule the driver moves one file after the other
-    docs.repartition("source", "lang", "group").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(
-        "source", "lang", "group").text(root)
-    files = INV.file_status(INV.list_files(spark, [root])).where(~F.col("path").rlike(r"(^|/)\.[^/]*$"))  # checksums are hidden files
+    root = INV.write_tree(docs, scratch_path(spark, "s15"), ["source", "lang", "group"], "text")
+    files = INV.file_status(INV.list_files(spark, [root])).where(~F.col("path").rlike(r"(^|/)\.[^/]*$"))  # hidden: checksums of some stores, what a lost attempt left
     return files.select(F.regexp_replace("path", "/?[^/]*$", "").alias("folder"), "size_bytes", "status")
 
 

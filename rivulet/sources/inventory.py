@@ -13,7 +13,11 @@ is plain DataFrame work.
 from __future__ import annotations
 
 import os
+import re
+import uuid
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +32,89 @@ PIECE = 10_000
 #: Folders that one task opens where there are enough for every core.
 FOLDERS = 1024
 
+#: Parts in which a tree is written, one after the other: of the shuffled lines, only a part's lie beside the files.
+PARTS = 4
+#: What a folder is called whose value is null or empty, and characters that a folder's name has as %XX (both as Spark's).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+
 LISTING_SCHEMA = "root string, path string, size_bytes long"
 _ENTRY = "root string, path string, folder boolean, size_bytes long"
 
 
+def _mounted(root: str) -> bool:
+    return "://" not in root or root.startswith("file://")
+
+
 def _fs(root: str):
     """(filesystem or None for local, base path) of a root URI or path."""
-    if "://" in root and not root.startswith("file://"):
+    if not _mounted(root):
         from pyarrow import fs as pafs
         return pafs.FileSystem.from_uri(root)
     return None, (root[len("file://"):] if root.startswith("file://") else root)
 
 
+def _escaped(name: str) -> str:
+    return _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", name)
+
+
+def _write_folders(base: str, keys: Sequence[str]):
+    """Writer of rows ``(*keys, text)`` that come folder by folder: the file of each under ``base``."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
+        for batch in batches:
+            *values, texts = (c.to_pylist() for c in batch.columns)
+            yield from zip(zip(*values, strict=True), texts, strict=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for values, rows in groupby(lines(batches), itemgetter(0)):
+            folder = os.path.join(base, *(f"{_escaped(k)}={_escaped(v)}" for k, v in zip(keys, values, strict=True)))
+            part = os.path.join(folder, f".part-00000.txt.{uuid.uuid4().hex}")
+            try:
+                out = open(part, "wb")
+            except FileNotFoundError:
+                os.makedirs(folder, exist_ok=True)
+                out = open(part, "wb")
+            with out:
+                for _, text in rows:
+                    out.write(text)
+                    out.write(b"\n")
+            os.replace(part, os.path.join(folder, "part-00000.txt"))  # a task's second attempt leaves one file as well
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["files"])
+
+    return write
+
+
+def write_tree(df: DataFrame, root: str, keys: Sequence[str], text: str) -> str:
+    """Text sink: the lines of each group of rows as one file in ``root/key=value/...``, and an empty ``_SUCCESS``.
+
+    Names are those of Spark's own partitioned sink.  That one starts a process
+    for each file and folder it makes in mounted storage (to set their modes),
+    and the driver then clears the folders its tasks have moved files from, so
+    there tasks write the files in place themselves; other stores get Spark's.
+    ``df`` is read once for each of :data:`PARTS` and must hold the same rows each time.
+    """
+    if not _mounted(root):
+        df.select(*keys, text).repartition(*keys).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*keys).text(root)
+        return root
+    spark, base = df.sparkSession, _fs(root)[1]
+    os.makedirs(base)
+    named = df.select(*(F.coalesce(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit(NO_VALUE)).alias(k) for k in keys),
+                      F.coalesce(F.col(text), F.lit("")).cast("binary").alias(text))
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        for i in range(PARTS):  # by another hash than the one that deals rows out to tasks
+            part = named.where(F.pmod(F.xxhash64(*keys), F.lit(PARTS)) == i).repartition(*keys).sortWithinPartitions(*keys)
+            part.mapInArrow(_write_folders(base, keys), "files long").agg(F.sum("files")).collect()
+    finally:
+        spark.conf.set(cleanup, before)
+    open(os.path.join(base, "_SUCCESS"), "wb").close()
+    return root
+
+
 def _entries(root: str, sub: str) -> Iterator[tuple[str, bool, int | None]]:
     """(path relative to the root, whether it is a folder, size if the listing tells it) in one folder."""
     fsys, base = _fs(root)
@@ -88,7 +163,8 @@ def list_files(spark: SparkSession, roots: Sequence[str], ordered: bool = False)
     first level that holds none.  ``ordered`` sorts the listing by (root,
     path) -- a distributed range sort.
     """
-    level = spark.createDataFrame([(r, "") for r in roots], "root string, path string")
+    # an Arrow table, since rows of Python start workers of another kind
+    level = spark.createDataFrame(pa.table({"root": pa.array(roots, pa.string()), "path": pa.array([""] * len(roots), pa.string())}))
     n, levels = len(roots), []
     while n:
         tasks = min(n, max(spark.sparkContext.defaultParallelism, -(-n // FOLDERS)))
